@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,3 +62,21 @@ def pick(docs: DataFrame, rows: DataFrame) -> DataFrame:
     key = "__row__"
     numbered = docs.withColumn(key, F.monotonically_increasing_id())
     return numbered.join(rows.select(F.col("row").alias(key)), key, "left_semi").select(*docs.columns)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: for tables of many narrow rows, which a checkpoint would hold at full width."""
+    folder = new_folder(df.sparkSession, "table")
+    df.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def zipped(rows: DataFrame, level: int = 4) -> DataFrame:
+    """(row, id, body) with the body deflated, for a shuffle of whole texts."""
+
+    def run(batches):
+        for b in batches:
+            bodies = pa.array([zlib.compress(x.as_py(), level) for x in b.column("body")], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("id"), bodies], names=["row", "id", "body"])
+
+    return rows.mapInArrow(run, "row long, id long, body binary")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import exact_dedup, html_text, media, packing, sentencepiece_bpe, toxicity, warc
+from waymark.llm import exact_dedup, html_text, media, packing, sentencepiece_bpe, suffix_dedup, toxicity, warc
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +26,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_decode(_table(spark, sf_dir, "documents"), PIECES)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
@@ -48,7 +52,7 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece, op4_html_extraction, op5_packing, op6_toxicity, op7_warc, op10_media_columns)
+    f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece, op3_suffix_dedup, op4_html_extraction, op5_packing, op6_toxicity, op7_warc, op10_media_columns)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
