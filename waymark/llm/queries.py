@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import exact_dedup, html_text, jaccard_join, media, packing, sentencepiece_bpe, suffix_dedup, toxicity, warc
+from waymark.llm import exact_dedup, html_text, jaccard_join, maxent_lm, media, packing, sentencepiece_bpe, suffix_dedup, toxicity, warc
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -47,6 +47,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return maxent_lm.score(docs, *maxent_lm.fit(docs)).drop("row")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(_table(spark, sf_dir, "documents")).drop("row")
 
@@ -56,7 +61,7 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece, op3_suffix_dedup, op4_html_extraction, op5_packing, op6_toxicity, op7_warc, op9_jaccard_join, op10_media_columns)
+    f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece, op3_suffix_dedup, op4_html_extraction, op5_packing, op6_toxicity, op7_warc, op8_lm_scoring, op9_jaccard_join, op10_media_columns)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

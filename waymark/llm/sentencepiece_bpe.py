@@ -13,6 +13,7 @@ import struct
 from collections.abc import Callable, Iterator
 
 import ahocorasick
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -251,9 +252,8 @@ def encode_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
 def decode_ids(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """rows with the decoded text of an id array added; a null array gives null."""
 
-    @F.pandas_udf("string")
-    def decode(column):
+    def decode(column: pd.Series) -> pd.Series:
         m = model(path)
         return column.map(lambda v: None if v is None else m.decode([int(i) for i in v]))
 
-    return rows.withColumn(out, decode(F.col(ids)))
+    return rows.withColumn(out, F.pandas_udf(decode, "string")(F.col(ids)))
