@@ -74,8 +74,9 @@ class WordTokenizer:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = text.split()
         young, old = self.young, self.old
-        for w in set(words) - young.keys():
-            young[w] = old[w] if w in old else self._word(w)
+        for w in words:
+            if w not in young:
+                young[w] = old[w] if w in old else self._word(w)
         out = b"".join([young[w] for w in words])
         if len(young) > self.cache // 2:
             self.old, self.young = young, {}
