@@ -270,4 +270,4 @@ def parts(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def attach_geometry(docs: DataFrame, geometries: DataFrame) -> DataFrame:
     """Documents with the geometry of their id; feeds without geometries get null."""
-    return docs.join(geometries.select("doc_id", "geometry"), "doc_id", "left")
+    return docs.join(geometries.select("feed", "doc_id", "geometry"), ["feed", "doc_id"], "left")

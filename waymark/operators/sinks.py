@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from waymark.operators import convert
 
 PARTITIONS = ["feed", "event_date"]
+DOCUMENT = ["feed", "doc_id"]
 
 
 def _dated(df: DataFrame, time: str) -> DataFrame:
@@ -40,15 +41,15 @@ def get_documents(spark: SparkSession, root: str, feed: str) -> DataFrame:
 
 
 def keep_last(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """One row per document id: the newest by row key, which sorts newest first."""
-    w = Window.partitionBy("doc_id").orderBy(*(order or ["row_key", F.desc("json")]))
+    """One row per feed and document id: the newest by row key, which sorts newest first."""
+    w = Window.partitionBy(*DOCUMENT).orderBy(*(order or ["row_key", F.desc("json")]))
     return docs.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
 def upsert_documents(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """existing with incoming documents in place of those of the same id."""
     new = keep_last(incoming)
-    return existing.join(new.select("doc_id"), "doc_id", "left_anti").select(*existing.columns).unionByName(new.select(*existing.columns))
+    return existing.join(new.select(*DOCUMENT), DOCUMENT, "left_anti").select(*existing.columns).unionByName(new.select(*existing.columns))
 
 
 def upsert_into(spark: SparkSession, root: str, staging: str, incoming: DataFrame) -> None:
@@ -62,8 +63,8 @@ def upsert_into(spark: SparkSession, root: str, staging: str, incoming: DataFram
 
 def insert_new_documents(existing: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(inserted, conflicts): an id that exists, or is a later row of the same batch, is a conflict."""
-    w = Window.partitionBy("doc_id").orderBy("row_key", F.desc("json"))
-    ranked = incoming.withColumn("_n", F.row_number().over(w)).join(existing.select("doc_id", F.lit(True).alias("_had")).distinct(), "doc_id", "left")
+    w = Window.partitionBy(*DOCUMENT).orderBy("row_key", F.desc("json"))
+    ranked = incoming.withColumn("_n", F.row_number().over(w)).join(existing.select(*DOCUMENT, F.lit(True).alias("_had")).distinct(), DOCUMENT, "left")
     fresh = (F.col("_n") == 1) & F.col("_had").isNull()
     return ranked.filter(fresh).select(*incoming.columns), ranked.filter(~fresh).select(*incoming.columns)
 

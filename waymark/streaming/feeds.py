@@ -89,4 +89,4 @@ def stream_documents(events: DataFrame, root: str, checkpoint: str, once: bool =
 def read_documents(spark: SparkSession, root: str) -> DataFrame:
     """Documents of all batches, the latest batch's version of each id."""
     rows = spark.read.parquet(f"{root}/documents")
-    return rows.groupBy("doc_id").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "doc_id"]), "batch").alias("d")).select("doc_id", "d.*")
+    return rows.groupBy("feed", "doc_id").agg(F.max_by(F.struct(*[c for c in rows.columns if c not in ("feed", "doc_id")]), "batch").alias("d")).select("feed", "doc_id", "d.*")
