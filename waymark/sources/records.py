@@ -59,7 +59,8 @@ class _Extractor:
     def close(self, name: str) -> None:
         if self.record_depth == self.depth:
             end = self.parser.CurrentByteIndex
-            if self.data[end : end + 2] == b"</":
+            # A self-closing tag has ended here already; its parent, no record, has another name.
+            if self.data.startswith(b"</" + name.encode(), end):
                 end = self.data.index(b">", end) + 1
             self.records.append((self.id, self.data[self.start : end].decode()))
             self.record_depth = 0
