@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from waymark.llm.common import pinned
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+_EDGES = 200_000  # of a partition: small tables of links stay in few files
+
+
+def _star(edges: DataFrame, large: bool, parts: int) -> DataFrame:
     """One star step: the neighbours of a node (larger ones, or smaller ones and itself) are linked to its least neighbour."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = pinned(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+    least = pinned(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).coalesce(parts))
     joined = both.join(least, "a")
     if large:
         out = joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = joined.select("a", F.col("m").alias("b")).unionByName(joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
-    return pinned(out.filter("a <> b").distinct())
+    return pinned(out.filter("a <> b").coalesce(parts).distinct().coalesce(parts))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,6 +31,6 @@ def components(links: DataFrame) -> DataFrame:
         state = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
         if state == seen or not state[0]:
             break
-        seen = state
-        edges = _star(_star(edges, True), False)
+        seen, parts = state, state[0] // _EDGES + 1
+        edges = _star(_star(edges, True, parts), False, parts)
     return pinned(edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct())

@@ -226,8 +226,11 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict
         yield held
 
 
-def _pairs_batch(out: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+def _pairs_batch(out: list[tuple[int, int]], region: int | None = None) -> pa.RecordBatch:
+    cols = [pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)]
+    if region is None:
+        return pa.RecordBatch.from_arrays(cols, names=["a", "b"])
+    return pa.RecordBatch.from_arrays([*cols, pa.array([region] * len(out), pa.int64())], names=["a", "b", "region"])
 
 
 def _trees(num: int, den: int):
@@ -236,7 +239,7 @@ def _trees(num: int, den: int):
             if len(g["node"]) > 1:
                 cell = _Cell(g["n"], g["sketch"], num, den)
                 every = np.arange(len(g["node"]))
-                yield _pairs_batch([(g["node"][a], g["node"][b]) for a, b in _forest(*cell.pairs(every, every), len(every))])
+                yield _pairs_batch([(g["node"][a], g["node"][b]) for a, b in _forest(*cell.pairs(every, every), len(every))], g["region"][0])
 
     return run
 
@@ -310,8 +313,9 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Sub-pivots: the region's own pivot and a few others, in every cell.
     shared = members.filter(f"cells > 1 and (node = region or abs(xxhash64(node, region)) % (cells * {_CELL}) < {_PIVOTS})").select("region", "node", "n", "sketch", "cells", F.explode(F.expr("sequence(0, cells - 1)")).alias("cell"))
     placed = own.unionByName(shared).dropDuplicates(["region", "cell", "node"])
-    trees = placed.repartition(n, "region", "cell").sortWithinPartitions("region", "cell", "node").mapInArrow(_trees(num, den), "a long, b long")
-    asked = pinned(trees.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    trees = placed.repartition(n, "region", "cell").sortWithinPartitions("region", "cell", "node").mapInArrow(_trees(num, den), "a long, b long, region long")
+    tree = pinned(trees.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "region"))
+    asked = pinned(tree.select("a", "b").distinct())
 
     # Texts of documents that any sketch couldn't rule out; both passes draw on them.
     wanted = asked.select(F.col("a").alias("row")).unionByName(asked.select(F.col("b").alias("row"))).distinct()
@@ -323,8 +327,11 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     links = verify(asked, texts)
     roots = components(links)
-    # Second pass: regions with more than one component among documents that sketches couldn't rule out.
-    labelled = pinned(members.select("region", "node", "cells").join(roots, "node", "left").select("region", "node", "cells", F.coalesce("root", "node").alias("root")))
+    # Second pass. Where a region is one cell and all edges of its forest are links, no pair that sketches let through
+    # joins two components; so only regions with a failed edge or with several cells come again.
+    failed = tree.join(links, ["a", "b"], "left_anti").select("region")
+    again = pinned(failed.unionByName(sizes.filter(F.col("size") > _CELL).select("region")).distinct())
+    labelled = pinned(members.select("region", "node", "cells").join(again, "region", "left_semi").join(roots, "node", "left").select("region", "node", "cells", F.coalesce("root", "node").alias("root")))
     counts = labelled.groupBy("region", "root").agg(F.count("*").alias("size"))
     main = pinned(counts.groupBy("region").agg(F.max(F.struct("size", F.col("root"))).alias("m"), F.count("*").alias("kinds")).filter("kinds > 1").select("region", F.col("m.root").alias("main")))
     tagged = labelled.join(main, "region").select("region", "node", "cells", "root", (F.col("root") != F.col("main")).alias("apart")).join(set_of, "node")
