@@ -41,7 +41,7 @@ class Shingler:
     def __call__(self, body: bytes) -> np.ndarray:
         words = body.lower().split()
         known = self.known
-        new = [w for w in set(words) if w not in known]
+        new = set(words).difference(known)
         if new:
             if len(known) + len(new) > self.cache:
                 known.clear()

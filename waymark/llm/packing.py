@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ def _byte_letters() -> list[str]:
 class WordTokenizer:
     """A tokenizer whose words are encoded once and kept: ids of a text as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, cache: int = 600_000):
+    def __init__(self, path: str, cache: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -55,29 +56,36 @@ class WordTokenizer:
         # Below U+0180 every string is in NFC and lower-casing is letter by letter.
         self.plain = regex.compile("[\x21-\x7e\xa1-ſ]+").fullmatch
         self.letters = _byte_letters()
+        self.parts: dict[str, bytes] = {}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.cache = cache
 
     def _part(self, part: str) -> bytes:
-        letters = self.letters
-        tokens = self.tokenizer.model.tokenize("".join([letters[b] for b in part.encode()]))
-        return np.array([t.id for t in tokens], "<u4").tobytes()
+        found = self.parts.get(part)
+        if found is None:
+            letters = self.letters
+            mapped = part if part.isascii() else "".join([letters[b] for b in part.encode()])
+            found = array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
+            if len(self.parts) >= self.cache // 4:
+                self.parts.clear()
+            self.parts[part] = found
+        return found
 
     def _word(self, word: str) -> bytes:
-        if not self.plain(word) or any(s in word for s in self.special):
-            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join([self._part(p) for p in self.split(word.lower())])
+        if not (word.isascii() and word.isprintable() or self.plain(word)) or any(s in word for s in self.special if "|" in word or "|" not in s):
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        low = word.lower()
+        return self._part(low) if low.isalpha() else b"".join([self._part(p) for p in self.split(low)])
 
     def ids(self, text: str) -> bytes:
         if not self.by_word or self.odd(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         words = text.split()
         young, old = self.young, self.old
-        for w in words:
-            if w not in young:
-                young[w] = old[w] if w in old else self._word(w)
-        out = b"".join([young[w] for w in words])
+        for w in set(words).difference(young):
+            young[w] = old[w] if w in old else self._word(w)
+        out = b"".join(map(young.__getitem__, words))
         if len(young) > self.cache // 2:
             self.old, self.young = young, {}
         return out
