@@ -239,7 +239,7 @@ def test_language_model(spark, odd, empty):
     # a proper distribution: classes sum to one, tokens of a class to its share
     share = np.zeros(maxent_lm.CLASSES)
     for w, k in c.items():
-        share[model.class_of(w)] += k
+        share[model.class_of(w)] += k + 1
     assert np.allclose(share, model.totals)
     assert maxent_lm.score(odd, model, counts).count() == len(ODD) and maxent_lm.score(empty, model, counts).isEmpty()
     m0, c0 = maxent_lm.fit(empty)
