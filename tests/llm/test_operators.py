@@ -309,7 +309,8 @@ def test_tar_shards_are_plain_tar(spark, docs):
     folder = new_folder(spark, "t")
     _, index = media.store(docs, folder)
     r = index.first()
-    with tarfile.open(r.shard) as t:
+    assert media.metadata(index, folder).filter(F.col("digest") == r.digest).first().width == 192
+    with tarfile.open(f"{folder.removeprefix('file://')}/{r.shard}") as t:
         m = t.getmember(f"{r.digest}.png")
         assert (m.offset_data, m.size) == (r.offset, r.length)
         assert hashlib.sha256(t.extractfile(m).read()).hexdigest() == r.digest

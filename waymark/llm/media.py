@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import file_system, keyed, new_folder, pinned
+from waymark.llm.common import file_system, keyed, new_folder, pinned, written
 
 WIDTH = 192
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -38,7 +38,7 @@ def to_png(payload: bytes, width: int = WIDTH) -> bytes:
     rows = np.frombuffer(payload, "u1").reshape(-1, width)
     lines = np.zeros((len(rows), width + 1), "u1")  # filter type 0 before each row
     lines[:, 1:] = rows
-    return _SIGNATURE + _chunk(b"IHDR", struct.pack(">IIBBBBB", width, len(rows), 8, 0, 0, 0, 0)) + _chunk(b"IDAT", zlib.compress(lines.tobytes(), 3)) + _chunk(b"IEND", b"")
+    return _SIGNATURE + _chunk(b"IHDR", struct.pack(">IIBBBBB", width, len(rows), 8, 0, 0, 0, 0)) + _chunk(b"IDAT", zlib.compress(lines.tobytes(), 6)) + _chunk(b"IEND", b"")
 
 
 def png_header(data: bytes) -> tuple[int, int, int, int]:
@@ -102,7 +102,7 @@ def store(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "tex
                     info.size = len(image)
                     head = info.tobuf(tarfile.USTAR_FORMAT)
                     out.write(head + image + b"\0" * (-len(image) % 512))
-                    place = path, at + len(head), len(image)
+                    place = path.rpartition("/")[2], at + len(head), len(image)
                     at += len(head) + len(image) + -len(image) % 512
                     seen.add(digest)
                 rows.append((i, len(body), digest, *place))
@@ -116,7 +116,7 @@ def store(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "tex
             out.write(b"\0" * 1024)
             out.close()
 
-    both = pinned(keyed(docs, doc_id, text).select("id", "body").mapInArrow(write, "doc_id long, n_bytes long, digest string, shard string, offset long, length long"))
+    both = written(keyed(docs, doc_id, text).select("id", "body").mapInArrow(write, "doc_id long, n_bytes long, digest string, shard string, offset long, length long"))
     index = pinned(both.filter(F.col("shard").isNotNull()).groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("p")).select("digest", "p.*"))
     return both.select("doc_id", "n_bytes", "digest"), index
 
@@ -125,13 +125,13 @@ def _read(index: DataFrame, folder: str, schema: str, names: list[str], row) ->
     """row(image file, offset, length) for each entry, a shard's entries in order of offset."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, _ = file_system(folder)
+        fs, base = file_system(folder)
         path, file = None, None
         for b in batches:
             out: list[list] = [[] for _ in names]
             for digest, shard, offset, length in zip(*(b.column(n).to_pylist() for n in ("digest", "shard", "offset", "length")), strict=True):
                 if shard != path:
-                    path, file = shard, fs.open_input_file(shard)
+                    path, file = shard, fs.open_input_file(f"{base}/{shard}")
                 for c, v in zip(out, (digest, *row(file, offset, length)), strict=True):
                     c.append(v)
             yield pa.RecordBatch.from_pydict(dict(zip(names, out, strict=True)))
@@ -151,22 +151,23 @@ def metadata(index: DataFrame, folder: str) -> DataFrame:
 
 
 def contents(index: DataFrame, folder: str) -> DataFrame:
-    """digest, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature of the stored images."""
+    """digest, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature and the metadata of the stored images."""
 
     def row(file, offset, length):
+        file.seek(offset)
+        header = png_header(file.read(HEADER_BYTES))
         file.seek(offset)
         image = file.read(length)
         payload = from_png(image)
-        width, height, _, _ = png_header(image)
-        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(image), hashlib.sha256(image).hexdigest(), features(payload, width, height)
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(image), hashlib.sha256(image).hexdigest(), features(payload, *header[:2]), *header
 
-    names = ["digest", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    return _read(index, folder, "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string", names, row)
+    names = ["digest", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "bit_depth", "colour"]
+    return _read(index, folder, "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, width long, height long, bit_depth long, colour long", names, row)
 
 
 def media_columns(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of docs with the columns of ``contents`` and ``metadata``; rows of equal texts share one stored image."""
+    """One row per row of docs with the columns of ``contents``; rows of equal texts share one stored image."""
     folder = new_folder(docs.sparkSession, "media")
     rows, index = store(docs, folder, doc_id, text)
-    read = pinned(contents(index, folder).join(metadata(index, folder), "digest"))
+    read = written(contents(index, folder))
     return rows.join(read, "digest").drop("digest")

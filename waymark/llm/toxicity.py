@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from waymark.llm.common import keyed
 
 #: Documented bounds of the fit: confirmed toxic texts, unlabelled texts, features.
-MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 4000, 12000, 1024
+MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 2500, 5000, 1024
 FOLDS = 5
 _WORDS = re.compile(r"[^\W\d_]+").findall
 _OPENINGS = (4, 5, 6)
@@ -38,7 +38,7 @@ def word_features(word: str) -> list[int]:
 def text_features(body: bytes) -> np.ndarray:
     """Sorted different features of a text."""
     words = set(_WORDS(body.decode("utf-8", "replace").lower()))
-    return np.unique(np.array([f for w in words for f in word_features(w)], "i8"))
+    return np.unique(np.array([f for w in words for f in word_features(w)], "u4"))
 
 
 def fit_nnpu(x: np.ndarray, positive: np.ndarray, prior: float, rounds: int = 400, rate: float = 0.05, l2: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -103,8 +103,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 yield pa.RecordBatch.from_pydict({"id": b.column("id"), "f": [text_features(x.as_py()).tobytes() for x in b.column("body")]})
 
         # At most n ids are broadcast, n rows come back.
-        got = rows.join(F.broadcast(ids), "id").select("id", "body").mapInArrow(run, "id long, f binary").orderBy(F.xxhash64("id"), "id", "f").limit(n).collect()
-        return [np.frombuffer(r.f, "i8") for r in got]
+        got = rows.join(F.broadcast(ids), "id").select("id", "body").mapInArrow(run, "id long, f binary").orderBy(F.xxhash64("id"), "id", "f").limit(n).select("f").toArrow()
+        return [np.frombuffer(f, "u4") for f in got["f"].to_pylist()]
 
     p = texts(sample(own.filter("y = 1"), max_positive), max_positive)
     u = texts(sample(rows, max_unlabelled), max_unlabelled)
