@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -30,6 +31,18 @@ _SIMPLE_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex":
 _SIMPLE_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
+class _Letters(dict):
+    """The letters of a character's UTF-8 bytes."""
+
+    def __init__(self):
+        super().__init__()
+        self.of_byte = _byte_letters()
+
+    def __missing__(self, char: str) -> str:
+        self[char] = "".join([self.of_byte[b] for b in char.encode()])
+        return self[char]
+
+
 def _byte_letters() -> list[str]:
     """The letter that byte-level pre-tokenisers write for each byte: printable Latin-1 as itself, others from U+0100 on."""
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -53,9 +66,11 @@ class WordTokenizer:
         self.split = regex.compile(_SIMPLE_SPLIT).findall
         # The only characters that str.split() takes for white space and the tokenizer doesn't.
         self.odd = regex.compile("[\x1c-\x1f]").search
+        # A special token isn't within a word of letters alone.
+        self.by_word = self.by_word and not any(t.isalpha() for t in self.special)
         # Below U+0180 every string is in NFC and lower-casing is letter by letter.
         self.plain = regex.compile("[\x21-\x7e\xa1-ſ]+").fullmatch
-        self.letters = _byte_letters()
+        self.letters = _Letters()
         self.parts: dict[str, bytes] = {}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -64,8 +79,7 @@ class WordTokenizer:
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            letters = self.letters
-            mapped = part if part.isascii() else "".join([letters[b] for b in part.encode()])
+            mapped = part if part.isascii() else "".join(map(self.letters.__getitem__, part))
             found = array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
             if len(self.parts) >= self.cache // 4:
                 self.parts.clear()
@@ -73,10 +87,22 @@ class WordTokenizer:
         return found
 
     def _word(self, word: str) -> bytes:
-        if not (word.isascii() and word.isprintable() or self.plain(word)) or any(s in word for s in self.special if "|" in word or "|" not in s):
+        ascii_word = word.isascii()
+        if ascii_word and word.isalpha():
+            return self._part(word.lower())
+        if not (ascii_word and word.isprintable() or self.plain(word)):
             return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         low = word.lower()
-        return self._part(low) if low.isalpha() else b"".join([self._part(p) for p in self.split(low)])
+        if low.isalpha():
+            return self._part(low)
+        for s in self.special:
+            if s in word:
+                return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        # letters, then marks up to the end, are two parts
+        core = low.rstrip(string.punctuation)
+        if core.isalpha():
+            return self._part(core) + self._part(low[len(core) :])
+        return b"".join([self._part(p) for p in self.split(low)])
 
     def ids(self, text: str) -> bytes:
         if not self.by_word or self.odd(text):
