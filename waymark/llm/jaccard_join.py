@@ -29,6 +29,7 @@ from waymark.llm.components import components
 WORDS, NUM, DEN = 5, 75, 100
 _HEAVY_SHARE, _HEAVY_FROM, _HEAVY_MOST = 32, 8, 100_000
 _CELL, _PIVOTS = 256, 8
+_BROADCAST = 500_000  # most row numbers
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], "u8")
 
 
@@ -309,10 +310,11 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     regions = pairs.unionByName(pairs.select("region", F.col("region").alias("node")).distinct())
     sizes = pinned(regions.groupBy("region").agg(F.count("*").alias("size")))
     members = written(regions.join(sizes, "region").join(set_of, "node").select("region", "node", "n", "sketch", F.expr(f"cast((size - 1) div {_CELL} + 1 as int)").alias("cells")))
-    own = members.select("region", "node", "n", "sketch", "cells", F.expr("cast(abs(xxhash64(node)) % cells as int)").alias("cell"))
-    # Sub-pivots: the region's own pivot and a few others, in every cell.
-    shared = members.filter(f"cells > 1 and (node = region or abs(xxhash64(node, region)) % (cells * {_CELL}) < {_PIVOTS})").select("region", "node", "n", "sketch", "cells", F.explode(F.expr("sequence(0, cells - 1)")).alias("cell"))
-    placed = own.unionByName(shared).dropDuplicates(["region", "cell", "node"])
+    home = F.expr("cast(abs(xxhash64(node)) % cells as int)")
+    own = members.select("region", "node", "n", "sketch", home.alias("cell"))
+    # Sub-pivots: the region's own pivot and a few others, in every other cell too.
+    shared = members.filter(f"cells > 1 and (node = region or abs(xxhash64(node, region)) % (cells * {_CELL}) < {_PIVOTS})").select("region", "node", "n", "sketch", home.alias("home"), F.explode(F.expr("sequence(0, cells - 1)")).alias("cell"))
+    placed = own.unionByName(shared.filter("cell <> home").drop("home"))
     trees = placed.repartition(n, "region", "cell").sortWithinPartitions("region", "cell", "node").mapInArrow(_trees(num, den), "a long, b long, region long")
     tree = pinned(trees.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "region"))
     asked = pinned(tree.select("a", "b").distinct())
@@ -340,8 +342,11 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     cross = inside.unionByName(outside).repartition(n, "region", "cell").sortWithinPartitions("region", "cell", "outside", "node").mapInArrow(_crossing(num, den), "a long, b long")
     more = pinned(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(asked, ["a", "b"], "left_anti"))
     if not more.isEmpty():
-        missing = more.select(F.col("a").alias("row")).unionByName(more.select(F.col("b").alias("row"))).distinct().join(texts, "row", "left_anti")
-        extra = texts if missing.isEmpty() else texts.unionByName(written(zipped(rows).drop("id").join(missing, "row")))
+        missing = pinned(more.select(F.col("a").alias("row")).unionByName(more.select(F.col("b").alias("row"))).distinct().join(texts.select("row"), "row", "left_anti"))
+        few = missing.count()
+        # Row numbers alone are broadcast, as long as they are few; beyond that the texts are shuffled.
+        late = zipped(rows.join(F.broadcast(missing), "row", "left_semi")).drop("id") if few <= _BROADCAST else zipped(rows).drop("id").join(missing, "row")
+        extra = texts.unionByName(written(late)) if few else texts
         roots = components(links.unionByName(verify(more, extra)))
 
     joined = pinned(of_row.join(roots, "node", "left").select("row", "id", "n", F.coalesce("root", "node").alias("root")))
