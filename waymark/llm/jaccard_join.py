@@ -6,8 +6,8 @@
 2. A document carries a parity sketch: bit i says whether it has an odd number of shingles that hash to i. The Hamming
    distance of two sketches is a metric and never exceeds the symmetric difference of the sets, so it bounds the Jaccard
    distance from below. Within a region it rules pairs out; a minimum spanning forest of what is left gives the pairs
-   whose sets are compared exactly. Large regions are divided into cells by nearest sub-pivot, with the sub-pivots as
-   boundary documents of every cell.
+   whose sets are compared exactly. Large regions are divided into cells by a hash of the document, not by nearest
+   sub-pivot, with a few sub-pivots in every cell.
 3. Where a region's survivors aren't all in one component after that, the pairs between components are compared in a
    second pass over its cells. So every link that could join two components is tested.
 """
@@ -295,8 +295,8 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # Which shingles come last in the order: any choice is right, a good one keeps regions small. At most _HEAVY_MOST.
     sample = bodies.filter(F.abs(F.xxhash64("row")) % _HEAVY_SHARE == 0).mapInArrow(_sampled(words), "shingle long, n long")
-    often = sample.groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= _HEAVY_FROM).orderBy(F.desc("n"), "shingle").limit(_HEAVY_MOST).toPandas()
-    heavy = np.sort(often["shingle"].to_numpy("i8").view("u8"))
+    often = sample.groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= _HEAVY_FROM).orderBy(F.desc("n"), "shingle").limit(_HEAVY_MOST).toArrow()
+    heavy = np.sort(often["shingle"].to_numpy().astype("i8").view("u8"))
 
     held = bodies.mapInArrow(_prefixes(words, num, den, heavy), "shingle long, salt int, row long")
     found = written(held.repartition(n, "shingle", "salt").sortWithinPartitions("shingle", "salt", "row").mapInArrow(_regions, "shingle long, pivot long, row long"))
