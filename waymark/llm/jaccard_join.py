@@ -301,14 +301,13 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     held = bodies.mapInArrow(_prefixes(words, num, den, heavy), "shingle long, salt int, row long")
     found = written(held.repartition(n, "shingle", "salt").sortWithinPartitions("shingle", "salt", "row").mapInArrow(_regions, "shingle long, pivot long, row long"))
     salted = found.filter("shingle <> 0")
-    least = pinned(salted.groupBy("shingle").agg(F.min("pivot").alias("least")))  # a row for each heavy shingle at most
+    least = salted.groupBy("shingle").agg(F.min("pivot").alias("least"))  # a row for each heavy shingle at most
     member = found.filter("shingle = 0").select("pivot", "row").unionByName(salted.join(F.broadcast(least), "shingle").select(F.col("least").alias("pivot"), "row")).distinct()
     node_of = of_row.select("row", "node")
     member = member.join(node_of, "row").select("pivot", F.col("node").alias("other")).join(node_of.select(F.col("row").alias("pivot"), "node"), "pivot")
-    pairs = pinned(member.filter("node <> other").select(F.col("node").alias("region"), F.col("other").alias("node")).distinct())
     # A region's pivot is a member of its own.
-    regions = pairs.unionByName(pairs.select("region", F.col("region").alias("node")).distinct())
-    sizes = pinned(regions.groupBy("region").agg(F.count("*").alias("size")))
+    regions = written(member.filter("node <> other").select(F.col("node").alias("region"), F.explode(F.array("other", "node")).alias("node")).distinct())
+    sizes = regions.groupBy("region").agg(F.count("*").alias("size"))
     members = written(regions.join(sizes, "region").join(set_of, "node").select("region", "node", "n", "sketch", F.expr(f"cast((size - 1) div {_CELL} + 1 as int)").alias("cells")))
     home = F.expr("cast(abs(xxhash64(node)) % cells as int)")
     own = members.select("region", "node", "n", "sketch", home.alias("cell"))
@@ -332,10 +331,10 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Second pass. Where a region is one cell and all edges of its forest are links, no pair that sketches let through
     # joins two components; so only regions with a failed edge or with several cells come again.
     failed = tree.join(links, ["a", "b"], "left_anti").select("region")
-    again = pinned(failed.unionByName(sizes.filter(F.col("size") > _CELL).select("region")).distinct())
+    again = failed.unionByName(members.filter("cells > 1").select("region")).distinct()
     labelled = pinned(members.select("region", "node", "cells").join(again, "region", "left_semi").join(roots, "node", "left").select("region", "node", "cells", F.coalesce("root", "node").alias("root")))
     counts = labelled.groupBy("region", "root").agg(F.count("*").alias("size"))
-    main = pinned(counts.groupBy("region").agg(F.max(F.struct("size", F.col("root"))).alias("m"), F.count("*").alias("kinds")).filter("kinds > 1").select("region", F.col("m.root").alias("main")))
+    main = counts.groupBy("region").agg(F.max(F.struct("size", F.col("root"))).alias("m"), F.count("*").alias("kinds")).filter("kinds > 1").select("region", F.col("m.root").alias("main"))
     tagged = labelled.join(main, "region").select("region", "node", "cells", "root", (F.col("root") != F.col("main")).alias("apart")).join(set_of, "node")
     inside = tagged.select("region", "node", "n", "sketch", "root", F.expr("cast(abs(xxhash64(node)) % cells as int)").alias("cell"), F.lit(False).alias("outside"))
     outside = tagged.filter("apart").select("region", "node", "n", "sketch", "root", F.explode(F.expr("sequence(0, cells - 1)")).alias("cell"), F.lit(True).alias("outside"))
@@ -347,7 +346,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         # Row numbers alone are broadcast, as long as they are few; beyond that the texts are shuffled.
         late = zipped(rows.join(F.broadcast(missing), "row", "left_semi")).drop("id") if few <= _BROADCAST else zipped(rows).drop("id").join(missing, "row")
         extra = texts.unionByName(written(late)) if few else texts
-        roots = components(links.unionByName(verify(more, extra)))
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(verify(more, extra)))
 
     joined = pinned(of_row.join(roots, "node", "left").select("row", "id", "n", F.coalesce("root", "node").alias("root")))
     names = pinned(joined.groupBy("root").agg(F.min("id").alias("component_id")))
