@@ -28,11 +28,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by similar shingle sets the row with the least doc_id; texts without words stay."""
-    groups = jaccard_join.similar_groups(docs)
-    # rows of null ids and repeated ids: the first row of the least id
-    kept = groups.filter("n_shingles > 0 and component_id is not null and doc_id = component_id").groupBy("component_id").agg(F.min("row").alias("row")).select("row")
-    others = groups.filter("n_shingles = 0 or component_id is null").select("row")
-    return pick(docs, kept.unionByName(others))
+    # by root, not by component_id: groups may share that where ids repeat, and it is null where all ids are; null ids come last
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("m")
+    return pick(docs, jaccard_join.similar_groups(docs).groupBy("root").agg(best).select("m.row"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

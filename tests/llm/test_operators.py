@@ -335,3 +335,13 @@ def test_pipeline(spark, docs):
         assert cut[i].n_chars == len(cut[i].text) and (removed or cut[i].text == t)
         assert len(cut[i].text.encode()) <= n - removed
     assert cp.run(spark, DATA).count() > 0
+
+
+def test_near_copies_of_repeated_and_null_ids(spark):
+    import corpus_pipeline as cp
+
+    one, two, three, four = (" ".join(f"{c}{k}" for k in range(60)) for c in "abcd")
+    rows = [(1, one), (1, two), (2, two + " x"), (None, three), (None, three + " x"), (None, four), (5, four + " x"), (7, ""), (7, None)]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k int")
+    kept = {r.k for r in cp.drop_near_copies(spark, df, DATA).collect()}
+    assert len(kept) == 6 and {0, 1, 6, 7, 8} < kept and kept & {3, 4}

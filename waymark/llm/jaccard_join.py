@@ -278,11 +278,12 @@ def _verified(words: int, num: int, den: int):
 
 
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """row, doc_id, n_shingles, component_id: one row per row of docs.
+    """row, doc_id, n_shingles, component_id, root: one row per row of docs.
 
     Documents link when den * |intersection| >= num * |union| of their sets of word shingles. component_id is the least
     doc_id reachable by links, itself included (null ids don't count; a component of null ids has null). A text without
-    words has no shingle and no link. Rows that repeat are linked like others.
+    words has no shingle and no link. Rows that repeat are linked like others. root is a row of the component and tells
+    components apart, which component_id doesn't where ids repeat or are null.
     """
     spark = docs.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -350,4 +351,4 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     joined = pinned(of_row.join(roots, "node", "left").select("row", "id", "n", F.coalesce("root", "node").alias("root")))
     names = pinned(joined.groupBy("root").agg(F.min("id").alias("component_id")))
-    return joined.join(names, "root").select("row", F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+    return joined.join(names, "root").select("row", F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "root")

@@ -53,7 +53,7 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.similar_groups(_table(spark, sf_dir, "documents")).drop("row")
+    return jaccard_join.similar_groups(_table(spark, sf_dir, "documents")).drop("row", "root")
 
 
 def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
