@@ -11,23 +11,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from waymark.llm import exact_dedup, jaccard_join, packing, suffix_dedup, toxicity
-from waymark.llm.common import pick, written
+from waymark.llm.common import ROW, numbered, pick, written
 from waymark.llm.queries import WORDS
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't call toxic; it learns from the rows outside fold 0 of docs and of labels."""
+    docs = numbered(docs)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return pick(docs, toxicity.score(docs, model).filter("predicted = 0"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id."""
+    docs = numbered(docs)
     return pick(docs, exact_dedup.exact_dedup(docs).filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by similar shingle sets the row with the least doc_id; texts without words stay."""
+    docs = numbered(docs)
     # by root, not by component_id: groups may share that where ids repeat, and it is null where all ids are; null ids come last
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("m")
     return pick(docs, jaccard_join.similar_groups(docs).groupBy("root").agg(best).select("m.row"))
@@ -35,11 +38,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without bytes that strings of 200 bytes repeat elsewhere; parts of a character that a cut leaves go too."""
-    key = "__row__"
-    kept = suffix_dedup.suffix_dedup(docs, with_text=True).filter("n_removed > 0").select(F.col("row").alias(key), _valid_text("kept").alias("__kept__"))
-    numbered = docs.withColumn(key, F.monotonically_increasing_id()).join(kept, key, "left")
+    docs = numbered(docs)
+    kept = suffix_dedup.suffix_dedup(docs, with_text=True).filter("n_removed > 0").select(F.col("row").alias(ROW), _valid_text("kept").alias("__kept__"))
     changed = F.col("__kept__").isNotNull()
-    return numbered.withColumns({"text": F.when(changed, F.col("__kept__")).otherwise(F.col("text")), "n_chars": F.when(changed, F.length("__kept__").cast("long")).otherwise(F.col("n_chars"))}).select(*docs.columns)
+    joined = docs.join(kept, ROW, "left")
+    return joined.withColumns({"text": F.when(changed, F.col("__kept__")).otherwise(F.col("text")), "n_chars": F.when(changed, F.length("__kept__").cast("long")).otherwise(F.col("n_chars"))}).drop(ROW, "__kept__")
 
 
 def _valid_text(column: str) -> Column:

@@ -345,3 +345,34 @@ def test_near_copies_of_repeated_and_null_ids(spark):
     df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, k int")
     kept = {r.k for r in cp.drop_near_copies(spark, df, DATA).collect()}
     assert len(kept) == 6 and {0, 1, 6, 7, 8} < kept and kept & {3, 4}
+
+
+def test_rows_keep_their_numbers_when_splits_change(spark, docs, monkeypatch):
+    """Executors that come or go between two scans change how a file is split."""
+    import corpus_pipeline as cp
+    from waymark.llm import common
+
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    sizes = iter(["7000", "20000000"] * 500)
+
+    def after(f):
+        def run(df):
+            out = f(df)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", next(sizes))
+            return out
+
+        return run
+
+    for module in (common, jaccard_join, suffix_dedup, exact_dedup, cp):
+        for name in ("written", "pinned"):
+            if hasattr(module, name):
+                monkeypatch.setattr(module, name, after(getattr(module, name)))
+    try:
+        got = jaccard_join.similar_groups(docs).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter(brute_groups(rows))
+        got = suffix_dedup.suffix_dedup(docs).collect()
+        assert Counter((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == Counter(brute_suffix([body(t) for _, t in rows], 200))
+        keep = {lower(t): i for i, t in sorted(rows)}
+        assert {r.doc_id for r in cp.drop_copies(spark, docs, DATA).collect()} == set(keep.values())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -49,19 +49,32 @@ def text_bytes(text: str) -> Column:
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
 
 
+ROW = "__row__"
+
+
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(row, id, body): row numbers the input's rows, so that repeated or null ids stay apart.
 
-    The number is stable as long as the input is (files, tables, checkpoints); checkpoint any other input first.
+    The number is that of ``numbered`` docs; others are numbered anew by each scan, as the scan is split: join no two of them.
     """
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("body"))
+    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    return docs.select(row.alias("row"), F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("body"))
+
+
+def keyed_once(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``keyed``, in the shared folder unless docs are numbered, so that all scans of it agree on the numbers."""
+    rows = keyed(docs, doc_id, text)
+    return rows if ROW in docs.columns else written(rows)
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs and their numbers, in the shared folder: how a scan is split, by the cores there are, changes no number."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()))
 
 
 def pick(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows of docs whose number (as in ``keyed``) is in rows(row)."""
-    key = "__row__"
-    numbered = docs.withColumn(key, F.monotonically_increasing_id())
-    return numbered.join(rows.select(F.col("row").alias(key)), key, "left_semi").select(*docs.columns)
+    """Rows of numbered docs whose number is in rows(row), without the number."""
+    return docs.join(rows.select(F.col("row").alias(ROW)), ROW, "left_semi").drop(ROW)
 
 
 def written(df: DataFrame) -> DataFrame:

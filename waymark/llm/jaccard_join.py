@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed, pinned, written, zipped
+from waymark.llm.common import keyed_once, pinned, written, zipped
 from waymark.llm.components import components
 
 WORDS, NUM, DEN = 5, 75, 100
@@ -287,7 +287,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = keyed(docs, doc_id, text)
+    rows = keyed_once(docs, doc_id, text)
     bodies = rows.select("row", "body")
     nodes = written(rows.mapInArrow(_nodes(words), "row long, id long, n long, digest binary, sketch binary"))
     reps = pinned(nodes.filter("n > 0").groupBy("digest").agg(F.min("row").alias("node")))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed, pinned, written, zipped
+from waymark.llm.common import keyed_once, pinned, written, zipped
 
 SPAN = 200
 _PART = 1 << 20  # bytes hashed at a time
@@ -296,7 +296,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeats(rows: DataFrame, span: int = SPAN) -> DataFrame:
-    """(row, lo, count): starts lo .. lo + count - 1 of strings of span bytes that also start elsewhere; rows as from ``keyed``."""
+    """(row, lo, count): starts lo .. lo + count - 1 of strings of span bytes that also start elsewhere; rows as from ``keyed_once``."""
     spark = rows.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     bodies = rows.select("row", "body")
@@ -340,7 +340,7 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sp
     Null text counts as empty; texts shorter than span lose nothing. Rows with equal ids are texts of their own. All
     copies of a repeated string go, the first one too.
     """
-    rows = keyed(docs, doc_id, text)
+    rows = keyed_once(docs, doc_id, text)
     spans = repeats(rows, span).groupBy("row").agg(F.collect_list(F.struct("lo", "count")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
