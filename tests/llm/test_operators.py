@@ -376,3 +376,15 @@ def test_rows_keep_their_numbers_when_splits_change(spark, docs, monkeypatch):
         assert {r.doc_id for r in cp.drop_copies(spark, docs, DATA).collect()} == set(keep.values())
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("source,text", [
+    ("<p>a<svg><title>t</title><defs><text>no</text></defs><rect/><g><text>b<tspan>c</tspan></text></g><desc/><text>d</text></svg>e", "a bc d e"),
+    ("<p>x <math><mi>y</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math>", "x y=2"),
+    ("<p>a<span aria-hidden=true>b</span>", "ab"),
+    ("<input type=search value=a> <input type=email value=b> <input type=url value=c> <input type=password value=no> <input type=checkbox value=no>", "a b c"),
+    ("<pre>a\n <img alt=b><svg><text>c</text></svg></pre>", "a\n b c"),
+    ("<ul><li>" * 3000 + "x<img alt=y><table><tr><td>1<td>2</table><pre> p\n  q</pre>", "- " * 3000 + "xy\n\n" + "  " * 3000 + "1 | 2\n\n" + "  " * 3000 + " p\n" + "  " * 3000 + "  q"),
+])
+def test_html_of_drawings_forms_and_depth(spark, source, text):
+    assert html_text.extract(spark.createDataFrame([(1, source)], "page_id long, html string")).first().text == text

@@ -1,14 +1,15 @@
 """HTML extraction by layout: a tree builder with implied tags, visibility rules, and a text renderer.
 
 All visible text is kept: blocks on lines of their own with blank lines around paragraphs and headings, list items with
-their bullet or number, table cells aligned in columns, preformatted text as it stands.
+their bullet or number, table cells aligned in columns, preformatted text as it stands. The text of drawings and formulas
+stays too; where a page holds a formula twice (as MathML and drawn by style sheets), so does its text.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,7 +20,10 @@ from waymark.llm.common import text_bytes
 # Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript iframe object svg math datalist noembed noframes audio video canvas".split())
+HIDDEN = frozenset("head title script style template noscript iframe object annotation annotation-xml datalist noembed noframes audio video canvas".split())
+# In a drawing these show nothing where they stand; of the rest only text and foreign objects hold words that show.
+NOT_DRAWN = frozenset("defs symbol title desc metadata clippath mask pattern marker".split())
+NO_VALUE = frozenset("hidden password checkbox radio file color range image".split())
 HEAD_ONLY = frozenset("base link meta title style script".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr".split())
 BLOCK = SPACED | frozenset("address article aside body caption center dd details dialog dir div dt fieldset figcaption footer form header hgroup html legend li main menu nav option search section summary tbody td tfoot th thead tr".split())
@@ -122,7 +126,7 @@ def parse(source: str) -> Node:
                     parent = made
         node = Node(name, attrs)
         stack[-1].kids.append(node)
-        if name in VOID:
+        if name in VOID or token.endswith("/>") and (name in ("svg", "math", "path") or any(k.tag in ("svg", "math") for k in stack)):
             continue
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(source, at)
@@ -130,8 +134,7 @@ def parse(source: str) -> Node:
             node.kids.append(html.unescape(text) if name in ("title", "textarea") else text)
             at = (source.find(">", end.end()) + 1 or size) if end else size
             continue
-        if not token.endswith("/>") or name not in ("svg", "math", "path"):
-            stack.append(node)
+        stack.append(node)
     return root
 
 
@@ -153,7 +156,36 @@ def visible(node: Node) -> bool:
         return False
     if not a:
         return True
-    return not ("hidden" in a or a.get("aria-hidden", "").lower() == "true" or (node.tag == "input" and a.get("type", "").lower() == "hidden") or _STYLE_HIDDEN.search(a.get("style", "")))
+    return not ("hidden" in a or (node.tag == "input" and a.get("type", "").lower() == "hidden") or _STYLE_HIDDEN.search(a.get("style", "")))
+
+
+def shown(node: Node) -> list:
+    """Kids that may show: all, but for a drawing its texts alone, with spaces around them."""
+    if node.tag != "svg":
+        return node.kids
+    out, todo = [], node.kids[::-1]
+    while todo:
+        k = todo.pop()
+        if isinstance(k, str) or k.tag in NOT_DRAWN or not visible(k):
+            continue
+        if k.tag in ("text", "foreignobject"):
+            out += [" ", k, " "]
+        else:
+            todo += reversed(k.kids)
+    return out
+
+
+def _run(walk: Generator) -> list[str]:
+    """What a walk returns; the walks it yields run on a list, so that depth has no limit."""
+    open_, got = [walk], None
+    while open_:
+        try:
+            open_.append(open_[-1].send(got))
+            got = None
+        except StopIteration as e:
+            open_.pop()
+            got = e.value
+    return got
 
 
 class _Lines:
@@ -185,8 +217,8 @@ class _Lines:
         self.gap = True
 
 
-def _render(root: Node) -> list[str]:
-    """Lines of an element. Deep trees are walked with a stack of their own."""
+def _render(root: Node) -> Generator:
+    """Lines of an element, for ``_run``."""
     out = _Lines()
     todo: list[tuple[str, Node | str]] = [("kids", root)]
     while todo:
@@ -209,7 +241,7 @@ def _render(root: Node) -> list[str]:
                 out.text(node.attrs.get("alt", ""))
                 continue
             if tag == "input":
-                if node.attrs.get("type", "text").lower() in ("submit", "button", "reset", "text"):
+                if node.attrs.get("type", "text").lower() not in NO_VALUE:
                     out.text(node.attrs.get("value", ""))
                 continue
             if tag in ("hr", "wbr"):
@@ -218,7 +250,7 @@ def _render(root: Node) -> list[str]:
                 continue
             if tag in ("ul", "ol", "menu", "dir", "table", "pre", "blockquote", "dd"):
                 out.blank() if tag in SPACED else out.end()
-                lines = _table(node) if tag == "table" else _pre(node) if tag == "pre" else _indented(node, "  ") if tag in ("blockquote", "dd") else _list(node)
+                lines = _pre(node) if tag == "pre" else (yield _table(node) if tag == "table" else _indented(node, "  ") if tag in ("blockquote", "dd") else _list(node))
                 if lines:
                     out.put(lines)
                 out.gap = out.gap or (bool(lines) and tag in SPACED)
@@ -226,13 +258,14 @@ def _render(root: Node) -> list[str]:
             if tag in BLOCK:
                 out.blank() if tag in SPACED else out.end()
                 todo.append(("close", node))
-        todo += [("node", k) for k in reversed(node.kids)]
+        todo += [("node", k) for k in reversed(shown(node))]
     out.end()
     return out.lines
 
 
-def _indented(node: Node, by: str) -> list[str]:
-    return [by + x if x else x for x in _render(node)]
+def _indented(node: Node, by: str) -> Generator:
+    lines = yield _render(node)
+    return [by + x if x else x for x in lines]
 
 
 def _pre(node: Node) -> list[str]:
@@ -243,8 +276,8 @@ def _pre(node: Node) -> list[str]:
         if isinstance(k, str):
             parts.append(k)
         elif k is node or visible(k):
-            parts.append("\n" if k.tag == "br" else "")
-            todo += reversed(k.kids)
+            parts.append("\n" if k.tag == "br" else k.attrs.get("alt", "") if k.tag == "img" else k.attrs.get("value", "") if k.tag == "input" and k.attrs.get("type", "text").lower() not in NO_VALUE else "")
+            todo += reversed(shown(k))
     lines = [x.rstrip() for x in "".join(parts).expandtabs(8).replace("\r\n", "\n").split("\n")]
     while lines and not lines[0]:
         lines.pop(0)
@@ -253,7 +286,7 @@ def _pre(node: Node) -> list[str]:
     return lines
 
 
-def _list(node: Node) -> list[str]:
+def _list(node: Node) -> Generator:
     out: list[str] = []
     start = node.attrs.get("start", "1")
     number = int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1
@@ -263,15 +296,15 @@ def _list(node: Node) -> list[str]:
             if visible(kid):
                 mark = f"{number}. " if node.tag == "ol" else "- "
                 number += 1
-                lines = _render(kid)
+                lines = yield _render(kid)
                 out += [(mark if k == 0 else " " * len(mark)) + x if x else x for k, x in enumerate(lines)]
         elif kid is not None and (isinstance(kid, Node) or kid.strip()):
             loose.kids = [kid]
-            out += _indented(loose, "  ")
+            out += yield _indented(loose, "  ")
     return out
 
 
-def _table(node: Node) -> list[str]:
+def _table(node: Node) -> Generator:
     """Caption, then rows with cells padded to the width of their column; a cell of many lines takes many lines."""
     rows: list[list[list[str]]] = []
     before: list[str] = []
@@ -290,7 +323,8 @@ def _table(node: Node) -> list[str]:
                     if c.strip():
                         cells.append([_SPACES.sub(" ", c).strip()])
                 elif visible(c):
-                    cells.append(_render(c) if c.tag in ("td", "th") else _render(_wrap(c)))
+                    lines = yield _render(c if c.tag in ("td", "th") else _wrap(c))
+                    cells.append(lines)
                     span = c.attrs.get("colspan", "1")
                     cells += [[]] * (min(int(span), 100) - 1 if span.isdigit() and len(span) < 6 else 0)
             if any(cells):
@@ -298,7 +332,7 @@ def _table(node: Node) -> list[str]:
         elif k is node or k.tag in ("tbody", "thead", "tfoot"):
             todo += reversed(k.kids)
         elif k.tag not in ("col", "colgroup"):
-            before += _render(_wrap(k))
+            before += yield _render(_wrap(k))
     n = max((len(r) for r in rows), default=0)
     width = [max((len(x) for r in rows if k < len(r) for x in r[k]), default=0) for k in range(n)]
     lines = list(before)
@@ -318,38 +352,19 @@ def render(source: str) -> str:
     """Visible text of a page."""
     root = parse(source)
     body = root.kids[1]
-    return "\n".join(_render(body)) if visible(body) else ""
+    return "\n".join(_run(_render(body))) if visible(body) else ""
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", source: str = "html") -> DataFrame:
     """page_id, n_chars, text: one row per page, nothing shuffled.
 
-    Null and empty pages give empty text; ill-formed UTF-8 is read as U+FFFD; markup nested beyond the interpreter's depth
-    is rendered flat, without list marks and table cells. Repeated and null ids stay as they are.
+    Null and empty pages give empty text; ill-formed UTF-8 is read as U+FFFD; markup may be nested to any depth. Repeated
+    and null ids stay as they are.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = []
-            for body in b.column("body"):
-                source_text = body.as_py().decode("utf-8", "replace")
-                try:
-                    texts.append(render(source_text))
-                except RecursionError:
-                    texts.append(flat(source_text))
+            texts = [render(body.as_py().decode("utf-8", "replace")) for body in b.column("body")]
             yield pa.RecordBatch.from_pydict({"page_id": b.column("id"), "n_chars": [len(t) for t in texts], "text": texts})
 
     return pages.select(F.col(page_id).cast("long").alias("id"), text_bytes(source).alias("body")).mapInArrow(run, "page_id long, n_chars long, text string")
-
-
-def flat(source: str) -> str:
-    """Visible text with a line for each run of text."""
-    out, todo = [], [parse(source).kids[1]]
-    while todo:
-        k = todo.pop()
-        if isinstance(k, str):
-            if line := _SPACES.sub(" ", k).strip(" "):
-                out.append(line)
-        elif visible(k):
-            todo += reversed(k.kids)
-    return "\n".join(out)
