@@ -388,3 +388,11 @@ def test_rows_keep_their_numbers_when_splits_change(spark, docs, monkeypatch):
 ])
 def test_html_of_drawings_forms_and_depth(spark, source, text):
     assert html_text.extract(spark.createDataFrame([(1, source)], "page_id long, html string")).first().text == text
+
+
+def test_media_rows_name_their_images(odd):
+    for r in media.media_columns(odd).collect():
+        with open(r.shard.removeprefix("file://"), "rb") as f:
+            f.seek(r.offset)
+            image = f.read(r.length)
+        assert hashlib.sha256(image).hexdigest() == r.digest == r.media_sha256 and media.png_header(image)[:2] == (r.width, r.height)

@@ -155,9 +155,9 @@ def contents(index: DataFrame, folder: str) -> DataFrame:
 
     def row(file, offset, length):
         file.seek(offset)
-        header = png_header(file.read(HEADER_BYTES))
-        file.seek(offset)
-        image = file.read(length)
+        head = file.read(HEADER_BYTES)
+        image = head + file.read(length - len(head))
+        header = png_header(head)
         payload = from_png(image)
         return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(image), hashlib.sha256(image).hexdigest(), features(payload, *header[:2]), *header
 
@@ -166,8 +166,12 @@ def contents(index: DataFrame, folder: str) -> DataFrame:
 
 
 def media_columns(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of docs with the columns of ``contents``; rows of equal texts share one stored image."""
+    """One row per row of docs with its image's digest, shard (a path in the shared folder), offset, length and the columns of ``contents``.
+
+    Rows of equal texts share one stored image. Only narrow columns are joined. The header is the start of the one read of an image.
+    """
     folder = new_folder(docs.sparkSession, "media")
     rows, index = store(docs, folder, doc_id, text)
     read = written(contents(index, folder))
-    return rows.join(read, "digest").drop("digest")
+    place = index.select("digest", F.concat(F.lit(f"{folder}/"), "shard").alias("shard"), "offset", "length")
+    return rows.join(place.join(read, "digest"), "digest")
