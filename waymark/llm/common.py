@@ -11,6 +11,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 8 << 20
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only where it is unset."""
@@ -22,6 +24,14 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB in this session, unless it asks for less: two tasks of an executor hold several copies of a batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """A checkpoint of df in the shared folder: cuts lineage, survives lost executors, goes when it is no longer referenced."""
     shared_dir(df.sparkSession)
@@ -57,6 +67,7 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     The number is that of ``numbered`` docs; others are numbered anew by each scan, as the scan is split: join no two of them.
     """
+    small_batches(docs.sparkSession)
     row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
     return docs.select(row.alias("row"), F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("body"))
 
@@ -73,8 +84,8 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def pick(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows of numbered docs whose number is in rows(row), without the number."""
-    return docs.join(rows.select(F.col("row").alias(ROW)), ROW, "left_semi").drop(ROW)
+    """Rows of numbered docs whose number is in rows(row), without the number. Only numbers are hashed; texts aren't sorted."""
+    return docs.join(rows.select(F.col("row").alias(ROW)).hint("shuffle_hash"), ROW, "left_semi").drop(ROW)
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -23,39 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.common import keyed_once, pinned, written, zipped
+from waymark.llm.prints import PART, Fingerprints
 
 SPAN = 200
-_PART = 1 << 20  # bytes hashed at a time
 _SALT_FROM = 512  # suffixes of one k-gram that one task compares
 
 
-class Fingerprints:
-    """Polynomial fingerprints modulo 2**64 of any stretch of a buffer, by prefix sums."""
-
-    base = np.uint64(0x9E3779B97F4A7C15)
-
-    def __init__(self, size: int = 2 * _PART):
-        inverse = np.uint64(pow(int(self.base), -1, 1 << 64))
-        letters = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype="u8")
-        self.letters = letters * np.uint64(2) + np.uint64(1)
-        powers = lambda b: np.multiply.accumulate(np.concatenate([np.ones(1, "u8"), np.full(size, b, "u8")]))
-        self.up, self.down = powers(self.base), powers(inverse)
-
-    def sums(self, data: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(data) + 1, "u8")
-        np.cumsum(self.letters[data] * self.up[: len(data)], out=out[1:])
-        return out
-
-    def of(self, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((sums[end] - sums[start]) * self.down[start])
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def anchors(fp: Fingerprints, data: np.ndarray, ends: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
     """(token, stretch, lo, count) of the suffixes of a buffer of texts that end at ends.
 
@@ -92,7 +65,7 @@ def anchors(fp: Fingerprints, data: np.ndarray, ends: np.ndarray, span: int) ->
     return token, stretch, lo, count
 
 
-def parts(bodies: list[bytes], span: int, part: int = _PART) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def parts(bodies: list[bytes], span: int, part: int = PART) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Texts joined to buffers of about ``part`` bytes: (bytes, ends, index of each text, offset of its first byte).
 
     A longer text is cut with an overlap of span - 1 bytes, so that each string lies in one piece.
