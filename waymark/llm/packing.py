@@ -30,6 +30,8 @@ END = 2
 _SIMPLE_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _SIMPLE_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
+_HELD = 16 << 20
+
 
 class _Letters(dict):
     """The letters of a character's UTF-8 bytes."""
@@ -74,6 +76,7 @@ class WordTokenizer:
         self.parts: dict[str, bytes] = {}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0  # characters and bytes in young
         self.cache = cache
 
     def _part(self, part: str) -> bytes:
@@ -110,10 +113,11 @@ class WordTokenizer:
         words = text.split()
         young, old = self.young, self.old
         for w in set(words).difference(young):
-            young[w] = old[w] if w in old else self._word(w)
+            young[w] = found = old[w] if w in old else self._word(w)
+            self.held += len(w) + len(found)
         out = b"".join(map(young.__getitem__, words))
-        if len(young) > self.cache // 2:
-            self.old, self.young = young, {}
+        if len(young) > self.cache // 2 or self.held > _HELD:
+            self.old, self.young, self.held = young, {}, 0
         return out
 
 

@@ -40,7 +40,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels"))).drop("row")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -286,7 +286,7 @@ def repeats(rows: DataFrame, span: int = SPAN) -> DataFrame:
     open_ = found.filter("not known")
     sizes = pinned(open_.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1"))
     asked = open_.join(sizes, "token").select("row", F.struct("token", "lo", "count", F.expr(f"cast(size div {_SALT_FROM} + 1 as int)").alias("salts")).alias("q")).groupBy("row").agg(F.collect_list("q").alias("asked"))
-    strings = zipped(rows).drop("id").join(asked, "row").mapInArrow(_strings(span), "token long, salt int, row long, at binary, prints binary")
+    strings = zipped(rows).drop("id").join(asked.hint("shuffle_hash"), "row").mapInArrow(_strings(span), "token long, salt int, row long, at binary, prints binary")
     met = written(strings.repartition(n, "token", "salt").sortWithinPartitions("token", "salt").mapInArrow(_meet, "row long, lo long, count int"))
     return found.filter("known").select("row", "lo", "count").unionByName(met)
 
@@ -329,4 +329,4 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sp
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
 
     schema = "row long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<array<long>>" * with_text
-    return zipped(rows).join(spans, "row", "left").mapInArrow(run, schema)
+    return zipped(rows).join(spans.hint("shuffle_hash"), "row", "left").mapInArrow(run, schema)

@@ -2,7 +2,8 @@
 
 A linear numpy classifier over words and their openings is fitted on confirmed toxic texts and unlabelled ones. The risk is
 prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)); where the bracket falls below zero, the step goes
-back along it. Only the fit sees a sample; every text is scored whole.
+back along it. Every training text is unlabelled data: tasks take mini-batch gradient steps over their shard of sparse rows
+from the weights they were sent, and the weights move to the mean of the tasks' weights. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -13,13 +14,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed
+from waymark.llm.common import keyed, small_batches, text_bytes, written
 
-#: Documented bounds of the fit: confirmed toxic texts, unlabelled texts, features.
-MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 2500, 5000, 1024
+#: Documented bounds of the fit: confirmed toxic texts (labelled rows), features that may be chosen, chosen features.
+MAX_POSITIVE, MAX_CANDIDATES, MAX_FEATURES = 2500, 32_768, 2048
+#: Rows of a shard, of a mini-batch; rounds, passes over a shard in a round, least steps of a round.
+SHARD, BATCH, ROUNDS, PASSES, LEAST_STEPS = 20_000, 2048, 3, 8, 150
+_CACHE, _LONG = 100_000, 64  # words kept with their features; longer words aren't kept
 FOLDS = 5
 _WORDS = re.compile(r"[^\W\d_]+").findall
 _OPENINGS = (4, 5, 6)
@@ -41,101 +46,238 @@ def text_features(body: bytes) -> np.ndarray:
     return np.unique(np.array([f for w in words for f in word_features(w)], "u4"))
 
 
-def fit_nnpu(x: np.ndarray, positive: np.ndarray, prior: float, rounds: int = 400, rate: float = 0.05, l2: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Weights and bias for features x (rows of zeros and ones); positive marks the confirmed rows, the others are unlabelled."""
-    xp, xu = x[positive], x[~positive]
-    w, b = np.zeros(x.shape[1], "f4"), 0.0
-    m, v = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
+class Rows:
+    """Sparse rows of zeros and ones: the features of row k are those from start[k] to start[k + 1]."""
+
+    def __init__(self, rows: list[np.ndarray], size: int):
+        self.at = np.concatenate([*rows, np.zeros(0, "i8")]).astype("i8")
+        self.count, self.size = np.array([len(r) for r in rows], "i8"), size
+        self.start = np.concatenate([[0], np.cumsum(self.count)])
+
+    def some(self, rows: np.ndarray) -> Rows:
+        return Rows([self.at[self.start[k] : self.start[k + 1]] for k in rows.tolist()], self.size)
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0.0], np.cumsum(w[self.at])])
+        return total[self.start[1:]] - total[self.start[:-1]]
+
+    def back(self, c: np.ndarray) -> np.ndarray:
+        return np.bincount(self.at, np.repeat(c, self.count), self.size)
+
+
+def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, w: np.ndarray, b: float, steps: int, rate: float = 0.05, l2: float = 1e-3, batch: int = BATCH, seed: int = 0) -> tuple[np.ndarray, float]:
+    """Weights and bias after mini-batch steps from w and b."""
+    rng = np.random.default_rng(seed)
+    w, n = w.copy(), len(unlabelled.count)
+    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    for step in range(1, rounds + 1):
-        gp, gu = xp @ w + b, xu @ w + b
+    order, xu = np.zeros(0, "i8"), unlabelled
+    for step in range(1, steps + 1):
+        if n > batch:
+            if len(order) < batch:
+                order = rng.permutation(n)
+            xu, order = unlabelled.some(order[:batch]), order[batch:]
+        gp, gu = positive.dot(w) + b, xu.dot(w) + b
         # logistic loss: l+(g) = log(1 + e^-g), l-(g) = log(1 + e^g)
         below = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
         dp, du = sigmoid(gp), sigmoid(gu)
         up = (prior / len(gp)) * (dp - 1)
         minus_p, minus_u = (-prior / len(gp)) * dp, du / len(gu)
         cp, cu = (up + minus_p, minus_u) if below >= 0 else (-minus_p, -minus_u)
-        grad = np.append(xp.T @ cp + xu.T @ cu + l2 * w, cp.sum() + cu.sum())
+        grad = np.append(positive.back(cp) + xu.back(cu) + l2 * w, cp.sum() + cu.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        w, b = (w - move[:-1]).astype("f4"), b - float(move[-1])
+        w, b = w - move[:-1], b - float(move[-1])
     return w, b
 
 
+class _Found:
+    """Of the features of a text those that a table numbers, by words; a bounded number of words is kept."""
+
+    def __init__(self, places: dict[int, int]):
+        self.places, self.known = places, {}
+
+    def __call__(self, body: bytes) -> list[int]:
+        places, known, found = self.places, self.known, set()
+        for w in set(_WORDS(body.decode("utf-8", "replace").lower())):
+            own = known.get(w)
+            if own is None:
+                own = tuple(places[f] for f in word_features(w) if f in places)
+                if len(w) <= _LONG:
+                    if len(known) >= _CACHE:
+                        known.clear()
+                    known[w] = own
+            if own:
+                found.update(own)
+        return sorted(found)
+
+
 class ToxicityModel:
     """Feature weights; ``weights`` maps feature hashes to their weights."""
 
     def __init__(self, weights: dict[int, float], bias: float):
         self.weights, self.bias = weights, bias
 
-    def score(self, bodies: list[bytes]) -> np.ndarray:
-        weights, known = self.weights, {}
-        out = np.zeros(len(bodies))
-        for k, body in enumerate(bodies):
-            found: set[int] = set()
-            for w in set(_WORDS(body.decode("utf-8", "replace").lower())):
-                own = known.get(w)
-                if own is None:
-                    own = known[w] = tuple(f for f in word_features(w) if f in weights)
-                if own:
-                    found.update(own)
-            # rounded, as sets have no order
-            out[k] = round(self.bias + sum(sorted(weights[f] for f in found)), 9)
-        return 1 / (1 + np.exp(-np.clip(out, -60, 60)))
-
-
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = FOLDS, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> ToxicityModel:
-    """Fit on rows outside fold 0. The class prior is the share of toxic rows among all labelled rows outside it.
-
-    Samples are the rows with the smallest hashes of their ids, so they are the same in every run. Without a confirmed
-    toxic text or an unlabelled one, the model scores every text 0.
+    def scorer(self):
+        """A function of a text's bytes; weights are summed in the order of their features."""
+        features = sorted(self.weights)
+        found, w = _Found({f: k for k, f in enumerate(features)}), [self.weights[f] for f in features]
+        return lambda body: 1 / (1 + np.exp(-np.clip(round(self.bias + sum(w[k] for k in found(body)), 9), -60, 60)))
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_pydict({"id": b.column("id"), "f": [text_features(x.as_py()).tobytes() for x in b.column("body")]})
+
+
+def _matched(sent):
+    """(id, f): places of the candidate features of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _Found(sent.value)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([np.array(found(x.as_py()), "<u2").tobytes() for x in b.column("body")], pa.binary())], names=["id", "f"])
+
+    return run
+
+
+def _counted(size: int):
+    """One row for each task: texts, and how many of them hold each candidate."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = 0, np.zeros(size, "i8")
+        for b in batches:
+            n += b.num_rows
+            total += np.bincount(np.frombuffer(b"".join(b.column("f").to_pylist()), "<u2"), minlength=size)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n))], names=["at", "n"])
+
+    return run
+
+
+def _steps(sent, size: int, prior: float):
+    """One row for each shard: its texts, and the weights after its steps."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        positive, w, b, round_ = sent.value
+        now, held = None, []
+
+        def done() -> pa.RecordBatch:
+            rows = Rows(held, size)
+            steps = max(LEAST_STEPS, PASSES * (-(-len(held) // BATCH)))
+            w1, b1 = fit_nnpu(Rows(positive, size), rows, prior, w, b, steps, rate=0.05 / (1 + round_), seed=now)
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([len(held)], pa.int64()), pa.array([np.append(w1, b1).astype("<f8").tobytes()], pa.binary())], names=["shard", "n", "w"])
+
+        for batch in batches:
+            for shard, f in zip(batch.column("shard").to_pylist(), batch.column("f").to_pylist(), strict=True):
+                if shard != now and held:
+                    yield done()
+                    held = []
+                now = shard
+                held.append(np.frombuffer(f, "<u2"))
+        if held:
+            yield done()
+
+    return run
+
+
+def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of n and of n * w of a partition."""
+    n, total = 0, None
+    for b in batches:
+        for k, w in zip(b.column("n").to_pylist(), b.column("w").to_pylist(), strict=True):
+            n, total = n + k, k * np.frombuffer(w, "<f8") + (0 if total is None else total)
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["n", "w"])
+
+
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = FOLDS, max_positive: int = MAX_POSITIVE) -> ToxicityModel:
+    """Fit on rows outside fold 0: at most max_positive confirmed toxic texts, and all texts as unlabelled ones.
+
+    The class prior is the share of toxic rows among all labelled rows outside fold 0. Confirmed texts are those with the
+    smallest hashes of their ids, shards are dealt by ids, so that they are the same in every run. Rows with null ids and
+    null labels are left out. Without a confirmed toxic text, or without a text of another kind, every text scores 0.
     """
+    spark = docs.sparkSession
     own = labels.select(F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("y")).filter(F.col("id").isNotNull() & F.col("y").isNotNull() & (fold(F.col("id"), folds) != 0))
     prior = own.agg(F.avg((F.col("y") == 1).cast("double"))).first()[0] or 0.0
-    rows = keyed(docs, doc_id, text).filter(F.col("id").isNotNull() & (fold(F.col("id"), folds) != 0))
-
-    def sample(ids: DataFrame, n: int) -> DataFrame:
-        return ids.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(n)
-
-    def texts(ids: DataFrame, n: int) -> list[np.ndarray]:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield pa.RecordBatch.from_pydict({"id": b.column("id"), "f": [text_features(x.as_py()).tobytes() for x in b.column("body")]})
-
-        # At most n ids are broadcast, n rows come back.
-        got = rows.join(F.broadcast(ids), "id").select("id", "body").mapInArrow(run, "id long, f binary").orderBy(F.xxhash64("id"), "id", "f").limit(n).select("f").toArrow()
-        return [np.frombuffer(f, "u4") for f in got["f"].to_pylist()]
-
-    p = texts(sample(own.filter("y = 1"), max_positive), max_positive)
-    u = texts(sample(rows, max_unlabelled), max_unlabelled)
-    if not p or not u or not 0 < prior < 1:
-        return ToxicityModel({}, -60.0)
-    ids, where = np.unique(np.concatenate(p + u), return_inverse=True)
-    row = np.repeat(np.arange(len(p) + len(u)), [len(x) for x in p + u])
-    in_p, in_u = (np.bincount(where[(row < len(p)) == side], minlength=len(ids)) for side in (True, False))
-    rate_p, rate_u = (in_p + 0.5) / (len(p) + 1), (in_u + 0.5) / (len(u) + 1)
-    gain = np.where((in_p >= max(3, len(p) // 500)) & (rate_p > 2 * rate_u), in_p * np.log(rate_p / rate_u), 0)
-    chosen = np.sort(np.argsort(-gain, kind="stable")[:MAX_FEATURES])
-    chosen = chosen[gain[chosen] > 0]
+    none = ToxicityModel({}, -60.0)
+    if not 0 < prior < 1:
+        return none
+    rows = keyed(docs, doc_id, text).filter(F.col("id").isNotNull() & (fold(F.col("id"), folds) != 0)).select("id", "body")
+    # At most max_positive ids are broadcast, as many rows come back.
+    ids = own.filter("y = 1").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(max_positive)
+    got = rows.join(F.broadcast(ids), "id").mapInArrow(_features, "id long, f binary").orderBy(F.xxhash64("id"), "id", "f").limit(max_positive).select("f").toArrow()
+    p = [np.frombuffer(f, "u4") for f in got["f"].to_pylist()]
+    if not p:
+        return none
+    found, in_p = np.unique(np.concatenate(p), return_counts=True)
+    often = np.flatnonzero(in_p >= max(3, len(p) // 500))
+    often = np.sort(often[np.argsort(-in_p[often], kind="stable")[:MAX_CANDIDATES]])
+    if not len(often):
+        return none
+    candidates, in_p = found[often], in_p[often]
+    matched = written(rows.mapInArrow(_matched(spark.sparkContext.broadcast({int(f): k for k, f in enumerate(candidates)})), "id long, f binary"))
+    counts = {r.at: r.n for r in matched.mapInArrow(_counted(len(candidates)), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}  # a row for each candidate at most
+    n = counts.pop(-1, 0)
+    if n <= len(p):
+        return none
+    in_u = np.array([counts.get(k, 0) for k in range(len(candidates))])
+    rate_p, rate_u = (in_p + 0.5) / (len(p) + 1), (in_u + 0.5) / (n + 1)
+    gain = np.where(rate_p > 2 * rate_u, in_p * np.log(rate_p / rate_u), 0)
+    chosen = np.argsort(-gain, kind="stable")[:MAX_FEATURES]
+    chosen = np.sort(chosen[gain[chosen] > 0])
     if not len(chosen):
-        return ToxicityModel({}, -60.0)
-    place = np.full(len(ids), -1)
+        return none
+    place = np.full(len(candidates), -1)
     place[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(p) + len(u), len(chosen)), "f4")
-    kept = place[where] >= 0
-    x[row[kept], place[where[kept]]] = 1
-    w, b = fit_nnpu(x, np.arange(len(x)) < len(p), prior)
-    return ToxicityModel({int(i): float(v) for i, v in zip(ids[chosen], w, strict=True)}, b)
+
+    def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for f in b.column("f").to_pylist():
+                k = place[np.frombuffer(f, "<u2")]
+                out.append(k[k >= 0].astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("shard"), b.column("id"), pa.array(out, pa.binary())], names=["shard", "id", "f"])
+
+    shards = n // SHARD + 1
+    sharded = matched.select(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"), "id", "f").mapInArrow(narrowed, "shard long, id long, f binary")
+    parts = max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    sharded = written(sharded.repartition(parts, "shard").sortWithinPartitions("shard", "id", "f").select("shard", "f"))
+    positive = []
+    for x in p:
+        k = place[np.minimum(np.searchsorted(candidates, x), len(candidates) - 1)]
+        positive.append(k[(k >= 0) & np.isin(x, candidates)])
+    w, b = np.zeros(len(chosen)), 0.0
+    for round_ in range(ROUNDS):
+        sent = spark.sparkContext.broadcast((positive, w, b, round_))
+        moved = sharded.mapInArrow(_steps(sent, len(chosen), prior), "shard long, n long, w binary").repartition(8, "shard").mapInArrow(_mean, "n long, w binary").collect()
+        mean = sum(np.frombuffer(r.w, "<f8") for r in moved) / sum(r.n for r in moved)
+        w, b = mean[:-1], float(mean[-1])
+    return ToxicityModel({int(i): float(v) for i, v in zip(candidates[chosen], w, strict=True)}, b)
+
+
+def score_column(model: ToxicityModel, text: Column) -> Column:
+    """The score of a text (null counts as empty) as a column, so that a filter by it moves no row."""
+    sent = SparkContext.getOrCreate().broadcast(model)  # at most MAX_FEATURES weights
+
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        score = sent.value.scorer()
+        for bodies in batches:
+            yield pa.array([score(x.as_py() or b"") for x in bodies], pa.float64())
+
+    return run(text)
 
 
 def score(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text", folds: int = FOLDS) -> DataFrame:
-    """row, doc_id, held_out, score, predicted for each row of docs. Empty and null texts score the bias alone."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES weights
+    """doc_id, held_out, score, predicted for each row of docs, in its order. Empty and null texts score the bias alone."""
+    small_batches(docs.sparkSession)
+    got = docs.select(F.col(doc_id).cast("long").alias("doc_id"), score_column(model, text_bytes(text)).alias("score"))
+    return got.select("doc_id", (fold(F.col("doc_id"), folds) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            s = sent.value.score(b.column("body").to_pylist())
-            yield pa.RecordBatch.from_pydict({"row": b.column("row"), "doc_id": b.column("id"), "score": s})
 
-    got = keyed(docs, doc_id, text).mapInArrow(run, "row long, doc_id long, score double")
-    return got.select("row", "doc_id", (fold(F.col("doc_id"), folds) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+def drop_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
+    """Rows of docs, with all their columns, whose text scores below one half."""
+    small_batches(docs.sparkSession)
+    return docs.filter(score_column(model, text_bytes(text)) < 0.5)
