@@ -16,10 +16,11 @@ from waymark.llm.queries import WORDS
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't call toxic; it learns from the rows outside fold 0 of docs and of labels."""
-    docs = numbered(docs)
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return pick(docs, toxicity.score(docs, model).filter("predicted = 0"))
+    """Documents that the classifier doesn't call toxic; it learns from the rows outside fold 0 of docs and of labels.
+
+    Each row is judged by its own text alone: null and empty texts stay, as do repeated and null ids. An empty table gives none.
+    """
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
