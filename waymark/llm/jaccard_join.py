@@ -35,6 +35,7 @@ from waymark.llm.prints import WordHashes
 WORDS, NUM, DEN = 5, 75, 100
 _HEAVY_SHARE, _HEAVY_FROM, _HEAVY_MOST = 32, 8, 100_000
 _CELL, _PIVOTS = 256, 8
+_BROADCAST = 500_000  # most row numbers
 _LEVELS = 4  # divisions of a region at most
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], "u8")
 
@@ -454,7 +455,10 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def verify(pairs: DataFrame) -> DataFrame:
         """Links among pairs. Only texts that sketches couldn't rule out are shuffled."""
         sides = pinned(pairs.select("a", "b", F.explode(F.array("a", "b")).alias("row")))
-        texts = zipped(rows.join(sides.select("row").distinct().hint("shuffle_hash"), "row", "left_semi")).select("row", "body")
+        wanted = pinned(sides.select("row").distinct())
+        # Row numbers alone are broadcast, as long as they are few.
+        wanted = F.broadcast(wanted) if wanted.count() <= _BROADCAST else wanted.hint("shuffle_hash")
+        texts = zipped(rows.join(wanted, "row", "left_semi")).select("row", "body")
         return pinned(sides.join(texts, "row").select("a", "b", "row", "body").repartition(n, "a", "b").sortWithinPartitions("a", "b", "row").mapInArrow(_verified(words, num, den), "a long, b long"))
 
     links = verify(asked)
@@ -474,34 +478,44 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def _between(search: _Search, active: DataFrame, asked: DataFrame, roots: DataFrame, verify) -> DataFrame:
     """Roots after links between the components within the regions of active(region, node, n, at, sketch, peer)."""
+    leaves = None
     for best in (True, False):
-        labelled = pinned(active.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-        counts = labelled.groupBy("region", "root").agg(F.count("*").alias("size"))
-        main = pinned(counts.groupBy("region").agg(F.max(F.struct("size", F.col("root"))).alias("m"), F.count("*").alias("kinds")).filter("kinds > 1").select("region", F.col("m.root").alias("main")))
-        apart = labelled.join(main, "region").withColumn("apart", F.col("root") != F.col("main")).drop("main")
-        # Outsiders that are peers against all, and those that are fringe against the peers.
-        now = apart.select("*", F.expr("apart and peer").alias("owner"), F.lit(True).alias("inside")).unionByName(apart.filter("apart or peer").withColumn("region", F.xxhash64("region", F.lit("fringe"))).select("*", F.expr("apart and not peer").alias("owner"), F.col("peer").alias("inside"))).drop("apart", "peer")
-        # Regions with many of both go by bands of size, then by Voronoi regions.
-        many = pinned(now.groupBy("region").agg(F.count_if("owner").alias("k"), F.count_if("inside").alias("size")).filter(f"k > {_CELL} and size > {_CELL}").select("region"))
-        leaves, pairs = now.join(many, "region", "left_anti"), []
-        if not many.isEmpty():
-            rest = pinned(search.banded(now.join(many, "region", "left_semi")))
-            for level in range(_LEVELS):
-                whole, parts, tested = search.divide(rest, level)
-                leaves, rest = leaves.unionByName(pinned(whole)), pinned(parts)
-                pairs.append(tested)
-                if rest.isEmpty():
-                    break
-            leaves = leaves.unionByName(rest)
-        candidates = search.crossing(pinned(leaves), best)
-        for p in pairs:
+        if leaves is None:
+            leaves, tested = _divided(search, active, roots)
+        candidates = search.crossing(leaves, best)
+        for p in tested:
             candidates = candidates.unionByName(p)
         found = pinned(candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        more = found.join(asked, ["a", "b"], "left_anti")
-        links = verify(more)
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+        more = pinned(found.join(asked, ["a", "b"], "left_anti"))
+        links = verify(more) if not more.isEmpty() else more
         # The nearest one of each component is enough where it is a link.
-        if found.join(links, ["a", "b"], "left_anti").isEmpty():
+        done = found.join(links, ["a", "b"], "left_anti").isEmpty()
+        if not links.isEmpty():
+            roots, leaves = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)), None
+        if done:
             break
         asked = asked.unionByName(more)
     return roots
+
+
+def _divided(search: _Search, active: DataFrame, roots: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Regions to be searched for links between their components, and pairs with pivots that are to be tested."""
+    labelled = pinned(active.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    counts = labelled.groupBy("region", "root").agg(F.count("*").alias("size"))
+    main = pinned(counts.groupBy("region").agg(F.max(F.struct("size", F.col("root"))).alias("m"), F.count("*").alias("kinds")).filter("kinds > 1").select("region", F.col("m.root").alias("main")))
+    apart = labelled.join(main, "region").withColumn("apart", F.col("root") != F.col("main")).drop("main")
+    # Outsiders that are peers against all, and those that are fringe against the peers.
+    now = apart.select("*", F.expr("apart and peer").alias("owner"), F.lit(True).alias("inside")).unionByName(apart.filter("apart or peer").withColumn("region", F.xxhash64("region", F.lit("fringe"))).select("*", F.expr("apart and not peer").alias("owner"), F.col("peer").alias("inside"))).drop("apart", "peer")
+    # Regions with many of both go by bands of size, then by Voronoi regions.
+    many = pinned(now.groupBy("region").agg(F.count_if("owner").alias("k"), F.count_if("inside").alias("size")).filter(f"k > {_CELL} and size > {_CELL}").select("region"))
+    leaves, pairs = now.join(many, "region", "left_anti"), []
+    if not many.isEmpty():
+        rest = pinned(search.banded(now.join(many, "region", "left_semi")))
+        for level in range(_LEVELS):
+            whole, parts, tested = search.divide(rest, level)
+            leaves, rest = leaves.unionByName(pinned(whole)), pinned(parts)
+            pairs.append(tested)
+            if rest.isEmpty():
+                break
+        leaves = leaves.unionByName(rest)
+    return pinned(leaves), pairs
