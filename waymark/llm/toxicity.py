@@ -8,8 +8,6 @@ from the weights they were sent, and the weights move to the mean of the tasks'
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,14 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.common import keyed, small_batches, text_bytes, written
+from waymark.llm.prints import PART, WordHashes
 
 #: Documented bounds of the fit: confirmed toxic texts (labelled rows), features that may be chosen, chosen features.
 MAX_POSITIVE, MAX_CANDIDATES, MAX_FEATURES = 2500, 32_768, 2048
 #: Rows of a shard, of a mini-batch; rounds, passes over a shard in a round, least steps of a round.
 SHARD, BATCH, ROUNDS, PASSES, LEAST_STEPS = 20_000, 2048, 3, 8, 150
-_CACHE, _LONG = 100_000, 64  # words kept with their features; longer words aren't kept
 FOLDS = 5
-_WORDS = re.compile(r"[^\W\d_]+").findall
+_NO_WORD = bytes(c for c in range(128) if not chr(c).isalpha())
 _OPENINGS = (4, 5, 6)
 
 
@@ -35,15 +33,42 @@ def fold(doc_id: Column, folds: int = FOLDS) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds
 
 
-def word_features(word: str) -> list[int]:
-    """Hashes of a word and of its openings."""
-    return [zlib.crc32(b"=" + word.encode())] + [zlib.crc32(b"^" + word[:n].encode()) for n in _OPENINGS if len(word) >= n]
+class Features:
+    """Hashes of the words of texts and of their first 4, 5 and 6 bytes. Words are runs of ASCII letters and of bytes beyond."""
 
+    def __init__(self):
+        self.hashes = WordHashes(_NO_WORD)
 
-def text_features(body: bytes) -> np.ndarray:
-    """Sorted different features of a text."""
-    words = set(_WORDS(body.decode("utf-8", "replace").lower()))
-    return np.unique(np.array([f for w in words for f in word_features(w)], "u4"))
+    def __call__(self, bodies: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(number of the text, feature), a buffer of texts at a time; a word beyond the buffer counts as none."""
+        for index, held in self.hashes.groups(bodies):
+            if len(held[0]) > PART:
+                continue
+            sums, start, end, text = self.hashes.spots(held)
+            found, whose = [self.hashes.prints.of(sums, start, end) ^ np.uint64(1)], [text]
+            for n in _OPENINGS:
+                long = end - start >= n
+                found.append(self.hashes.prints.of(sums, start[long], start[long] + n))
+                whose.append(text[long])
+            yield np.array(index)[np.concatenate(whose)], np.concatenate(found)
+
+
+class Matcher:
+    """Of the features of texts those in a sorted array."""
+
+    def __init__(self, features: np.ndarray):
+        self.features, self.of = features, Features()
+
+    def __call__(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the text, place of the feature), each pair once, in order."""
+        keys = [np.zeros(0, "i8")]
+        if len(self.features):
+            for text, f in self.of(bodies):
+                place = np.minimum(np.searchsorted(self.features, f), len(self.features) - 1)
+                hit = self.features[place] == f
+                keys.append(np.unique(text[hit] << 16 | place[hit]))
+        key = np.unique(np.concatenate(keys))
+        return key >> 16, key & 0xFFFF
 
 
 class Rows:
@@ -55,7 +80,11 @@ class Rows:
         self.start = np.concatenate([[0], np.cumsum(self.count)])
 
     def some(self, rows: np.ndarray) -> Rows:
-        return Rows([self.at[self.start[k] : self.start[k + 1]] for k in rows.tolist()], self.size)
+        out = Rows([], self.size)
+        out.count = self.count[rows]
+        out.start = np.concatenate([[0], np.cumsum(out.count)])
+        out.at = self.at[np.arange(out.start[-1]) + np.repeat(self.start[rows] - out.start[:-1], out.count)]
+        return out
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0.0], np.cumsum(w[self.at])])
@@ -72,46 +101,28 @@ def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, w: np.ndarray, b: f
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     order, xu = np.zeros(0, "i8"), unlabelled
+    every, xp = positive, positive
     for step in range(1, steps + 1):
         if n > batch:
             if len(order) < batch:
                 order = rng.permutation(n)
             xu, order = unlabelled.some(order[:batch]), order[batch:]
-        gp, gu = positive.dot(w) + b, xu.dot(w) + b
+        if len(every.count) > batch // 4:
+            xp = every.some(rng.choice(len(every.count), batch // 4, replace=False))
+        gp, gu = xp.dot(w) + b, xu.dot(w) + b
         # logistic loss: l+(g) = log(1 + e^-g), l-(g) = log(1 + e^g)
         below = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
         dp, du = sigmoid(gp), sigmoid(gu)
         up = (prior / len(gp)) * (dp - 1)
         minus_p, minus_u = (-prior / len(gp)) * dp, du / len(gu)
         cp, cu = (up + minus_p, minus_u) if below >= 0 else (-minus_p, -minus_u)
-        grad = np.append(positive.back(cp) + xu.back(cu) + l2 * w, cp.sum() + cu.sum())
+        grad = np.append(xp.back(cp) + xu.back(cu) + l2 * w, cp.sum() + cu.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - float(move[-1])
     return w, b
 
 
-class _Found:
-    """Of the features of a text those that a table numbers, by words; a bounded number of words is kept."""
-
-    def __init__(self, places: dict[int, int]):
-        self.places, self.known = places, {}
-
-    def __call__(self, body: bytes) -> list[int]:
-        places, known, found = self.places, self.known, set()
-        for w in set(_WORDS(body.decode("utf-8", "replace").lower())):
-            own = known.get(w)
-            if own is None:
-                own = tuple(places[f] for f in word_features(w) if f in places)
-                if len(w) <= _LONG:
-                    if len(known) >= _CACHE:
-                        known.clear()
-                    known[w] = own
-            if own:
-                found.update(own)
-        return sorted(found)
-
-
 class ToxicityModel:
     """Feature weights; ``weights`` maps feature hashes to their weights."""
 
@@ -119,24 +130,36 @@ class ToxicityModel:
         self.weights, self.bias = weights, bias
 
     def scorer(self):
-        """A function of a text's bytes; weights are summed in the order of their features."""
-        features = sorted(self.weights)
-        found, w = _Found({f: k for k, f in enumerate(features)}), [self.weights[f] for f in features]
-        return lambda body: 1 / (1 + np.exp(-np.clip(round(self.bias + sum(w[k] for k in found(body)), 9), -60, 60)))
+        """A function of texts; the weights of a text are summed in the order of their features."""
+        features = np.array(sorted(self.weights), "u8")
+        match, w = Matcher(features), np.array([self.weights[int(f)] for f in features])
+
+        def score(bodies: list[bytes]) -> np.ndarray:
+            text, place = match(bodies)
+            return 1 / (1 + np.exp(-np.clip(self.bias + np.bincount(text, w[place], len(bodies)), -60, 60)))
+
+        return score
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, f): the different features of each text."""
+    of = Features()
     for b in batches:
-        yield pa.RecordBatch.from_pydict({"id": b.column("id"), "f": [text_features(x.as_py()).tobytes() for x in b.column("body")]})
+        bodies, out = b.column("body").to_pylist(), []
+        for body in bodies:
+            out.append(np.unique(np.concatenate([f for _, f in of([body])] or [np.zeros(0, "u8")])).tobytes())
+        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(out, pa.binary())], names=["id", "f"])
 
 
 def _matched(sent):
     """(id, f): places of the candidate features of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _Found(sent.value)
+        match = Matcher(sent.value)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([np.array(found(x.as_py()), "<u2").tobytes() for x in b.column("body")], pa.binary())], names=["id", "f"])
+            text, place = match(b.column("body").to_pylist())
+            out = np.split(place.astype("<u2"), np.searchsorted(text, np.arange(1, b.num_rows)))[: b.num_rows]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([x.tobytes() for x in out], pa.binary())], names=["id", "f"])
 
     return run
 
@@ -208,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     # At most max_positive ids are broadcast, as many rows come back.
     ids = own.filter("y = 1").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(max_positive)
     got = rows.join(F.broadcast(ids), "id").mapInArrow(_features, "id long, f binary").orderBy(F.xxhash64("id"), "id", "f").limit(max_positive).select("f").toArrow()
-    p = [np.frombuffer(f, "u4") for f in got["f"].to_pylist()]
+    p = [np.frombuffer(f, "u8") for f in got["f"].to_pylist()]
     if not p:
         return none
     found, in_p = np.unique(np.concatenate(p), return_counts=True)
@@ -217,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     if not len(often):
         return none
     candidates, in_p = found[often], in_p[often]
-    matched = written(rows.mapInArrow(_matched(spark.sparkContext.broadcast({int(f): k for k, f in enumerate(candidates)})), "id long, f binary"))
+    matched = written(rows.mapInArrow(_matched(spark.sparkContext.broadcast(candidates)), "id long, f binary"))
     counts = {r.at: r.n for r in matched.mapInArrow(_counted(len(candidates)), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}  # a row for each candidate at most
     n = counts.pop(-1, 0)
     if n <= len(p):
@@ -265,7 +288,7 @@ def score_column(model: ToxicityModel, text: Column) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         score = sent.value.scorer()
         for bodies in batches:
-            yield pa.array([score(x.as_py() or b"") for x in bodies], pa.float64())
+            yield pa.array(score(bodies.to_pylist()), pa.float64())
 
     return run(text)
 
