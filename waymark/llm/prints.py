@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import xxhash
 
-PART = 1 << 20  # bytes hashed at a time
+PART = 1 << 18  # bytes hashed at a time
 _WHITE = b" \t\n\x0b\x0c\r"
 
 
@@ -41,51 +42,61 @@ class Fingerprints:
 class WordHashes:
     """64-bit hashes of the words of texts, a buffer of texts at a time; A-Z hash like a-z. Nothing is kept between buffers."""
 
-    def __init__(self):
+    def __init__(self, white: bytes = _WHITE):
         self.prints = Fingerprints(2 * PART + 2)
         self.prints.letters[65:91] = self.prints.letters[97:123]
         self.white = np.zeros(256, bool)
-        self.white[list(_WHITE)] = True
+        self.white[list(white)] = True
+        self.within = re.compile(b"[^" + re.escape(white) + b"]*")
 
     def of(self, bodies: Iterable[bytes]) -> Iterator[np.ndarray]:
         """The word hashes of each text, in order."""
+        now, parts = 0, []
+        for index, held in self.groups(bodies):
+            if len(held[0]) > PART:  # one word has a hash of its own kind
+                found = [np.array([xxhash.xxh3_64_intdigest(held[0].lower())], "u8")]
+            else:
+                sums, start, end, text = self.spots(held)
+                found = np.split(self.prints.of(sums, start, end), np.searchsorted(text, np.arange(1, len(held))))
+            for k, h in zip(index, found, strict=True):
+                if k != now:
+                    yield np.concatenate(parts)
+                    now, parts = k, []
+                parts.append(h)
+        if parts:
+            yield np.concatenate(parts)
+
+    def groups(self, bodies: Iterable[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
+        """(number of its text, piece) of all texts, by buffers. Longer texts are cut where a word ends; a longer word comes alone."""
+        index: list[int] = []
         held: list[bytes] = []
         size = 0
-        for body in bodies:
-            if held and size + len(body) > PART:
-                yield from self._short(held)
-                held, size = [], 0
-            if len(body) > PART:
-                yield self._long(body)
-            else:
-                held.append(body)
-                size += len(body) + 1
+        for k, body in enumerate(bodies):
+            for piece in self._pieces(body) if len(body) > PART else (body,):
+                if held and size + len(piece) > PART:
+                    yield index, held
+                    index, held, size = [], [], 0
+                index.append(k)
+                held.append(piece)
+                size += len(piece) + 1
         if held:
-            yield from self._short(held)
+            yield index, held
+
+    def _pieces(self, body: bytes) -> Iterator[bytes]:
+        at = 0
+        while at < len(body):
+            end = min(len(body), at + PART)
+            if end < len(body):
+                white = np.flatnonzero(self.white[np.frombuffer(body, "u1", PART + 1, at)])
+                end = at + int(white[-1]) if len(white) else self.within.match(body, end).end()
+            yield body[at:end]
+            at = end + 1
 
-    def _short(self, held: list[bytes]) -> Iterator[np.ndarray]:
+    def spots(self, held: list[bytes]) -> tuple[np.ndarray, ...]:
+        """(prefix sums, first and last byte, place in held) of the words of some texts."""
         data = np.frombuffer(b" ".join([b"", *held, b""]), "u1")
         word = ~self.white[data]
         edge = np.flatnonzero(word[1:] != word[:-1]) + 1
         start, end = edge[::2], edge[1::2]
-        h = self.prints.of(self.prints.sums(data), start, end)
         ends = np.cumsum(np.fromiter(map(len, held), "i8", len(held)) + 1)
-        yield from np.split(h, np.searchsorted(start, ends[:-1], side="right"))
-
-    def _long(self, body: bytes) -> np.ndarray:
-        """Pieces are cut where a word ends; a word beyond PART bytes has a hash of its own kind."""
-        out, at = [], 0
-        while at < len(body):
-            end = at + PART
-            if end < len(body):
-                last = max(body.rfind(c, at, end + 1) for c in map(bytes, zip(_WHITE)))
-                if last < 0:
-                    found = [x for x in (body.find(c, end) for c in map(bytes, zip(_WHITE))) if x >= 0]
-                    end = min(found, default=len(body))
-                    out.append(np.array([xxhash.xxh3_64_intdigest(body[at:end].lower())], "u8"))
-                    at = end
-                    continue
-                end = last
-            out += self._short([body[at:end]])
-            at = end + 1
-        return np.concatenate(out) if out else np.zeros(0, "u8")
+        return self.prints.sums(data), start, end, np.searchsorted(ends, start, side="left")
