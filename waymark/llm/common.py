@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 import zlib
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -32,6 +35,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+def lean(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """f, after whose last batch the worker gives memory back: workers are kept, and hold on to the most they ever used."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from f(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no trim
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """A checkpoint of df in the shared folder: cuts lineage, survives lost executors, goes when it is no longer referenced."""
     shared_dir(df.sparkSession)
@@ -59,7 +74,20 @@ def text_bytes(text: str) -> Column:
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
 
 
-ROW = "__row__"
+_NUMBER = "waymark_row"  # in the metadata of the column of row numbers
+
+
+def row_column(docs: DataFrame) -> str | None:
+    """The column with the numbers that ``numbered`` gave; no column is taken for it by its name."""
+    return next((f.name for f in docs.schema if f.metadata.get(_NUMBER)), None)
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """A name that no column of docs has."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -68,24 +96,26 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     The number is that of ``numbered`` docs; others are numbered anew by each scan, as the scan is split: join no two of them.
     """
     small_batches(docs.sparkSession)
-    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
-    return docs.select(row.alias("row"), F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("body"))
+    name = row_column(docs)
+    row = F.col(name) if name else F.monotonically_increasing_id()
+    return docs.select(row.alias("row", metadata={}), F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("body"))
 
 
 def keyed_once(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``keyed``, in the shared folder unless docs are numbered, so that all scans of it agree on the numbers."""
     rows = keyed(docs, doc_id, text)
-    return rows if ROW in docs.columns else written(rows)
+    return rows if row_column(docs) else written(rows)
 
 
 def numbered(docs: DataFrame) -> DataFrame:
     """docs and their numbers, in the shared folder: how a scan is split, by the cores there are, changes no number."""
-    return written(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    return written(docs.withColumn(free_name(docs, "row_number"), F.monotonically_increasing_id().alias("n", metadata={_NUMBER: 1})))
 
 
 def pick(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows of numbered docs whose number is in rows(row), without the number. Only numbers are hashed; texts aren't sorted."""
-    return docs.join(rows.select(F.col("row").alias(ROW)).hint("shuffle_hash"), ROW, "left_semi").drop(ROW)
+    name = row_column(docs)
+    return docs.join(rows.select(F.col("row").alias(name)).hint("shuffle_hash"), name, "left_semi").drop(name)
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -103,4 +133,4 @@ def zipped(rows: DataFrame, level: int = 4) -> DataFrame:
             bodies = pa.array([zlib.compress(x.as_py(), level) for x in b.column("body")], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("id"), bodies], names=["row", "id", "body"])
 
-    return rows.mapInArrow(run, "row long, id long, body binary")
+    return rows.mapInArrow(lean(run), "row long, id long, body binary")

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed, pinned
+from waymark.llm.common import keyed, lean, pinned
 
 BLOCK = 2048
 _CUT = "ldoc long, pos int, block binary, ids array<long>, rows array<long>, sha string"
@@ -72,9 +72,9 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", blo
     (null ids come last; of rows that repeat that id, the last row stays). Empty tables give no rows; other columns of
     docs are not read.
     """
-    cut = keyed(docs, doc_id, text).mapInArrow(_cutter(block), _CUT)
+    cut = keyed(docs, doc_id, text).mapInArrow(lean(_cutter(block)), _CUT)
     place = F.when(F.col("block").isNull(), F.xxhash64("ldoc")).otherwise(F.xxhash64("block"))
-    level0 = pinned(cut.repartition(place).sortWithinPartitions("block").mapInArrow(_name, _NAMED))
+    level0 = pinned(cut.repartition(place).sortWithinPartitions("block").mapInArrow(lean(_name), _NAMED))
     members = level0.filter(F.col("ids").isNotNull()).select("ldoc", "ids", "rows", "sha")
     runs = level0.filter(F.col("name").isNotNull())
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import text_bytes
+from waymark.llm.common import lean, text_bytes
 
 # Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -367,4 +367,4 @@ def extract(pages: DataFrame, page_id: str = "page_id", source: str = "html") ->
             texts = [render(body.as_py().decode("utf-8", "replace")) for body in b.column("body")]
             yield pa.RecordBatch.from_pydict({"page_id": b.column("id"), "n_chars": [len(t) for t in texts], "text": texts})
 
-    return pages.select(F.col(page_id).cast("long").alias("id"), text_bytes(source).alias("body")).mapInArrow(run, "page_id long, n_chars long, text string")
+    return pages.select(F.col(page_id).cast("long").alias("id"), text_bytes(source).alias("body")).mapInArrow(lean(run), "page_id long, n_chars long, text string")

@@ -28,13 +28,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed_once, pinned, written, zipped
+from waymark.llm.common import keyed_once, lean, pinned, written, zipped
 from waymark.llm.components import components
 from waymark.llm.prints import WordHashes
 
 WORDS, NUM, DEN = 5, 75, 100
 _HEAVY_SHARE, _HEAVY_FROM, _HEAVY_MOST = 32, 8, 100_000
 _CELL, _PIVOTS = 256, 8
+_BLOCK = 2048  # documents on either side that the last step compares in one go
 _BROADCAST = 500_000  # most row numbers
 _LEVELS = 4  # divisions of a region at most
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], "u8")
@@ -353,13 +354,13 @@ class _Search:
 
     def crossing(self, active: DataFrame, best: bool) -> DataFrame:
         """Candidate pairs (a, b) of the owners and the inside of each region, block by block of owners."""
-        sizes = pinned(active.groupBy("region").agg(F.expr(f"cast((count_if(inside) - 1) div {_CELL} + 1 as int)").alias("cells"), F.expr(f"cast((count_if(owner) - 1) div {_CELL} + 1 as int)").alias("blocks")))
+        sizes = pinned(active.groupBy("region").agg(F.expr(f"cast((count_if(inside) - 1) div {_BLOCK} + 1 as int)").alias("cells"), F.expr(f"cast((count_if(owner) - 1) div {_BLOCK} + 1 as int)").alias("blocks")))
         dealt = active.join(sizes, "region").withColumns({"own_cell": F.expr("cast(abs(xxhash64(node)) % cells as int)"), "own_block": F.expr("cast(abs(xxhash64(node, 1)) % blocks as int)")})
         columns = ["region", "node", "n", "at", "sketch", "root"]
         inside = dealt.filter("inside").select(*columns, F.col("own_cell").alias("cell"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.lit(False).alias("outside"))
         outside = dealt.filter("owner").select(*columns, F.explode(F.expr("sequence(0, cells - 1)")).alias("cell"), F.col("own_block").alias("block"), F.lit(True).alias("outside"))
         met = inside.unionByName(outside).repartition(self.parts, "region", "block", "cell").sortWithinPartitions("region", "block", "cell", "outside", "node")
-        return met.mapInArrow(_crossing(self.num, self.den, best), "a long, b long")
+        return met.mapInArrow(lean(_crossing(self.num, self.den, best)), "a long, b long")
 
     def banded(self, active: DataFrame) -> DataFrame:
         """Regions by bands of set size: an owner lies in its own band, the inside also in the bands of sizes it may link with."""
@@ -371,8 +372,8 @@ class _Search:
         """(regions that stay whole, Voronoi regions of the others, pairs with pivots that aren't ruled out)."""
         seed = F.xxhash64("node", "region", F.lit(level))
         stats = active.groupBy("region").agg(F.count_if("inside").alias("size"), F.count_if("owner").alias("owners"), F.min(F.length("sketch")).alias("short"), F.expr("min_by(node, xxhash64(node)) filter (where owner)").alias("one"))
-        large = pinned(stats.filter(f"owners > {_CELL} and size > {_CELL}"))
-        whole = active.join(stats.filter(f"owners > 0 and size > 0 and not (owners > {_CELL} and size > {_CELL})").select("region"), "region", "left_semi")
+        large = pinned(stats.filter(f"owners > {_BLOCK} and size > {_BLOCK}"))
+        whole = active.join(stats.filter(f"owners > 0 and size > 0 and not (owners > {_BLOCK} and size > {_BLOCK})").select("region"), "region", "left_semi")
         if large.isEmpty():
             return whole, active.filter("false"), whole.select(F.col("node").alias("a"), F.col("node").alias("b")).filter("false")
         dealt = active.join(large, "region").withColumn("cells", F.expr(f"cast((size - 1) div {_CELL} + 1 as int)"))
@@ -381,7 +382,7 @@ class _Search:
         members = dealt.select(*columns, F.expr("cast(abs(xxhash64(node)) % cells as int)").alias("cell"), F.lit(False).alias("pivot"))
         pivots = dealt.filter("chosen").select(*columns, F.explode(F.expr("sequence(0, cells - 1)")).alias("cell"), F.lit(True).alias("pivot"))
         met = members.unionByName(pivots).repartition(self.parts, "region", "cell").sortWithinPartitions("region", "cell", "pivot", "node")
-        far = written(met.mapInArrow(_distances(self.num, self.den), "region long, node long, pivot long, far long, near long, test boolean"))
+        far = written(met.mapInArrow(lean(_distances(self.num, self.den)), "region long, node long, pivot long, far long, near long, test boolean"))
         tested = far.filter("test").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         # A pivot has met its whole region: it owns nothing any more. Of pivots at the same distance the least one owns a document.
         pivot_of = dealt.filter("chosen").select("region", "node", F.lit(True).alias("met"))
@@ -412,7 +413,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = keyed_once(docs, doc_id, text)
     bodies = rows.select("row", "body")
-    nodes = written(rows.mapInArrow(_nodes(words), "row long, id long, n long, digest binary, sketch binary"))
+    nodes = written(rows.mapInArrow(lean(_nodes(words)), "row long, id long, n long, digest binary, sketch binary"))
     some = nodes.filter("n > 0")
     reps = pinned(some.groupBy("digest").agg(F.min("row").alias("node")))
     wordless = nodes.filter("n = 0").select("row", "id", "n", F.col("row").alias("node"))
@@ -420,15 +421,15 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     set_of = nodes.select(F.col("row").alias("node"), "n", "sketch").join(reps.select("node"), "node", "left_semi")
 
     # Which shingles come last in the order: any choice is right, a good one keeps regions small. At most _HEAVY_MOST.
-    sample = bodies.filter(F.abs(F.xxhash64("row")) % _HEAVY_SHARE == 0).mapInArrow(_sampled(words), "shingle long, n long")
+    sample = bodies.filter(F.abs(F.xxhash64("row")) % _HEAVY_SHARE == 0).mapInArrow(lean(_sampled(words)), "shingle long, n long")
     often = sample.groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= _HEAVY_FROM).orderBy(F.desc("n"), "shingle").limit(_HEAVY_MOST).toArrow()
     heavy, count = often["shingle"].to_numpy().astype("i8").view("u8"), often["n"].to_numpy()
     order = np.argsort(heavy)
     rank = np.empty(len(heavy), "i8")
     rank[np.lexsort((heavy, count))] = np.arange(len(heavy))
 
-    held = bodies.mapInArrow(_prefixes(words, num, den, heavy[order], rank[order]), "shingle long, salt int, row long, at int")
-    found = written(held.repartition(n, "shingle", "salt").sortWithinPartitions("shingle", "salt", "row").mapInArrow(_regions, "shingle long, pivot long, row long, at long"))
+    held = bodies.mapInArrow(lean(_prefixes(words, num, den, heavy[order], rank[order])), "shingle long, salt int, row long, at int")
+    found = written(held.repartition(n, "shingle", "salt").sortWithinPartitions("shingle", "salt", "row").mapInArrow(lean(_regions), "shingle long, pivot long, row long, at long"))
     salted = found.filter("shingle <> 0")
     least = salted.groupBy("shingle").agg(F.min("pivot").alias("least"))  # a row for each heavy shingle at most
     member = found.filter("shingle = 0").select("pivot", "row", "at").unionByName(salted.join(F.broadcast(least), "shingle").select(F.col("least").alias("pivot"), "row", "at"))
@@ -448,7 +449,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Pivots of a large region: its own and a few other peers, in every other cell too.
     shared = members.filter(f"cells > 1 and peer and (node = region or abs(xxhash64(node, region)) % (cells * {_CELL}) < {_PIVOTS})").select(*columns, home.alias("home"), F.explode(F.expr("sequence(0, cells - 1)")).alias("cell"))
     dealt = own.unionByName(shared.filter("cell <> home").drop("home"))
-    trees = dealt.repartition(n, "region", "cell").sortWithinPartitions("region", "cell", "node").mapInArrow(_trees(num, den), "a long, b long, region long")
+    trees = dealt.repartition(n, "region", "cell").sortWithinPartitions("region", "cell", "node").mapInArrow(lean(_trees(num, den)), "a long, b long, region long")
     tree = pinned(trees.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "region"))
     asked = pinned(tree.select("a", "b").distinct())
 
@@ -459,7 +460,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         # Row numbers alone are broadcast, as long as they are few.
         wanted = F.broadcast(wanted) if wanted.count() <= _BROADCAST else wanted.hint("shuffle_hash")
         texts = zipped(rows.join(wanted, "row", "left_semi")).select("row", "body")
-        return pinned(sides.join(texts, "row").select("a", "b", "row", "body").repartition(n, "a", "b").sortWithinPartitions("a", "b", "row").mapInArrow(_verified(words, num, den), "a long, b long"))
+        return pinned(sides.join(texts, "row").select("a", "b", "row", "body").repartition(n, "a", "b").sortWithinPartitions("a", "b", "row").mapInArrow(lean(_verified(words, num, den)), "a long, b long"))
 
     links = verify(asked)
     roots = components(links)
@@ -507,7 +508,7 @@ def _divided(search: _Search, active: DataFrame, roots: DataFrame) -> tuple[Data
     # Outsiders that are peers against all, and those that are fringe against the peers.
     now = apart.select("*", F.expr("apart and peer").alias("owner"), F.lit(True).alias("inside")).unionByName(apart.filter("apart or peer").withColumn("region", F.xxhash64("region", F.lit("fringe"))).select("*", F.expr("apart and not peer").alias("owner"), F.col("peer").alias("inside"))).drop("apart", "peer")
     # Regions with many of both go by bands of size, then by Voronoi regions.
-    many = pinned(now.groupBy("region").agg(F.count_if("owner").alias("k"), F.count_if("inside").alias("size")).filter(f"k > {_CELL} and size > {_CELL}").select("region"))
+    many = pinned(now.groupBy("region").agg(F.count_if("owner").alias("k"), F.count_if("inside").alias("size")).filter(f"k > {_BLOCK} and size > {_BLOCK}").select("region"))
     leaves, pairs = now.join(many, "region", "left_anti"), []
     if not many.isEmpty():
         rest = pinned(search.banded(now.join(many, "region", "left_semi")))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed, written
+from waymark.llm.common import keyed, lean, written
 
 FOLDS, OUT = 7, 2
 HEADS, SUFFIXES = 12, 19
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int
     """The model and the table of counts (token, c), learnt from rows outside fold ``out``. Without such rows nothing is known."""
     fold = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")))
     train = keyed(docs, doc_id, text).filter(fold % folds != out)
-    counts = written(train.select("body").mapInArrow(_count, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c")))
+    counts = written(train.select("body").mapInArrow(lean(_count), "token binary, c long").groupBy("token").agg(F.sum("c").alias("c")))
     tokens, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     # The least count of which at most KNOWN tokens have as many: from a histogram by eighths of powers of two.
     eighth = F.floor(F.log2("c") * 8)
@@ -208,7 +208,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int
     for k in range(rounds if tokens else 0):
         sent = docs.sparkSession.sparkContext.broadcast(Model({}, heads, suffixes, totals, tokens, types, model.weights, model.bias))  # fixed size
         part = train.filter((fold / folds).cast("long") % rounds == k).select("body")
-        moved = part.mapInArrow(_train(sent, 0.6), "part int, change binary, seen long").repartition(8, "part").mapInArrow(_sum, "part int, change binary, seen long").collect()
+        moved = part.mapInArrow(lean(_train(sent, 0.6)), "part int, change binary, seen long").repartition(8, "part").mapInArrow(lean(_sum), "part int, change binary, seen long").collect()
         if moved:
             mean = np.concatenate([np.frombuffer(r.change, "f8") / r.seen for r in sorted(moved, key=lambda r: r.part)]).astype("f4")
             model.weights = model.weights + mean[:-CLASSES].reshape(_ROWS, CLASSES)
@@ -271,7 +271,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, doc_id: str = "doc_i
     Null and empty texts are one end. Null ids count as empty text for their fold.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # KNOWN tokens and a fixed number of weights
-    got = keyed(docs, doc_id, text).mapInArrow(_scored(sent), "token binary, row long, id long, n long, known long, base double, score double, kind int")
+    got = keyed(docs, doc_id, text).mapInArrow(lean(_scored(sent)), "token binary, row long, id long, n long, known long, base double, score double, kind int")
     least = min(model.counts.values(), default=None)
     tail = counts if least is None else counts.filter(F.col("c") < least)
     total = float(model.tokens + model.types + 1)

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import file_system, keyed, new_folder, pinned, written
+from waymark.llm.common import file_system, keyed, lean, new_folder, pinned, written
 
 WIDTH = 192
 _SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -116,7 +116,7 @@ def store(docs: DataFrame, folder: str, doc_id: str = "doc_id", text: str = "tex
             out.write(b"\0" * 1024)
             out.close()
 
-    both = written(keyed(docs, doc_id, text).select("id", "body").mapInArrow(write, "doc_id long, n_bytes long, digest string, shard string, offset long, length long"))
+    both = written(keyed(docs, doc_id, text).select("id", "body").mapInArrow(lean(write), "doc_id long, n_bytes long, digest string, shard string, offset long, length long"))
     index = pinned(both.filter(F.col("shard").isNotNull()).groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("p")).select("digest", "p.*"))
     return both.select("doc_id", "n_bytes", "digest"), index
 
@@ -137,7 +137,7 @@ def _read(index: DataFrame, folder: str, schema: str, names: list[str], row) ->
             yield pa.RecordBatch.from_pydict(dict(zip(names, out, strict=True)))
 
     n = max(1, int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return index.repartitionByRange(4 * n, "shard", "offset").sortWithinPartitions("shard", "offset").mapInArrow(read, schema)
+    return index.repartitionByRange(4 * n, "shard", "offset").sortWithinPartitions("shard", "offset").mapInArrow(lean(read), schema)
 
 
 def metadata(index: DataFrame, folder: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed, pinned
+from waymark.llm.common import keyed, lean, pinned
 
 END = 2
 # The normaliser and pre-tokeniser for which words can be encoded one by one.
@@ -171,7 +171,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end: int = END, doc_i
             yield pa.RecordBatch.from_arrays([pa.array(v, types.get(n, pa.int64())) for n, v in out.items()], names=names)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, kind int, worker int, rank long" + ", ids array<long>" * with_ids
-    pieces = pinned(keyed(docs, doc_id, text).select("id", "body").mapInArrow(cut, schema))
+    pieces = pinned(keyed(docs, doc_id, text).select("id", "body").mapInArrow(lean(cut), schema))
     counts = pieces.groupBy("worker", "kind").agg(F.count("*").alias("n"))
     before = Window.partitionBy("kind").orderBy("worker").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pinned(counts.select("worker", "kind", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"), F.sum("n").over(Window.partitionBy("kind")).alias("total")))

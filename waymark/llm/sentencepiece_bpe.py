@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed
+from waymark.llm.common import keyed, lean
 
 SPACE = "▁"
 # Fixed values of the public model format: piece types.
@@ -246,7 +246,7 @@ def encode_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
             yield pa.RecordBatch.from_pydict(got)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * with_ids + ", decoded string" * with_text
-    return keyed(docs, doc_id, text).select("id", "body").mapInArrow(run, schema)
+    return keyed(docs, doc_id, text).select("id", "body").mapInArrow(lean(run), schema)
 
 
 def decode_ids(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed_once, pinned, written, zipped
+from waymark.llm.common import keyed_once, lean, pinned, written, zipped
 from waymark.llm.prints import PART, Fingerprints
 
 SPAN = 200
@@ -275,19 +275,19 @@ def repeats(rows: DataFrame, span: int = SPAN) -> DataFrame:
     bodies = rows.select("row", "body")
     # Splitters: quantiles of the suffixes of about 2,000 texts; only the balance of the buckets depends on them.
     share = max(1, rows.count() // 2000)
-    sample = bodies.filter(F.abs(F.xxhash64("row")) % share == 0).mapInArrow(_suffixes(span, None, 4), _SUFFIX).select("token", "stretch").limit(200_000).toPandas()
+    sample = bodies.filter(F.abs(F.xxhash64("row")) % share == 0).mapInArrow(lean(_suffixes(span, None, 4)), _SUFFIX).select("token", "stretch").limit(200_000).toPandas()
     lead = np.sort(_lead(sample["token"].to_numpy("i8").view("u8"), sample["stretch"].to_numpy("i8").view("u8")))
     buckets = 4 * n
     splitters = np.unique(lead[np.linspace(0, len(lead) - 1, buckets + 1).astype("i8")[1:-1]]) if len(lead) > buckets else lead[:0]
-    suffixes = bodies.mapInArrow(_suffixes(span, splitters), _SUFFIX)
+    suffixes = bodies.mapInArrow(lean(_suffixes(span, splitters)), _SUFFIX)
     place = F.when(F.col("bucket") >= 0, F.xxhash64("bucket")).otherwise(F.xxhash64("row"))
-    found = written(suffixes.repartition(n, place).sortWithinPartitions("bucket").mapInArrow(_compare(splitters), _FOUND))
+    found = written(suffixes.repartition(n, place).sortWithinPartitions("bucket").mapInArrow(lean(_compare(splitters)), _FOUND))
 
     open_ = found.filter("not known")
     sizes = pinned(open_.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1"))
     asked = open_.join(sizes, "token").select("row", F.struct("token", "lo", "count", F.expr(f"cast(size div {_SALT_FROM} + 1 as int)").alias("salts")).alias("q")).groupBy("row").agg(F.collect_list("q").alias("asked"))
-    strings = zipped(rows).drop("id").join(asked.hint("shuffle_hash"), "row").mapInArrow(_strings(span), "token long, salt int, row long, at binary, prints binary")
-    met = written(strings.repartition(n, "token", "salt").sortWithinPartitions("token", "salt").mapInArrow(_meet, "row long, lo long, count int"))
+    strings = zipped(rows).drop("id").join(asked.hint("shuffle_hash"), "row").mapInArrow(lean(_strings(span)), "token long, salt int, row long, at binary, prints binary")
+    met = written(strings.repartition(n, "token", "salt").sortWithinPartitions("token", "salt").mapInArrow(lean(_meet), "row long, lo long, count int"))
     return found.filter("known").select("row", "lo", "count").unionByName(met)
 
 
@@ -308,7 +308,9 @@ def cut(body: bytes, spans: list[tuple[int, int]], span: int) -> tuple[bytes, li
 
 
 def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, with_text: bool = False) -> DataFrame:
-    """row, doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept bytes, spans), one row per row of docs.
+    """row, doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept bytes, kept_text, spans), one row per row of docs.
+
+    kept_text is the text of the kept bytes without the parts of characters that a cut leaves.
 
     Null text counts as empty; texts shorter than span lose nothing. Rows with equal ids are texts of their own. All
     copies of a repeated string go, the first one too.
@@ -317,16 +319,16 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sp
     spans = repeats(rows, span).groupBy("row").agg(F.collect_list(F.struct("lo", "count")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["row", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept", "spans"] * with_text
-        types = [pa.int64()] * 5 + [pa.string(), pa.binary(), pa.list_(pa.list_(pa.int64()))][: 3 if with_text else 1]
+        names = ["row", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept", "kept_text", "spans"] * with_text
+        types = [pa.int64()] * 5 + [pa.string(), pa.binary(), pa.string(), pa.list_(pa.list_(pa.int64()))][: 4 if with_text else 1]
         for b in batches:
             out: list[list] = [[] for _ in names]
             for row, i, body, found in zip(*(b.column(n).to_pylist() for n in ("row", "id", "body", "spans")), strict=True):
                 body = zlib.decompress(body)
                 kept, runs = cut(body, [(s["lo"], s["count"]) for s in found or []], span)
-                for c, v in zip(out, (row, i, len(body), len(body) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept, [list(r) for r in runs]), strict=False):
+                for c, v in zip(out, (row, i, len(body), len(body) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept, kept.decode("utf-8", "ignore") if with_text else None, [list(r) for r in runs]), strict=False):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
 
-    schema = "row long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<array<long>>" * with_text
-    return zipped(rows).join(spans.hint("shuffle_hash"), "row", "left").mapInArrow(run, schema)
+    schema = "row long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, kept_text string, spans array<array<long>>" * with_text
+    return zipped(rows).join(spans.hint("shuffle_hash"), "row", "left").mapInArrow(lean(run), schema)

@@ -16,7 +16,7 @@ from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed, small_batches, text_bytes, written
+from waymark.llm.common import keyed, lean, small_batches, text_bytes, written
 from waymark.llm.prints import PART, WordHashes
 
 #: Documented bounds of the fit: confirmed toxic texts (labelled rows), features that may be chosen, chosen features.
@@ -230,7 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rows = keyed(docs, doc_id, text).filter(F.col("id").isNotNull() & (fold(F.col("id"), folds) != 0)).select("id", "body")
     # At most max_positive ids are broadcast, as many rows come back.
     ids = own.filter("y = 1").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(max_positive)
-    got = rows.join(F.broadcast(ids), "id").mapInArrow(_features, "id long, f binary").orderBy(F.xxhash64("id"), "id", "f").limit(max_positive).select("f").toArrow()
+    got = rows.join(F.broadcast(ids), "id").mapInArrow(lean(_features), "id long, f binary").orderBy(F.xxhash64("id"), "id", "f").limit(max_positive).select("f").toArrow()
     p = [np.frombuffer(f, "u8") for f in got["f"].to_pylist()]
     if not p:
         return none
@@ -240,8 +240,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     if not len(often):
         return none
     candidates, in_p = found[often], in_p[often]
-    matched = written(rows.mapInArrow(_matched(spark.sparkContext.broadcast(candidates)), "id long, f binary"))
-    counts = {r.at: r.n for r in matched.mapInArrow(_counted(len(candidates)), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}  # a row for each candidate at most
+    matched = written(rows.mapInArrow(lean(_matched(spark.sparkContext.broadcast(candidates))), "id long, f binary"))
+    counts = {r.at: r.n for r in matched.mapInArrow(lean(_counted(len(candidates))), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}  # a row for each candidate at most
     n = counts.pop(-1, 0)
     if n <= len(p):
         return none
@@ -264,7 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([b.column("shard"), b.column("id"), pa.array(out, pa.binary())], names=["shard", "id", "f"])
 
     shards = n // SHARD + 1
-    sharded = matched.select(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"), "id", "f").mapInArrow(narrowed, "shard long, id long, f binary")
+    sharded = matched.select(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"), "id", "f").mapInArrow(lean(narrowed), "shard long, id long, f binary")
     parts = max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     sharded = written(sharded.repartition(parts, "shard").sortWithinPartitions("shard", "id", "f").select("shard", "f"))
     positive = []
@@ -274,7 +274,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     w, b = np.zeros(len(chosen)), 0.0
     for round_ in range(ROUNDS):
         sent = spark.sparkContext.broadcast((positive, w, b, round_))
-        moved = sharded.mapInArrow(_steps(sent, len(chosen), prior), "shard long, n long, w binary").repartition(8, "shard").mapInArrow(_mean, "n long, w binary").collect()
+        moved = sharded.mapInArrow(lean(_steps(sent, len(chosen), prior)), "shard long, n long, w binary").repartition(8, "shard").mapInArrow(lean(_mean), "n long, w binary").collect()
         mean = sum(np.frombuffer(r.w, "<f8") for r in moved) / sum(r.n for r in moved)
         w, b = mean[:-1], float(mean[-1])
     return ToxicityModel({int(i): float(v) for i, v in zip(candidates[chosen], w, strict=True)}, b)

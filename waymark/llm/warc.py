@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import file_system, new_folder, pinned, text_bytes
+from waymark.llm.common import file_system, lean, new_folder, pinned, text_bytes
 
 REVISIT_FROM = 1000
 ARCHIVE_BYTES = 64 << 20
@@ -126,7 +126,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
             done.append((path, n, size))
         yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], names=["path", "records", "bytes"])
 
-    return pinned(joined.mapInArrow(write, "path string, records long, bytes long"))
+    return pinned(joined.mapInArrow(lean(write), "path string, records long, bytes long"))
 
 
 def read_archives(manifest: DataFrame, folder: str, path: str = "path", with_payload: bool = False) -> DataFrame:
@@ -157,7 +157,7 @@ def read_archives(manifest: DataFrame, folder: str, path: str = "path", with_pay
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
     n = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return manifest.select(path).repartition(n).mapInArrow(read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * with_payload)
+    return manifest.select(path).repartition(n).mapInArrow(lean(read), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * with_payload)
 
 
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
