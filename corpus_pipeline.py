@@ -6,12 +6,11 @@ columns of documents; columns that docs has besides them stay.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from waymark.llm import exact_dedup, jaccard_join, packing, suffix_dedup, toxicity
-from waymark.llm.common import ROW, numbered, pick, written
+from waymark.llm.common import free_name, numbered, pick, row_column, written
 from waymark.llm.queries import WORDS
 
 
@@ -24,35 +23,47 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id."""
+    """Of equal texts the row with the largest doc_id.
+
+    Null and empty texts are equal; of rows that repeat the largest id the last one stays, and null ids come last. An empty
+    table gives none.
+    """
     docs = numbered(docs)
     return pick(docs, exact_dedup.exact_dedup(docs).filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by similar shingle sets the row with the least doc_id; texts without words stay."""
+    """Of documents linked by similar shingle sets the row with the least doc_id; texts without words (null, empty) all stay.
+
+    Groups are told apart by their root, so that ids that repeat join no groups; null ids come last, and of rows that repeat
+    the least id the first one stays. An empty table gives none.
+    """
     docs = numbered(docs)
-    # by root, not by component_id: groups may share that where ids repeat, and it is null where all ids are; null ids come last
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("m")
     return pick(docs, jaccard_join.similar_groups(docs).groupBy("root").agg(best).select("m.row"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without bytes that strings of 200 bytes repeat elsewhere; parts of a character that a cut leaves go too."""
-    docs = numbered(docs)
-    kept = suffix_dedup.suffix_dedup(docs, with_text=True).filter("n_removed > 0").select(F.col("row").alias(ROW), _valid_text("kept").alias("__kept__"))
-    changed = F.col("__kept__").isNotNull()
-    joined = docs.join(kept, ROW, "left")
-    return joined.withColumns({"text": F.when(changed, F.col("__kept__")).otherwise(F.col("text")), "n_chars": F.when(changed, F.length("__kept__").cast("long")).otherwise(F.col("n_chars"))}).drop(ROW, "__kept__")
+    """Texts without bytes that strings of 200 bytes repeat elsewhere; parts of a character that a cut leaves go too.
 
-
-def _valid_text(column: str) -> Column:
-    decode = F.pandas_udf(lambda c: c.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore")), StringType())
-    return decode(F.col(column))
+    Every row stays, also one that loses all its text; texts that lose nothing stay as they are, null ones too. n_chars is
+    set anew where docs has it. An empty table gives none.
+    """
+    docs = numbered(docs)
+    row, kept = row_column(docs), free_name(docs, "kept_text")
+    cut = suffix_dedup.suffix_dedup(docs, with_text=True).filter("n_removed > 0").select(F.col("row").alias(row), F.col("kept_text").alias(kept))
+    # An empty rest is no null: only rows that lost nothing have none.
+    new = {"text": F.coalesce(F.col(kept), F.col("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.coalesce(F.length(kept).cast("long"), F.col("n_chars"))
+    return docs.join(cut.hint("shuffle_hash"), row, "left").withColumns(new).drop(row, kept)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all that is left, in sequences of at most 4,096 tokens."""
+    """Pieces of all that is left, in sequences of at most 4,096 tokens; a null or empty text is one piece, its end id.
+
+    Rows that repeat, or have null ids, are packed each on its own. An empty table gives no piece.
+    """
     return packing.pack(docs, WORDS)
 
 
