@@ -101,10 +101,10 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(row.alias("row", metadata={}), F.col(doc_id).cast("long").alias("id"), text_bytes(text).alias("body"))
 
 
-def keyed_once(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def keyed_once(docs: DataFrame, doc_id: str, text: str, tables: Tables | None = None) -> DataFrame:
     """``keyed``, in the shared folder unless docs are numbered, so that all scans of it agree on the numbers."""
     rows = keyed(docs, doc_id, text)
-    return rows if row_column(docs) else written(rows)
+    return rows if row_column(docs) else (tables.written if tables else written)(rows)
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -118,9 +118,27 @@ def pick(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return docs.join(rows.select(F.col("row").alias(name)).hint("shuffle_hash"), name, "left_semi").drop(name)
 
 
-def written(df: DataFrame) -> DataFrame:
+class Tables:
+    """Parquet tables in the shared folder that nothing needs once an operator's own result is pinned."""
+
+    def __init__(self) -> None:
+        self.folders: list[tuple[SparkSession, str]] = []
+
+    def written(self, df: DataFrame) -> DataFrame:
+        folder = new_folder(df.sparkSession, "table")
+        self.folders.append((df.sparkSession, folder))
+        return written(df, folder)
+
+    def drop(self) -> None:
+        for spark, folder in self.folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.folders = []
+
+
+def written(df: DataFrame, folder: str | None = None) -> DataFrame:
     """df as a Parquet table in the shared folder: for tables of many narrow rows, which a checkpoint would hold at full width."""
-    folder = new_folder(df.sparkSession, "table")
+    folder = folder or new_folder(df.sparkSession, "table")
     df.write.mode("overwrite").option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed_once, lean, pinned, written, zipped
+from waymark.llm.common import Tables, keyed_once, lean, pinned, zipped
 from waymark.llm.components import components
 from waymark.llm.prints import WordHashes
 
@@ -345,8 +345,8 @@ def _verified(words: int, num: int, den: int):
 class _Search:
     """Links between the components that a first pass left in the same region."""
 
-    def __init__(self, num: int, den: int, parts: int):
-        self.num, self.den, self.parts = num, den, parts
+    def __init__(self, num: int, den: int, parts: int, tables: Tables):
+        self.num, self.den, self.parts, self.tables = num, den, parts, tables
 
     def reach(self, n: str) -> Column:
         """The largest symmetric difference that a set of n may have to one it links with."""
@@ -382,7 +382,7 @@ class _Search:
         members = dealt.select(*columns, F.expr("cast(abs(xxhash64(node)) % cells as int)").alias("cell"), F.lit(False).alias("pivot"))
         pivots = dealt.filter("chosen").select(*columns, F.explode(F.expr("sequence(0, cells - 1)")).alias("cell"), F.lit(True).alias("pivot"))
         met = members.unionByName(pivots).repartition(self.parts, "region", "cell").sortWithinPartitions("region", "cell", "pivot", "node")
-        far = written(met.mapInArrow(lean(_distances(self.num, self.den)), "region long, node long, pivot long, far long, near long, test boolean"))
+        far = self.tables.written(met.mapInArrow(lean(_distances(self.num, self.den)), "region long, node long, pivot long, far long, near long, test boolean"))
         tested = far.filter("test").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         # A pivot has met its whole region: it owns nothing any more. Of pivots at the same distance the least one owns a document.
         pivot_of = dealt.filter("chosen").select("region", "node", F.lit(True).alias("met"))
@@ -391,7 +391,7 @@ class _Search:
         seen = far.join(info, ["region", "node"]).join(owned, ["region", "node"]).withColumn("owns", F.col("owner") & F.col("met").isNull() & (F.col("pivot") == F.col("home")))
         radius = pinned(seen.filter("owns").groupBy("region", "pivot").agg(F.max("far").alias("radius")))
         near = seen.join(radius, ["region", "pivot"]).filter((F.col("far") <= F.col("near") + 2 * self.reach("n")) & (F.col("far") <= F.col("radius") + self.reach("n")))
-        near = written(near.select("region", "pivot", "node", "owns", "inside").filter("owns or inside"))
+        near = self.tables.written(near.select("region", "pivot", "node", "owns", "inside").filter("owns or inside"))
         work = near.groupBy("region", "pivot").agg(F.count_if("inside").cast("double").alias("size"), F.count_if("owns").alias("owners")).groupBy("region").agg(F.sum(F.col("size") * F.col("owners")).alias("work"))
         better = pinned(large.join(work, "region", "left").select("region", (F.coalesce("work", F.lit(0.0)) * 2 <= F.col("size").cast("double") * F.col("owners")).alias("better")))
         rows = dealt.select("region", "node", "n", "at", "sketch", "root")
@@ -411,13 +411,14 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = keyed_once(docs, doc_id, text)
+    tables = Tables()
+    rows = keyed_once(docs, doc_id, text, tables)
     bodies = rows.select("row", "body")
-    nodes = written(rows.mapInArrow(lean(_nodes(words)), "row long, id long, n long, digest binary, sketch binary"))
+    nodes = tables.written(rows.mapInArrow(lean(_nodes(words)), "row long, id long, n long, digest binary, sketch binary"))
     some = nodes.filter("n > 0")
     reps = pinned(some.groupBy("digest").agg(F.min("row").alias("node")))
     wordless = nodes.filter("n = 0").select("row", "id", "n", F.col("row").alias("node"))
-    of_row = written(some.select("row", "id", "n", "digest").join(reps, "digest").select("row", "id", "n", "node").unionByName(wordless))
+    of_row = tables.written(some.select("row", "id", "n", "digest").join(reps, "digest").select("row", "id", "n", "node").unionByName(wordless))
     set_of = nodes.select(F.col("row").alias("node"), "n", "sketch").join(reps.select("node"), "node", "left_semi")
 
     # Which shingles come last in the order: any choice is right, a good one keeps regions small. At most _HEAVY_MOST.
@@ -429,7 +430,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rank[np.lexsort((heavy, count))] = np.arange(len(heavy))
 
     held = bodies.mapInArrow(lean(_prefixes(words, num, den, heavy[order], rank[order])), "shingle long, salt int, row long, at int")
-    found = written(held.repartition(n, "shingle", "salt").sortWithinPartitions("shingle", "salt", "row").mapInArrow(lean(_regions), "shingle long, pivot long, row long, at long"))
+    found = tables.written(held.repartition(n, "shingle", "salt").sortWithinPartitions("shingle", "salt", "row").mapInArrow(lean(_regions), "shingle long, pivot long, row long, at long"))
     salted = found.filter("shingle <> 0")
     least = salted.groupBy("shingle").agg(F.min("pivot").alias("least"))  # a row for each heavy shingle at most
     member = found.filter("shingle = 0").select("pivot", "row", "at").unionByName(salted.join(F.broadcast(least), "shingle").select(F.col("least").alias("pivot"), "row", "at"))
@@ -437,10 +438,10 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     node_of = of_row.select("row", "node")
     member = member.join(node_of, "row").select("pivot", "at", F.col("node").alias("other")).join(node_of.select(F.col("row").alias("pivot"), F.col("node").alias("region")), "pivot").filter("other <> region")
     # A region's pivot is a member of its own; its first shingle may be the common one.
-    regions = written(member.select("region", F.col("other").alias("node"), "at").unionByName(member.select("region", F.col("region").alias("node"), F.lit(0).cast("long").alias("at")).distinct()).groupBy("region", "node").agg(F.min("at").alias("at")))
+    regions = tables.written(member.select("region", F.col("other").alias("node"), "at").unionByName(member.select("region", F.col("region").alias("node"), F.lit(0).cast("long").alias("at")).distinct()).groupBy("region", "node").agg(F.min("at").alias("at")))
     # The largest set that the places of the common shingle allow; a peer may link with sets of its own size or larger ones.
     peer = F.expr(f"({den + num} * (n - at)) div {num} - n >= n")
-    placed = written(regions.join(set_of, "node").select("region", "node", "n", "at", "sketch", peer.alias("peer")))
+    placed = tables.written(regions.join(set_of, "node").select("region", "node", "n", "at", "sketch", peer.alias("peer")))
     sizes = pinned(placed.groupBy("region").agg(F.count("*").alias("size")).filter(f"size > {_CELL}"))
     members = placed.join(sizes, "region", "left").select("region", "node", "n", "at", "sketch", "peer", F.expr(f"cast(coalesce((size - 1) div {_CELL} + 1, 1) as int)").alias("cells"))
     home = F.expr("cast(abs(xxhash64(node)) % cells as int)")
@@ -470,10 +471,11 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     again = failed.unionByName(sizes.select("region")).distinct()
     active = pinned(placed.join(again, "region", "left_semi"))
     if not active.isEmpty():
-        roots = _between(_Search(num, den, n), active, asked, roots, verify)
+        roots = _between(_Search(num, den, n, tables), active, asked, roots, verify)
 
     joined = pinned(of_row.join(roots, "node", "left").select("row", "id", "n", F.coalesce("root", "node").alias("root")))
     names = pinned(joined.groupBy("root").agg(F.min("id").alias("component_id")))
+    tables.drop()
     return joined.join(names, "root").select("row", F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "root")
 
 

@@ -16,7 +16,7 @@ from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed, lean, small_batches, text_bytes, written
+from waymark.llm.common import Tables, keyed, lean, small_batches, text_bytes
 from waymark.llm.prints import PART, WordHashes
 
 #: Documented bounds of the fit: confirmed toxic texts (labelled rows), features that may be chosen, chosen features.
@@ -221,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     smallest hashes of their ids, shards are dealt by ids, so that they are the same in every run. Rows with null ids and
     null labels are left out. Without a confirmed toxic text, or without a text of another kind, every text scores 0.
     """
-    spark = docs.sparkSession
+    spark, tables = docs.sparkSession, Tables()
     own = labels.select(F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("y")).filter(F.col("id").isNotNull() & F.col("y").isNotNull() & (fold(F.col("id"), folds) != 0))
     prior = own.agg(F.avg((F.col("y") == 1).cast("double"))).first()[0] or 0.0
     none = ToxicityModel({}, -60.0)
@@ -240,10 +240,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     if not len(often):
         return none
     candidates, in_p = found[often], in_p[often]
-    matched = written(rows.mapInArrow(lean(_matched(spark.sparkContext.broadcast(candidates))), "id long, f binary"))
+    matched = tables.written(rows.mapInArrow(lean(_matched(spark.sparkContext.broadcast(candidates))), "id long, f binary"))
     counts = {r.at: r.n for r in matched.mapInArrow(lean(_counted(len(candidates))), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}  # a row for each candidate at most
     n = counts.pop(-1, 0)
     if n <= len(p):
+        tables.drop()
         return none
     in_u = np.array([counts.get(k, 0) for k in range(len(candidates))])
     rate_p, rate_u = (in_p + 0.5) / (len(p) + 1), (in_u + 0.5) / (n + 1)
@@ -251,6 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     chosen = np.argsort(-gain, kind="stable")[:MAX_FEATURES]
     chosen = np.sort(chosen[gain[chosen] > 0])
     if not len(chosen):
+        tables.drop()
         return none
     place = np.full(len(candidates), -1)
     place[chosen] = np.arange(len(chosen))
@@ -266,7 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     shards = n // SHARD + 1
     sharded = matched.select(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("shard"), "id", "f").mapInArrow(lean(narrowed), "shard long, id long, f binary")
     parts = max(1, min(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    sharded = written(sharded.repartition(parts, "shard").sortWithinPartitions("shard", "id", "f").select("shard", "f"))
+    sharded = tables.written(sharded.repartition(parts, "shard").sortWithinPartitions("shard", "id", "f").select("shard", "f"))
     positive = []
     for x in p:
         k = place[np.minimum(np.searchsorted(candidates, x), len(candidates) - 1)]
@@ -277,6 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         moved = sharded.mapInArrow(lean(_steps(sent, len(chosen), prior)), "shard long, n long, w binary").repartition(8, "shard").mapInArrow(lean(_mean), "n long, w binary").collect()
         mean = sum(np.frombuffer(r.w, "<f8") for r in moved) / sum(r.n for r in moved)
         w, b = mean[:-1], float(mean[-1])
+    tables.drop()
     return ToxicityModel({int(i): float(v) for i, v in zip(candidates[chosen], w, strict=True)}, b)
 
 
