@@ -1,12 +1,15 @@
 """Edge cases on small tables made by hand."""
 
+import os
+import uuid
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from waymark.functions import keys, values
-from waymark.operators import changes, convert, profile, sinks
+from waymark.operators import changes, convert, profile, select, sinks
+from waymark.plans import fixtures as fx
 from waymark.sources import records, registry, snapshots
 
 HEAD = "<p:m xmlns:p='urn:x'><publicationTime>2015-01-01T00:59:59.897+01:00</publicationTime>"
@@ -151,3 +154,69 @@ def test_upsert_into_store(spark, tmp_path):
     sinks.write_documents(make(("f", "a", "s", datetime(2024, 1, 1), "2", "old"), ("f", "b", "s", datetime(2024, 1, 2), "2", "keep")), root)
     sinks.upsert_into(spark, root, str(tmp_path / "stage"), make(("f", "a", "s", datetime(2024, 1, 1), "1", "new"), ("f", "a", "s", datetime(2024, 1, 1), "3", "older")))
     assert sorted((r.doc_id, r.json) for r in sinks.get_documents(spark, root, "F").collect()) == [("a", "new"), ("b", "keep")]
+
+
+def test_scalars_read_alike_as_columns_and_in_documents(spark):
+    texts = ["\ttrue", " TRUE\n", "7", "+07", "7 ", " 7", "٧", "1" * 19, "-9223372036854775808", "9223372036854775808", "0" * 5000 + "7", "1" * 5000, "1e999", "1,2.5", ".5e1", "", " ", "truK", "5\x1c"]
+    kinds = {bool: "bool", int: "int", float: "double", str: "string"}
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    for r in df.select("t", values.infer_scalar(F.col("t")).alias("v")).collect():
+        x = convert.typed(r.t)
+        assert r.v.kind == kinds[type(x)], r.t
+        assert {"bool": r.v.b, "int": r.v.l, "double": r.v.d, "string": r.v.s}[r.v.kind] == x
+
+
+def test_records_that_cannot_be_converted_are_rejected_alone(spark):
+    deep = "<r>" * 3000 + "</r>" * 3000
+    rows = [("f", "deep", deep), ("f", "good", "<r><v>1</v></r>"), ("f", "bad", "<r>"), ("f", "far", "<r><coordinates>1e999 2</coordinates></r>"), ("f", "long", f"<r><v>{'1' * 5000}</v></r>")]
+    events = spark.createDataFrame(rows, "feed string, source_id string, xml string").withColumn("publication_time", F.lit("2015-01-01").cast("timestamp"))
+    docs, _, rejects = convert.convert_events(events)
+    assert {r.source_id for r in docs.collect()} == {"good", "long"} and {r.source_id for r in rejects.collect()} == {"deep", "bad", "far"}
+    got = {r.source_id: r.j for r in events.select("source_id", convert.xml_to_json(F.col("xml")).alias("j")).collect()}
+    assert got["deep"] is None and got["bad"] is None and got["good"] == '{"v":"1"}'
+    far = spark.createDataFrame([('{"coordinates":"1e999 2"}',), ('{"coordinates":"1 2"}',)], "t string")
+    assert [r[0] for r in far.select(convert.convert_coordinates_json(F.col("t"))).collect()] == [None, '{"coordinates":[[1.0,2.0]]}']
+
+
+def test_volume_estimate_divides_scaled_figures(spark):
+    events = spark.createDataFrame([("f", f"{s:02}", f"{k}", 10) for s in range(7) for k in range(s + 1)], "feed string, source_id string, row_key string, length long")
+    # sources 3 and 4 (0-based 2, 3) are sampled: 3 + 4 events, 70 bytes
+    r = profile.estimate_volume(events, 2, 2).first()
+    assert (r.sources, r.est_events, r.est_bytes, r.mean_bytes) == (7, 21, 210, 10)
+    assert profile.estimate_volume(events, 50, 50).first().mean_bytes is None
+
+
+def test_each_snapshot_is_parsed_once(spark, tmp_path, monkeypatch):
+    from waymark.plans.jobs import snapshots_to_events
+
+    snaps = fx.snapshots(spark, "/root/testdata/sf0.001", broken=True)
+    n, log, real = snaps.count(), str(tmp_path), records.extract
+
+    def counted(*args):
+        open(f"{log}/{uuid.uuid4().hex}", "w").close()
+        return real(*args)
+
+    monkeypatch.setattr(records, "extract", counted)
+    events, bad = snapshots_to_events(snaps)
+    assert events.count() and bad.count()
+    assert len(os.listdir(log)) == n
+
+
+def test_positions_are_those_of_a_sort(spark):
+    df = spark.range(0, 5000, 1, 7).selectExpr("(id * 7919) % 5003 as k", "id as position")
+    got = select.with_position(df, ["k"]).orderBy("position").collect()
+    assert [r.position for r in got] == list(range(5000)) and [r.k for r in got] == sorted(r.k for r in got)
+
+
+def test_stream_batches_can_be_replayed(spark, tmp_path):
+    from waymark.streaming import feeds
+
+    snaps = fx.snapshots(spark, "/root/testdata/sf0.001")
+    run = feeds.change_batch(str(tmp_path))
+    run(snaps.filter("day(snapshot_ts) <= 9"), 0)
+    later = snaps.filter("day(snapshot_ts) > 9")
+    run(later, 1)
+    key = lambda: sorted((r.feed, r.source_id, r.row_key, r.snapshot_name) for r in spark.read.parquet(f"{tmp_path}/events").collect())
+    first = key()
+    run(later.repartition(5), 1)
+    assert key() == first and len(first) == len(set(first))

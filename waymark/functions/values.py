@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NUMBER = r"^\s*[+-]?(\d[\d,]*\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_INTEGER = r"^\s*[+-]?\d+\s*$"
+# White space and digits are ASCII, here and in the document form.
+_WHITE = r"[ \t\n\x0B\f\r]*"
+_NUMBER = rf"\A{_WHITE}[+-]?([0-9][0-9,]*\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?{_WHITE}\z"
+_INTEGER = rf"\A{_WHITE}[+-]?[0-9]+{_WHITE}\z"
+
+
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, rf"\A{_WHITE}|{_WHITE}\z", "")
 _ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
 
 def parse_coordinates(text: Column) -> Column:
-    """Pairs of numbers of a text split at space, comma, semicolon and line ends; null where a token is no number."""
+    """Pairs of numbers of a text split at space, comma, semicolon and line ends; null where a token is no number or beyond a double."""
     tokens = F.filter(F.split(text, "[ ,;\\r\\n]"), lambda t: F.trim(t) != "")
     numbers = F.transform(tokens, lambda t: F.when(t.rlike(_NUMBER), t.try_cast("double")))
+    numbers = F.transform(numbers, lambda x: F.when(F.abs(x) < F.lit(float("inf")), x))
     pairs = F.floor(F.size(numbers) / 2).cast("int")
     made = F.transform(F.sequence(F.lit(1), F.greatest(pairs, F.lit(1))), lambda i: F.array(F.get(numbers, 2 * i - 2), F.get(numbers, 2 * i - 1)))
     good = ~F.exists(numbers, lambda x: x.isNull())
@@ -22,9 +29,10 @@ def parse_coordinates(text: Column) -> Column:
 
 def infer_scalar(text: Column) -> Column:
     """struct(kind, b, l, d, s): truth value, 64-bit integer, double, or else the text."""
-    low = F.lower(F.trim(text))
-    whole = F.when(text.rlike(_INTEGER), F.trim(text).try_cast("bigint"))
-    number = F.when(text.rlike(_NUMBER), F.regexp_replace(F.trim(text), ",", "").try_cast("double"))
+    bare = _stripped(text)
+    low = F.translate(bare, "TRUEFALS", "truefals")
+    whole = F.when(text.rlike(_INTEGER), bare.try_cast("bigint"))
+    number = F.when(text.rlike(_NUMBER), F.regexp_replace(bare, ",", "").try_cast("double"))
     number = F.when(F.abs(number) < F.lit(float("inf")), number)
     kind = F.when(text.isNull(), "null").when(low.isin("true", "false"), "bool").when(whole.isNotNull(), "int").when(number.isNotNull(), "double").otherwise("string")
     only = lambda name, value: F.when(kind == name, value)

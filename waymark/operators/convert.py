@@ -15,8 +15,10 @@ SITUATIONS = "getsituation"
 GEOMETRY_FEEDS = (SITUATIONS, "getpredefinedtraveltimelocations")
 RENAMED = {"latitude": "lat", "longitude": "lon"}
 DROPPED = ("@xmlns",)
-_INTEGER = re.compile(r"\s*[+-]?[0-9]+\s*")
-_NUMBER = re.compile(r"\s*[+-]?([0-9][0-9,]*\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*")
+# White space and digits are ASCII, here and in the column form.
+_WHITE = " \t\n\x0b\f\r"
+_INTEGER = re.compile(rf"[{_WHITE}]*([+-]?)0*([0-9]+)[{_WHITE}]*")
+_NUMBER = re.compile(rf"[{_WHITE}]*[+-]?([0-9][0-9,]*\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[{_WHITE}]*")
 
 
 class ConversionError(ValueError):
@@ -111,6 +113,8 @@ def coordinates(text) -> list[list[float]]:
     if any(not _NUMBER.fullmatch(t) for t in tokens):
         raise ConversionError("a coordinate is no number")
     numbers = [float(t) for t in tokens]
+    if any(abs(x) == float("inf") for x in numbers):
+        raise ConversionError("a coordinate is beyond a double")
     return [numbers[k : k + 2] for k in range(0, len(numbers) - 1, 2)]
 
 
@@ -125,13 +129,14 @@ def typed(value):
     """A text as truth value, 64-bit integer or double, where it reads as one."""
     if not isinstance(value, str):
         return value
-    low = value.strip().lower()
-    if low in ("true", "false"):
-        return low == "true"
-    if _INTEGER.fullmatch(value) and -(1 << 63) <= int(value) < 1 << 63:
-        return int(value)
+    bare = value.strip(_WHITE)
+    if bare.isascii() and bare.lower() in ("true", "false"):
+        return bare.lower() == "true"
+    # Longer ones are out of range, and int() refuses very long ones.
+    if (m := _INTEGER.fullmatch(value)) and len(m[2]) <= 19 and -(1 << 63) <= (number := int(m[1] + m[2])) < 1 << 63:
+        return number
     if _NUMBER.fullmatch(value):
-        number = float(value.replace(",", ""))
+        number = float(bare.replace(",", ""))
         if abs(number) != float("inf"):
             return number
     return value
@@ -163,28 +168,33 @@ def cut_geometry(value):
 
 
 def _dumped(value) -> str:
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"), allow_nan=False)
+
+
+def _or_null(f: Callable[[str], str]) -> Callable:
+    """f of a text; null for null and for what can't be converted: ill-formed, no JSON value, or nested too deep."""
+
+    def one(t):
+        try:
+            return None if t is None else f(t)
+        except (ValueError, RecursionError):
+            return None
+
+    return one
 
 
 def _per_text(f: Callable) -> Callable[[Column], Column]:
-    """A column function over JSON text; null stays null."""
+    """A column function over JSON text; null stays null, and what can't be converted becomes null."""
 
     def column(text: Column) -> Column:
-        return F.pandas_udf(lambda s: s.map(lambda t: None if t is None else _dumped(f(json.loads(t)))), "string")(text)
+        return F.pandas_udf(lambda s: s.map(_or_null(lambda t: _dumped(f(json.loads(t))))), "string")(text)
 
     return column
 
 
 def xml_to_json(xml: Column) -> Column:
-    """JSON text of a record's XML, namespaces stripped; null where it is malformed."""
-
-    def one(x):
-        try:
-            return None if x is None else _dumped(to_value(parse(x)))
-        except ConversionError:
-            return None
-
-    return F.pandas_udf(lambda s: s.map(one), "string")(xml)
+    """JSON text of a record's XML, namespaces stripped; null where it is malformed or nested too deep."""
+    return F.pandas_udf(lambda s: s.map(_or_null(lambda x: _dumped(to_value(parse(x))))), "string")(xml)
 
 
 convert_coordinates_json = _per_text(convert_coordinates)
@@ -228,6 +238,7 @@ def _converted(events: DataFrame, tz: str, raw: bool = False) -> DataFrame:
         for f in frames:
             out = []
             for feed, source, key, stamp, published, time, xml in f.itertuples(index=False):
+                before = len(out)
                 try:
                     root = parse(xml or "")
                     situation = feed == SITUATIONS
@@ -238,8 +249,10 @@ def _converted(events: DataFrame, tz: str, raw: bool = False) -> DataFrame:
                             doc = normalized(doc, doc_id, published)
                             shape = cut_geometry(doc) if feed in GEOMETRY_FEEDS else None
                         out.append((feed, doc_id, source, k, time, key, _dumped(doc), None if shape is None else _dumped(shape), None))
-                except ConversionError as e:
-                    out.append((feed, None, source, None, time, key, None, None, str(e)))
+                except (ValueError, RecursionError) as e:
+                    # One record is rejected, with all its documents, and the others go on.
+                    del out[before:]
+                    out.append((feed, None, source, None, time, key, None, None, str(e) or type(e).__name__))
             yield pd.DataFrame(out, columns=["feed", "doc_id", "source_id", "record_index", "event_time", "row_key", "json", "geometry", "error"]).astype({"record_index": "Int32"})
 
     t = F.col("publication_time")

@@ -26,18 +26,14 @@ def _per_source(events: DataFrame) -> DataFrame:
 def estimate_volume(events: DataFrame, skip: int = 50, sample: int = 50) -> DataFrame:
     """Per feed: sources, est_events, est_bytes, mean_bytes from the sources skip + 1 .. skip + sample in order of name.
 
-    Scaled in whole numbers by the sample's nominal size; the mean is null where nothing was sampled.
+    Scaled in whole numbers by the sample's nominal size; the mean divides the scaled figures and is null where no event is estimated.
     """
     per = _per_source(events)
     ranked = per.withColumn("r", F.row_number().over(Window.partitionBy("feed").orderBy("source_id")))
     chosen = (F.col("r") > skip) & (F.col("r") <= skip + sample)
     total = ranked.groupBy("feed").agg(F.count("*").alias("sources"), F.sum(F.when(chosen, F.col("n"))).alias("n"), F.sum(F.when(chosen, F.col("n") * F.col("first_length"))).alias("size"))
-    return total.select(
-        "feed", "sources",
-        F.expr(f"(coalesce(n, 0) div {int(sample)}) * sources").alias("est_events"),
-        F.expr(f"coalesce(size, 0) * (sources div {int(sample)})").alias("est_bytes"),
-        F.expr("case when n > 0 then size div n end").alias("mean_bytes"),
-    )
+    scaled = total.select("feed", "sources", F.expr(f"(coalesce(n, 0) div {int(sample)}) * sources").alias("est_events"), F.expr(f"coalesce(size, 0) * (sources div {int(sample)})").alias("est_bytes"))
+    return scaled.withColumn("mean_bytes", F.expr("case when est_events > 0 then est_bytes div est_events end"))
 
 
 def day_volume(events: DataFrame, date: str) -> DataFrame:

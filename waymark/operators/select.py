@@ -54,10 +54,20 @@ def count_by(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def with_position(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
-    """Global 0-based position: a range sort, then the counts of earlier partitions. No window over all rows."""
-    spark, schema = df.sparkSession, df.schema
-    numbered = df.orderBy(*order).rdd.zipWithIndex().map(lambda r: (*r[0], r[1]))
-    return spark.createDataFrame(numbered, schema.add(name, "long") if name not in schema.names else schema)
+    """Global 0-based position: a range sort, then the counts of earlier partitions. No window over all rows.
+
+    A column of that name is replaced. Rows that are equal in the order take positions in any order among them.
+    """
+    local = "_" + name
+    while local in df.columns:
+        local = "_" + local
+    # Partition number and place within it, checkpointed: another range sort might cut elsewhere.
+    placed = df.drop(name).orderBy(*order).withColumn(local, F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright(local, 33)
+    counts = placed.groupBy(part.alias("p")).agg(F.count("*").alias("n"))  # a row for each partition
+    before = counts.select(F.col("p").alias("_p"), (F.sum("n").over(Window.orderBy("p")) - F.col("n")).alias("_before"))
+    joined = placed.join(F.broadcast(before), part == F.col("_p"))
+    return joined.select(*[c for c in df.columns if c != name], (F.col("_before") + F.col(local).bitwiseAND(F.lit((1 << 33) - 1))).alias(name))
 
 
 def zip_by_position(a: DataFrame, order_a: list[str], b: DataFrame, order_b: list[str]) -> DataFrame:

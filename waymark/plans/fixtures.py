@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pandas as pd
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -12,24 +9,19 @@ from pyspark.sql import functions as F
 
 from waymark.operators.changes import as_events, change_events, upsert_events
 from waymark.sources.records import dedupe_records
+from waymark.sources.shared import scratch
 
 WEATHER = ("siteMeasurements", "measurementSiteReference")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint folder, or in a local one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="waymark-")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A record per event: feed = type, snapshot = day, source = user modulo 20, content = value in twenties."""
+    """A record per event: feed = type, snapshot = day, source = user, content = value in twenties."""
     e = table(spark, sf_dir, "events").withColumn("t", F.date_trunc("day", F.col("ts").cast("timestamp")))
-    return e.select(F.col("event_type").alias("feed"), F.date_format("t", "yyyy/MM/dd/HHmmss").alias("snapshot_name"), F.col("t").alias("publication_time"), F.col("event_id").alias("ordinal"), (F.col("user_id") % 20).cast("string").alias("source_id"), F.floor(F.col("value") / 20).cast("bigint").cast("string").alias("xml"))
+    return e.select(F.col("event_type").alias("feed"), F.date_format("t", "yyyy/MM/dd/HHmmss").alias("snapshot_name"), F.col("t").alias("publication_time"), F.col("event_id").alias("ordinal"), F.col("user_id").cast("string").alias("source_id"), F.floor(F.col("value") / 20).cast("bigint").cast("string").alias("xml"))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from waymark.operators import changes, convert, sinks
-from waymark.sources.records import dedupe_records, explode_records, split_valid
+from waymark.sources.records import explode_records, split_valid
 from waymark.sources.registry import with_elements
+from waymark.sources.shared import scratch, stored
 from waymark.sources.snapshots import read_snapshots
 
 
 def snapshots_to_events(snapshots: DataFrame, on_bad_predecessor: str = "skip", method: str = "window") -> tuple[DataFrame, DataFrame]:
-    """(events, rejected snapshots) of a history of snapshots with their elements."""
-    good, bad = split_valid(explode_records(snapshots))
-    found = changes.change_events(dedupe_records(good), snapshots, bad, on_bad_predecessor, method)
+    """(events, rejected snapshots) of a history of snapshots with their elements. Each snapshot is parsed once."""
+    good, bad = split_valid(stored(explode_records(snapshots, first_only=True), scratch(snapshots.sparkSession)))
+    found = changes.change_events(good, snapshots, bad, on_bad_predecessor, method)
     return changes.upsert_events(changes.as_events(found)), bad
 
 

@@ -22,7 +22,7 @@ ORACLES: dict[str, str] = {}
 _FEEDS = ", ".join(f"('{f}', '{r}', '{i}')" for f, (r, i) in registry.FEEDS.items() if f in registry.DEFAULT_FEEDS)
 _BASE = """
  rec AS (SELECT event_type AS feed, strftime(ts, '%Y/%m/%d/000000') AS snapshot_name, date_trunc('day', ts) AS t, event_id AS ordinal,
-   CAST(user_id % 20 AS VARCHAR) AS source_id, CAST(CAST(floor(value / 20) AS BIGINT) AS VARCHAR) AS xml FROM events),
+   CAST(user_id AS VARCHAR) AS source_id, CAST(CAST(floor(value / 20) AS BIGINT) AS VARCHAR) AS xml FROM events),
  one AS (SELECT * FROM rec QUALIFY row_number() OVER (PARTITION BY feed, snapshot_name, source_id ORDER BY ordinal) = 1),
  names AS (SELECT *, row_number() OVER (PARTITION BY feed ORDER BY snapshot_name) AS seq FROM (SELECT DISTINCT feed, snapshot_name, t FROM rec)),
  lagged AS (SELECT o.*, seq, lag(seq) OVER w AS ps, lag(xml) OVER w AS px FROM one o JOIN (SELECT feed, snapshot_name, seq FROM names) USING (feed, snapshot_name) WINDOW w AS (PARTITION BY feed, source_id ORDER BY seq)),
@@ -535,11 +535,11 @@ def a2_event_volume(spark, sf):
 _FIRST = "SELECT feed, source_id, count(*) AS n, arg_min(length, row_key) AS f FROM ev"
 
 
-@query(f"""SELECT feed, count(*) AS sources, CAST(coalesce(sum(n) FILTER (r > 5 AND r <= 10), 0) // 5 * count(*) AS BIGINT) AS est_events,
-  CAST(coalesce(sum(n * f) FILTER (r > 5 AND r <= 10), 0) * (count(*) // 5) AS BIGINT) AS est_bytes, CAST(sum(n * f) FILTER (r > 5 AND r <= 10) // sum(n) FILTER (r > 5 AND r <= 10) AS BIGINT) AS mean_bytes
-  FROM (SELECT *, row_number() OVER (PARTITION BY feed ORDER BY source_id) AS r FROM ({_FIRST} GROUP BY feed, source_id)) GROUP BY feed""")
+@query(f"""SELECT *, CASE WHEN est_events > 0 THEN est_bytes // est_events END AS mean_bytes FROM (
+  SELECT feed, count(*) AS sources, CAST(coalesce(sum(n) FILTER (r > 50 AND r <= 100), 0) // 50 * count(*) AS BIGINT) AS est_events, CAST(coalesce(sum(n * f) FILTER (r > 50 AND r <= 100), 0) * (count(*) // 50) AS BIGINT) AS est_bytes
+  FROM (SELECT *, row_number() OVER (PARTITION BY feed ORDER BY source_id) AS r FROM ({_FIRST} GROUP BY feed, source_id)) GROUP BY feed)""")
 def a3_estimate_volume(spark, sf):
-    return profile.estimate_volume(fx.events(spark, sf), 5, 5)
+    return profile.estimate_volume(fx.events(spark, sf))
 
 
 @query(f"""SELECT feed, count(*) AS sources, CAST(sum(n) AS BIGINT) AS events, CAST(sum(n * f) AS BIGINT) AS bytes, CAST(sum(n * f) // sum(n) // 1024 AS BIGINT) AS mean_kb
@@ -593,11 +593,6 @@ def x5_summarize_by(spark, sf):
 # Streams: each drains what is there, so the batch answer must come out.
 
 
-def _split(batch):
-    good, bad = rec.split_valid(rec.explode_records(batch))
-    return rec.dedupe_records(good), batch.select("feed", "snapshot_name").distinct(), bad.select("feed", "snapshot_name")
-
-
 @query("SELECT feed, snapshot_name, CAST(strlen(content) AS BIGINT) AS length FROM snaps")
 def t1_stream_snapshots(spark, sf):
     root, out = fx.landed(spark, sf, "blob"), fx.scratch(spark)
@@ -612,9 +607,9 @@ def _stream_changes(spark, sf):
     snaps = fx.snapshots(spark, sf)
     schema = snaps.schema
     for part in ("day(snapshot_ts) <= 9", "day(snapshot_ts) between 10 and 20", "day(snapshot_ts) > 20", "day(snapshot_ts) = 1"):
-        snaps.filter(part).coalesce(1).write.mode("append").parquet(root)
+        snaps.filter(part).write.mode("append").parquet(root)
         source = spark.readStream.schema(schema).parquet(root)
-        feeds.stream_changes(source, out, f"{out}-log", _split).awaitTermination()
+        feeds.stream_changes(source, out, f"{out}-log").awaitTermination()
     return out
 
 
@@ -628,15 +623,16 @@ def t3_late_snapshots(spark, sf):
     return spark.read.parquet(f"{_stream_changes(spark, sf)}/late").select("feed", "snapshot_name")
 
 
-@query("SELECT event_type AS feed, count(DISTINCT date_trunc('hour', ts)) AS snapshots FROM events GROUP BY 1", base=False)
+@query("SELECT event_type AS feed, strftime(date_trunc('hour', ts), '%Y/%m/%d/%H%M%S') AS snapshot_name, CAST(coalesce(min(event_id) FILTER (event_id % 2 = 0), min(event_id)) AS VARCHAR) AS content FROM events GROUP BY ALL", base=False)
 def t4_stream_land(spark, sf):
     root, out = fx.scratch(spark), fx.scratch(spark)
     e = fx.table(spark, sf, "events")
-    rows = e.select(F.col("event_type").alias("feed"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("last_modified"), F.col("event_id"))
-    rows.write.parquet(root)
-    stream = feeds.stream_land(spark.readStream.schema(rows.schema).parquet(root))
-    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-log").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out).groupBy("feed").agg(F.countDistinct("last_modified").alias("snapshots"))
+    rows = e.select(F.col("event_type").alias("feed"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("last_modified"), F.col("event_id").cast("string").cast("binary").alias("content"), F.col("event_id").alias("arrival"))
+    # Even ids come first, then all of them, half of which have landed.
+    for part in (rows.filter("arrival % 2 = 0"), rows):
+        part.write.mode("append").parquet(root)
+        feeds.stream_land(spark.readStream.schema(rows.schema).parquet(root), out, f"{out}-log").awaitTermination()
+    return spark.read.parquet(f"{out}/snapshots").select("feed", "snapshot_name", F.col("content").cast("string").alias("content"))
 
 
 @query(_DOCS)

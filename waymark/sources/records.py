@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SCHEMA = "feed string, snapshot_name string, ordinal int, source_id string, xml string, published string, error string"
+_BATCH = 8 << 20  # bytes of snapshots whose records go on together
 _DECLARED = re.compile(rb"<\?xml[^>]*?encoding\s*=\s*[\"']([A-Za-z0-9._-]+)[\"']")
 
 
@@ -86,20 +87,37 @@ def extract(content: bytes | str, record: str, ident: str, match_local: bool = F
     return found.published.strip(), found.records, None
 
 
-def explode_records(snapshots: DataFrame, match_local: bool = False) -> DataFrame:
+def _first_of_each(records: list[tuple[str, str]]) -> list[tuple[int, str, str]]:
+    """(ordinal, id, xml) of the first record of each id."""
+    seen: dict[str, tuple[int, str, str]] = {}
+    for k, (i, x) in enumerate(records):
+        seen.setdefault(i, (k, i, x))
+    return list(seen.values())
+
+
+def explode_records(snapshots: DataFrame, match_local: bool = False, first_only: bool = False) -> DataFrame:
     """feed, snapshot_name, publication_time, ordinal, source_id, xml, error.
 
-    snapshots: feed, snapshot_name, content, record_element, id_element. One row per record; a snapshot that can't be used
-    gives one row with an error, an empty one none. Wide rows: nothing is shuffled.
+    snapshots: feed, snapshot_name, content, record_element, id_element. One row per record, or with first_only per
+    different id; a snapshot that can't be used gives one row with an error, an empty one none. Wide rows: nothing is
+    shuffled.
     """
 
+    def frame(out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=["feed", "snapshot_name", "ordinal", "source_id", "xml", "published", "error"]).astype({"ordinal": "Int32"})
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            out = []
+            out, held = [], 0
             for feed, name, content, record, ident in zip(f["feed"], f["snapshot_name"], f["content"], f["record_element"], f["id_element"], strict=True):
                 published, records, error = extract(content, record, ident, match_local) if isinstance(record, str) and content is not None else (None, [], "unknown feed or no content")
-                out += [(feed, name, None, None, None, None, error)] if error else [(feed, name, k, i, x, published, None) for k, (i, x) in enumerate(records)]
-            yield pd.DataFrame(out, columns=["feed", "snapshot_name", "ordinal", "source_id", "xml", "published", "error"]).astype({"ordinal": "Int32"})
+                kept = _first_of_each(records) if first_only else [(k, i, x) for k, (i, x) in enumerate(records)]
+                out += [(feed, name, None, None, None, None, error)] if error else [(feed, name, k, i, x, published, None) for k, i, x in kept]
+                held += len(content or "")
+                if held > _BATCH:
+                    yield frame(out)
+                    out, held = [], 0
+            yield frame(out)
 
     rows = snapshots.select("feed", "snapshot_name", "content", "record_element", "id_element").mapInPandas(run, SCHEMA)
     time = F.try_to_timestamp("published")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from waymark.operators import changes, convert, sinks
-from waymark.sources.snapshots import shape
+from waymark.sources.records import explode_records, split_valid
+from waymark.sources.shared import stored
+from waymark.sources.snapshots import land_snapshots, shape
 
 BINARY_FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -37,18 +39,25 @@ def _last_state(spark: SparkSession, root: str, batch: int) -> DataFrame | None:
     return spark.read.parquet(f"{root}/carry/batch={max(before)}") if before else None
 
 
-def change_batch(root: str, to_records: Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame]]) -> Callable[[DataFrame, int], None]:
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def change_batch(root: str, to_records: Callable[[DataFrame], DataFrame] = lambda b: explode_records(b, first_only=True)) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function: the change detection of a batch against the last snapshot of each feed.
 
-    to_records gives (records, snapshots, bad snapshots) of a batch. Under root go events, late (snapshots at or before the
-    feed's last one, which are never extracted) and carry, each by number of batch, so that a replay changes nothing.
+    to_records gives the records of a batch of snapshots as ``explode_records`` does; they are written once and read from
+    there. Under root go events (with row_key and event_date), late (snapshots at or before the feed's last one, which are
+    never extracted) and carry, each by number of batch, so that a replay changes nothing. Of carry the last two batches stay.
     """
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         batch.persist()
         try:
-            records, names, bad = to_records(batch)
+            records, bad = split_valid(stored(to_records(batch), f"{root}/parsed/batch={number}"))
+            names = batch.select("feed", "snapshot_name").distinct()
             state = _last_state(spark, root, number)
             if state is None:
                 state = spark.createDataFrame([], "feed string, snapshot_name string, source_id string, xml string, broken boolean")
@@ -56,37 +65,61 @@ def change_batch(root: str, to_records: Callable[[DataFrame], tuple[DataFrame, D
             fresh = lambda df: df.join(last, "feed", "left").filter("last is null or snapshot_name > last").drop("last")
             events, carry, _ = changes.extract_increment(fresh(records), state, fresh(names), fresh(bad))
             late = names.join(last, "feed").filter("snapshot_name <= last").select("feed", "snapshot_name")
-            _store(spark, root, number, {"events": events, "late": late, "carry": carry})
+            _store(spark, root, number, {"events": changes.as_events(events), "late": late, "carry": carry})
+            _delete(spark, f"{root}/parsed/batch={number}")
+            if number > 1:
+                _delete(spark, f"{root}/carry/batch={number - 2}")
         finally:
             batch.unpersist()
 
     return run
 
 
-def stream_changes(source: DataFrame, root: str, checkpoint: str, to_records, once: bool = True) -> StreamingQuery:
-    """Change detection on a stream; once drains what is there, else it polls each minute."""
-    writer = source.writeStream.foreachBatch(change_batch(root, to_records)).option("checkpointLocation", checkpoint)
+def stream_changes(source: DataFrame, root: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Change detection on a stream of snapshots with their elements; once drains what is there, else it polls each minute."""
+    writer = source.writeStream.foreachBatch(change_batch(root)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="60 seconds")).start()
 
 
-def stream_land(incoming: DataFrame, delay: str = "10 minutes", time: str = "last_modified") -> DataFrame:
-    """The first payload of each feed and second, within the watermark."""
-    named = incoming.withColumn("snapshot_name", F.date_format(F.date_trunc("second", time), "yyyy/MM/dd/HHmmss"))
-    return named.withWatermark(time, delay).dropDuplicatesWithinWatermark(["feed", "snapshot_name"])
+def stream_land(incoming: DataFrame, root: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Landing of a stream of (feed, last_modified, content, arrival): of each feed and second the first payload, as in batch.
+
+    Under root go snapshots, partitioned by number of batch; a replayed batch is held against the other ones and writes the
+    same folder again. Only names of earlier batches are read, not their payloads.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        schema = "feed string, snapshot_name string, snapshot_ts timestamp, content binary, length bigint, batch int"
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/snapshots")
+        there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+        before = spark.read.schema(schema).parquet(f"{root}/snapshots").filter(F.col("batch") < number) if there else spark.createDataFrame([], schema)
+        landed, _ = land_snapshots(before, batch, spark.createDataFrame([], "feed string, last_modified timestamp"))
+        _store(spark, root, number, {"snapshots": landed})
+
+    writer = incoming.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="60 seconds")).start()
 
 
 def stream_documents(events: DataFrame, root: str, checkpoint: str, once: bool = True, tz: str = "UTC") -> StreamingQuery:
-    """Documents of a stream of events; a document's newest version by id is kept in each batch's folder."""
+    """Documents of a stream of events, converted once: documents (the newest version of each id), geometries and rejects,
+    each by number of batch; ``read_documents`` and ``read_geometries`` give the newest version over all batches."""
 
     def run(batch: DataFrame, number: int) -> None:
-        docs, _, _ = convert.parts(convert.converted(batch, tz))
-        _store(batch.sparkSession, root, number, {"documents": sinks.keep_last(docs)})
+        spark = batch.sparkSession
+        docs, shapes, rejects = convert.parts(stored(convert.converted(batch, tz), f"{root}/converted/batch={number}"))
+        _store(spark, root, number, {"documents": sinks.keep_last(docs), "geometries": shapes, "rejects": rejects})
+        _delete(spark, f"{root}/converted/batch={number}")
 
     writer = events.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="60 seconds")).start()
 
 
 def read_documents(spark: SparkSession, root: str) -> DataFrame:
-    """Documents of all batches, the latest batch's version of each id."""
-    rows = spark.read.parquet(f"{root}/documents")
-    return rows.groupBy("feed", "doc_id").agg(F.max_by(F.struct(*[c for c in rows.columns if c not in ("feed", "doc_id")]), "batch").alias("d")).select("feed", "doc_id", "d.*")
+    """Documents of all batches, of each id the version with the newest row key; of equal keys that of the latest batch."""
+    return sinks.keep_last(spark.read.parquet(f"{root}/documents"), [F.col("row_key").asc_nulls_last(), F.desc("batch"), F.desc("json")])
+
+
+def read_geometries(spark: SparkSession, root: str) -> DataFrame:
+    """Geometries of all batches, of each document the newest one by time; of equal times that of the latest batch."""
+    return sinks.keep_last(spark.read.parquet(f"{root}/geometries"), [F.desc("event_time"), F.desc("batch"), F.desc("geometry")])
