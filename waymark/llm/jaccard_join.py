@@ -35,8 +35,9 @@ from waymark.llm.prints import WordHashes
 WORDS, NUM, DEN = 5, 75, 100
 _HEAVY_SHARE, _HEAVY_FROM, _HEAVY_MOST = 32, 8, 100_000
 _CELL, _PIVOTS = 256, 8
-_BLOCK = 2048  # documents on either side that the last step compares in one go
+_BLOCK = 8192  # documents on either side that the last step compares in one go
 _BROADCAST = 500_000  # most row numbers
+_MANY = 20_000  # pairs of one block; of more the nearest ones come first
 _LEVELS = 4  # divisions of a region at most
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], "u8")
 
@@ -281,7 +282,8 @@ def _trees(num: int, den: int):
 
 
 def _crossing(num: int, den: int, best: bool):
-    """Pairs of an outsider and a document of another component; with ``best`` the nearest one of each component only."""
+    """Pairs of an outsider and a document of another component. With ``best`` the nearest one of each component, and the
+    others too unless they are very many; a pair (-1, -1) says that others are left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches, ["region", "block", "cell"]):
@@ -293,10 +295,11 @@ def _crossing(num: int, den: int, best: bool):
                 i, j, gap = cell.pairs(outside, inside)
                 cross = root[i] != root[j]
                 i, j, gap = i[cross], j[cross], gap[cross]
-                if best:
+                cut = best and len(i) > _MANY
+                if cut:
                     one = _best(i, root[j], gap)
                     i, j = i[one], j[one]
-                yield _pairs_batch(list(zip(node[i].tolist(), node[j].tolist(), strict=True)))
+                yield _pairs_batch(list(zip(node[i].tolist(), node[j].tolist(), strict=True)) + [(-1, -1)] * cut)
 
     return run
 
@@ -468,8 +471,8 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Where a region is one cell and all edges of its forest are links, no pair that isn't ruled out joins two components;
     # so only regions with a failed edge or with several cells come again.
     failed = tree.join(links, ["a", "b"], "left_anti").select("region")
-    again = failed.unionByName(sizes.select("region")).distinct()
-    active = pinned(placed.join(again, "region", "left_semi"))
+    again = pinned(failed.unionByName(sizes.select("region")).distinct())
+    active = pinned(placed.join(F.broadcast(again) if again.count() <= _BROADCAST else again, "region", "left_semi"))
     if not active.isEmpty():
         roots = _between(_Search(num, den, n, tables), active, asked, roots, verify)
 
@@ -489,10 +492,12 @@ def _between(search: _Search, active: DataFrame, asked: DataFrame, roots: DataFr
         for p in tested:
             candidates = candidates.unionByName(p)
         found = pinned(candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        left = not found.filter("a < 0").isEmpty()
+        found = found.filter("a >= 0")
         more = pinned(found.join(asked, ["a", "b"], "left_anti"))
         links = verify(more) if not more.isEmpty() else more
-        # The nearest one of each component is enough where it is a link.
-        done = found.join(links, ["a", "b"], "left_anti").isEmpty()
+        # All pairs were tested, or the nearest one of each component, which is enough where it is a link.
+        done = not left or found.join(links, ["a", "b"], "left_anti").isEmpty()
         if not links.isEmpty():
             roots, leaves = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)), None
         if done:
