@@ -402,8 +402,8 @@ def test_rows_keep_their_numbers_when_splits_change(spark, docs, monkeypatch):
     sizes = iter(["7000", "20000000"] * 500)
 
     def after(f):
-        def run(df):
-            out = f(df)
+        def run(df, *args):
+            out = f(df, *args)
             spark.conf.set("spark.sql.files.maxPartitionBytes", next(sizes))
             return out
 
