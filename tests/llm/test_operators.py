@@ -287,11 +287,33 @@ def test_language_model(spark, odd, empty):
     for w, k in c.items():
         share[model.class_of(w)] += k + 1
     assert np.allclose(share, model.totals)
+    # of every history the probabilities of all tokens and the unseen event sum to one
+    vocabulary = list(c)
+    for history in ([], [b"the"], [vocabulary[0], vocabulary[-1]], [b"never", b"seen"]):
+        p = [10 ** brute_token(model, c, n, v, w, *history[::-1]) for w in vocabulary]
+        assert sum(p) + 1 / (n + v + 1) == pytest.approx(1, abs=1e-4)
+    for i, w in rows[::25]:
+        assert got[i].score == pytest.approx(sum(brute_token(model, c, n, v, x, *w[max(0, k - 2) : k][::-1]) for k, x in enumerate(w)), rel=1e-4)
     assert maxent_lm.score(odd, model, counts).count() == len(ODD) and maxent_lm.score(empty, model, counts).isEmpty()
     m0, c0 = maxent_lm.fit(empty)
     assert maxent_lm.score(odd, m0, c0).filter("score is null or isnan(score)").isEmpty()
 
 
+def brute_token(model, c, n, v, word, one=None, two=None):
+    """log10 P(word | one before, two before), feature by feature in whole numbers."""
+    if word not in c:
+        return -np.log10(n + v + 1)
+    side, first = maxent_lm.SIDE, maxent_lm._FIRST
+    kind = model.class_of(word)
+    h1, h2 = (0xFFFFFFFF if w is None else zlib.crc32(w) for w in (one, two))
+    quarter, total = (len(model.weights) - first) // 4, 0.0
+    for what, target in ((0, kind // side), (1 + kind // side, kind % side)):
+        place = lambda x, size: ((((x + what * 0xC2B2AE3D27D4EB4F) * 0x9E3779B97F4A7C15) & (1 << 64) - 1) >> 36) % size  # noqa: E731, B023
+        logits = model.weights[[what, first + place(h1, quarter), first + quarter + place(h2, quarter), first + 2 * quarter + place(h1 * 31 + h2 + 7, 2 * quarter)]].sum(0, dtype="f8")
+        total += logits[target] - logits.max() - np.log(np.exp(logits - logits.max()).sum())
+    return total / np.log(10) + np.log10((c[word] + 1) / model.totals[kind]) + np.log10((n + v) / (n + v + 1))
+
+
 def brute_groups(rows, words=5):
     sets = []
     for _, t in rows:

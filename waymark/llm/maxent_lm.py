@@ -1,11 +1,13 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-P(token | history) = P(class | history) * P(token | class). The first factor is a softmax over classes with hashed weights
-for the previous token, the one before it (a skip feature) and both (a trigram feature). The second is the maximum-entropy
-solution with a feature for each token and a prior count of one: its share of the class. A token never seen in training is
-one event with the mass that add-one smoothing leaves it, so that without context the model equals the smoothed unigrams.
-
-Classes: the most frequent tokens have one each, the others go by their last two bytes. Counts cover all training text.
+P(token | history) = P(group | history) * P(class | group, history) * P(token | class). The first two factors are softmaxes over
+16 groups and 16 classes of a group, with hashed weights for the previous token, the one before it (a skip feature) and both (a
+trigram feature), which in the second factor are those of the group. The third is the maximum-entropy solution with a feature
+for each token and a prior count of one: its share of the class. A token never seen in training is one event with the mass
+that add-one smoothing leaves it, so that without context the model equals the smoothed unigrams.
+
+Classes: the most frequent tokens have one each, the others go by their last two bytes; classes of like frequency form a group.
+Counts cover all training text. The number of hashed weight rows grows with the square root of the vocabulary.
 Weights are trained in rounds over disjoint slices that together cover all training text: each task runs mini-batch
 gradient steps from the weights it was sent, and the weights move by the mean of the tasks' changes.
 """
@@ -16,6 +18,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +28,16 @@ from pyspark.sql import functions as F
 from waymark.llm.common import keyed, lean, written
 
 FOLDS, OUT = 7, 2
-HEADS, SUFFIXES = 12, 19
-CLASSES = HEADS + SUFFIXES + 1
+SIDE = 16  # groups, and classes of a group
+CLASSES = SIDE * SIDE
+HEADS = 120
+SUFFIXES = CLASSES - HEADS - 1
 KNOWN = 300_000  # most tokens sent to every worker
 ROUNDS = 3
-_ONE, _SKIP, _BOTH = 1 << 11, 1 << 11, 1 << 12
-_ROWS = _ONE + _SKIP + _BOTH
-_BATCH = 40_000
+_FIRST = 1 + SIDE  # rows of weights without context: of the groups, and of each group's classes
+_NEVER = -1e4  # the logit of a class without tokens
+_BATCH = 40_000  # tokens of a training step
+_SCORED = 8_000  # tokens scored in one go
 END = b""
 
 
@@ -43,8 +49,7 @@ class Model:
     totals: np.ndarray  # of classes, with the prior count of each type
     tokens: int
     types: int
-    weights: np.ndarray
-    bias: np.ndarray
+    weights: np.ndarray  # one row of SIDE logits for each feature, those without context first
 
     def class_of(self, word: bytes) -> int:
         c = self.heads.get(word)
@@ -52,7 +57,7 @@ class Model:
 
 
 class _Reader:
-    """Texts to arrays: class, feature rows, and each token's place among its text's words."""
+    """Texts to arrays of classes and feature rows."""
 
     def __init__(self, model: Model, cache: int = 600_000):
         self.model, self.cache, self.known = model, cache, {}
@@ -68,10 +73,10 @@ class _Reader:
             class_of = self.model.class_of
             for w in new:
                 known[w] = class_of(w) << 32 | zlib.crc32(w)
-        return np.array([known[w] for w in words], "i8")
+        return np.fromiter(map(known.__getitem__, words), "i8", len(words))
 
-    def read(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """(classes, features) of the tokens of texts, each followed by its end."""
+    def read(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(class, target[2], row[4, 2]) of the tokens of texts, each followed by its end: at 0 of the group, at 1 of the class in it."""
         flat: list[bytes] = []
         for t in texts:
             flat += t
@@ -86,32 +91,41 @@ class _Reader:
         at = np.flatnonzero(inside)
         h = whole.astype("u8") & np.uint64(0xFFFFFFFF)
         one, two = h[at - 1], h[at - 2]
-        spread = lambda x, size: ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(size)
-        rows = np.stack([spread(one, _ONE), spread(two, _SKIP) + np.uint64(_ONE), spread(one * np.uint64(31) + two + np.uint64(7), _BOTH) + np.uint64(_ONE + _SKIP)])
-        return (code >> 32).astype("i4"), rows.astype("i4")
-
-
-def _logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    out = weights[rows[0]]
-    out += weights[rows[1]]
-    out += weights[rows[2]]
-    out += bias
+        kind = (code >> 32).astype("i4")
+        target = np.stack([kind // SIDE, kind % SIDE])
+        # What is predicted: 0 for the group, and 1 + group for the class.
+        what = np.stack([np.zeros_like(kind), 1 + target[0]])
+        mixed = what.astype("u8") * np.uint64(0xC2B2AE3D27D4EB4F)
+        quarter = (len(self.model.weights) - _FIRST) // 4
+        spread = lambda x, size, at: ((((x + mixed) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(36)) & np.uint64(size - 1)) + np.uint64(_FIRST + at)
+        rows = np.stack([what.astype("u8"), spread(one, quarter, 0), spread(two, quarter, quarter), spread(one * np.uint64(31) + two + np.uint64(7), 2 * quarter, 2 * quarter)])
+        return kind, target, rows.astype("i4")
+
+
+def _log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    out = weights.take(rows[0], axis=0)
+    for r in rows[1:]:
+        out += weights.take(r, axis=0)
+    np.clip(out, -80, 60, out=out)  # so that no sum is zero or infinite; sums of short rows are slow but as a product
+    out -= np.log(np.exp(out) @ np.ones((SIDE, 1), "f4"))
     return out
 
 
-def _step(weights: np.ndarray, bias: np.ndarray, classes: np.ndarray, rows: np.ndarray, rate: float) -> None:
+def _step(weights: np.ndarray, target: np.ndarray, rows: np.ndarray, rate: float) -> None:
     """One mini-batch gradient step; a row moves by its mean gradient, damped where it is rare."""
-    n = len(classes)
-    p = _logits(weights, bias, rows)
-    p -= p.max(1, keepdims=True)
+    n = len(target)
+    p = _log_softmax(weights, rows)
     np.exp(p, out=p)
-    p /= p.sum(1, keepdims=True)
-    p[np.arange(n), classes] -= 1
+    p[np.arange(n), target] -= 1
+    columns = np.ascontiguousarray(p.T, "f8")
     for r in rows:
-        order = np.argsort(r, kind="stable")
-        hit, first, count = np.unique(r[order], return_index=True, return_counts=True)
-        weights[hit] -= rate * np.add.reduceat(p[order], first, axis=0) / (count[:, None] + 4).astype("f4")
-    bias -= rate * p.mean(0)
+        place = np.zeros(len(weights), "i4")
+        place[r] = 1
+        hit = np.flatnonzero(place)
+        place[hit] = np.arange(len(hit))
+        at = place[r]
+        sums = np.stack([np.bincount(at, c) for c in columns], 1)
+        weights[hit] -= (rate * sums / (np.bincount(at)[:, None] + 4)).astype("f4")
 
 
 def _words(body: bytes) -> list[bytes]:
@@ -144,15 +158,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _train(sent, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        reader, w, b, seen = _Reader(model), model.weights.copy(), model.bias.copy(), 0
+        reader, w, seen = _Reader(model), model.weights.copy(), 0
         for batch in batches:
             for _, texts in _chunks(batch.column("body").to_pylist(), _BATCH):
-                classes, rows = reader.read(texts)
-                for at in range(0, len(classes), _BATCH):
-                    _step(w, b, classes[at : at + _BATCH], rows[:, at : at + _BATCH], rate)
-                seen += len(classes)
+                kind, target, rows = reader.read(texts)
+                for at in range(0, len(kind), _BATCH):
+                    _step(w, target[:, at : at + _BATCH].ravel(), rows[:, :, at : at + _BATCH].reshape(len(rows), -1), rate)
+                seen += len(kind)
         if seen:
-            change = np.concatenate([(w - model.weights).ravel(), b - model.bias]).astype("f4") * np.float32(seen)
+            change = (w - model.weights).ravel() * np.float32(seen)
             parts = np.array_split(change, 8)
             yield pa.RecordBatch.from_arrays([pa.array(range(8), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([seen] * 8, pa.int64())], names=["part", "change", "seen"])
 
@@ -203,16 +217,18 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int
         totals[k] += known[w] + 1
     for s, c in ends.items():
         totals[suffixes.get(s, CLASSES - 1)] += c
-    bias = np.log((totals + 0.5) / (totals.sum() + 0.5 * CLASSES)).astype("f4")
-    model = Model(known, heads, suffixes, totals, tokens, types, np.zeros((_ROWS, CLASSES), "f4"), bias)
+    weights = np.zeros((_FIRST + (1 << max(10, round(np.log2(types + 1) / 2) + 5)), SIDE), "f4")
+    each = totals.reshape(SIDE, SIDE)
+    first = np.vstack([each.sum(1), each])
+    weights[:_FIRST] = np.where(first > 0, np.log(np.maximum(first, 1) / np.maximum(first.sum(1, keepdims=True), 1)), _NEVER)
+    model = Model(known, heads, suffixes, totals, tokens, types, weights)
     for k in range(rounds if tokens else 0):
-        sent = docs.sparkSession.sparkContext.broadcast(Model({}, heads, suffixes, totals, tokens, types, model.weights, model.bias))  # fixed size
+        sent = docs.sparkSession.sparkContext.broadcast(Model({}, heads, suffixes, totals, tokens, types, model.weights))  # grows with the root of the vocabulary
         part = train.filter((fold / folds).cast("long") % rounds == k).select("body")
         moved = part.mapInArrow(lean(_train(sent, 0.6)), "part int, change binary, seen long").repartition(8, "part").mapInArrow(lean(_sum), "part int, change binary, seen long").collect()
         if moved:
             mean = np.concatenate([np.frombuffer(r.change, "f8") / r.seen for r in sorted(moved, key=lambda r: r.part)]).astype("f4")
-            model.weights = model.weights + mean[:-CLASSES].reshape(_ROWS, CLASSES)
-            model.bias = model.bias + mean[-CLASSES:]
+            model.weights = model.weights + mean.reshape(model.weights.shape)
     return model, counts
 
 
@@ -232,15 +248,14 @@ def _scored(sent):
         for b in batches:
             ids, row_of = b.column("id").to_pylist(), b.column("row").to_pylist()
             for at, texts in _chunks(b.column("body").to_pylist()):
-                classes, rows = reader.read(texts)
-                logp = np.empty(len(classes))
-                for s in range(0, len(classes), _BATCH):
-                    x = _logits(model.weights, model.bias, rows[:, s : s + _BATCH])
-                    x -= x.max(1, keepdims=True)
-                    mine = x[np.arange(len(x)), classes[s : s + _BATCH]]
-                    logp[s : s + _BATCH] = (mine - np.log(np.exp(x, out=x).sum(1))) / np.log(10)
-                logp += seen - share[classes]
-                where = np.array([place.get(w, -1) for t in texts for w in t], "i8")
+                kind, target, rows = reader.read(texts)
+                logp = np.empty(len(kind))
+                for s in range(0, len(kind), _SCORED):
+                    aim = target[:, s : s + _SCORED]
+                    x = _log_softmax(model.weights, rows[:, :, s : s + _SCORED].reshape(len(rows), -1))
+                    logp[s : s + _SCORED] = x[np.arange(len(x)), aim.ravel()].reshape(aim.shape).sum(0, dtype="f8") / np.log(10)
+                logp += seen - share[kind]
+                where = np.fromiter(map(place.get, chain.from_iterable(texts), repeat(-1)), "i8", len(kind))
                 frequent = where >= 0
                 text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
                 n = np.bincount(text, minlength=len(texts))
@@ -270,7 +285,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, doc_id: str = "doc_i
 
     Null and empty texts are one end. Null ids count as empty text for their fold.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # KNOWN tokens and a fixed number of weights
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # KNOWN tokens, and weights
     got = keyed(docs, doc_id, text).mapInArrow(lean(_scored(sent)), "token binary, row long, id long, n long, known long, base double, score double, kind int")
     least = min(model.counts.values(), default=None)
     tail = counts if least is None else counts.filter(F.col("c") < least)
