@@ -18,7 +18,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +36,7 @@ ROUNDS = 3
 _FIRST = 1 + SIDE  # rows of weights without context: of the groups, and of each group's classes
 _NEVER = -1e4  # the logit of a class without tokens
 _BATCH = 40_000  # tokens of a training step
-_SCORED = 8_000  # tokens scored in one go
+_SLICE = 8_000  # rows of logits made in one go
 END = b""
 
 
@@ -56,27 +55,30 @@ class Model:
         return self.suffixes.get(word[-2:], CLASSES - 1) if c is None else c
 
 
+class _Codes(dict):
+    """place << 40 | class << 32 | hash of each word met; place is one more than the word's number among the frequent tokens, or 0."""
+
+    def __init__(self, model: Model):
+        self.class_of, self.place = model.class_of, {w: k for k, w in enumerate(model.counts, 1)}
+
+    def __missing__(self, w: bytes) -> int:
+        code = self[w] = self.place.get(w, 0) << 40 | self.class_of(w) << 32 | zlib.crc32(w)
+        return code
+
+
 class _Reader:
-    """Texts to arrays of classes and feature rows."""
+    """Texts to arrays of places, classes and feature rows."""
 
     def __init__(self, model: Model, cache: int = 600_000):
-        self.model, self.cache, self.known = model, cache, {}
+        self.model, self.cache, self.known = model, cache, _Codes(model)
 
     def codes(self, words: list[bytes]) -> np.ndarray:
-        """class << 32 | hash of each word."""
-        known = self.known
-        new = set(words).difference(known)
-        if new:
-            if len(known) + len(new) > self.cache:
-                known.clear()
-                new = set(words)
-            class_of = self.model.class_of
-            for w in new:
-                known[w] = class_of(w) << 32 | zlib.crc32(w)
-        return np.fromiter(map(known.__getitem__, words), "i8", len(words))
-
-    def read(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(class, target[2], row[4, 2]) of the tokens of texts, each followed by its end: at 0 of the group, at 1 of the class in it."""
+        if len(self.known) > self.cache:
+            self.known.clear()
+        return np.fromiter(map(self.known.__getitem__, words), "i8", len(words))
+
+    def read(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(place, class, target[2], row[4, 2]) of the tokens of texts, each followed by its end: at 0 of the group, at 1 of the class in it."""
         flat: list[bytes] = []
         for t in texts:
             flat += t
@@ -91,7 +93,7 @@ class _Reader:
         at = np.flatnonzero(inside)
         h = whole.astype("u8") & np.uint64(0xFFFFFFFF)
         one, two = h[at - 1], h[at - 2]
-        kind = (code >> 32).astype("i4")
+        kind = (code >> 32 & 0xFF).astype("i4")
         target = np.stack([kind // SIDE, kind % SIDE])
         # What is predicted: 0 for the group, and 1 + group for the class.
         what = np.stack([np.zeros_like(kind), 1 + target[0]])
@@ -99,7 +101,7 @@ class _Reader:
         quarter = (len(self.model.weights) - _FIRST) // 4
         spread = lambda x, size, at: ((((x + mixed) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(36)) & np.uint64(size - 1)) + np.uint64(_FIRST + at)
         rows = np.stack([what.astype("u8"), spread(one, quarter, 0), spread(two, quarter, quarter), spread(one * np.uint64(31) + two + np.uint64(7), 2 * quarter, 2 * quarter)])
-        return kind, target, rows.astype("i4")
+        return code >> 40, kind, target, rows.astype("i4")
 
 
 def _log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -114,8 +116,9 @@ def _log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
 def _step(weights: np.ndarray, target: np.ndarray, rows: np.ndarray, rate: float) -> None:
     """One mini-batch gradient step; a row moves by its mean gradient, damped where it is rare."""
     n = len(target)
-    p = _log_softmax(weights, rows)
-    np.exp(p, out=p)
+    p = np.empty((n, SIDE), "f4")
+    for at in range(0, n, _SLICE):
+        np.exp(_log_softmax(weights, rows[:, at : at + _SLICE]), out=p[at : at + _SLICE])
     p[np.arange(n), target] -= 1
     columns = np.ascontiguousarray(p.T, "f8")
     for r in rows:
@@ -161,7 +164,7 @@ def _train(sent, rate: float):
         reader, w, seen = _Reader(model), model.weights.copy(), 0
         for batch in batches:
             for _, texts in _chunks(batch.column("body").to_pylist(), _BATCH):
-                kind, target, rows = reader.read(texts)
+                _, kind, target, rows = reader.read(texts)
                 for at in range(0, len(kind), _BATCH):
                     _step(w, target[:, at : at + _BATCH].ravel(), rows[:, :, at : at + _BATCH].reshape(len(rows), -1), rate)
                 seen += len(kind)
@@ -239,7 +242,6 @@ def _scored(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         reader = _Reader(model)
-        place = {w: k for k, w in enumerate(model.counts)}
         c = np.append(np.fromiter(model.counts.values(), "f8", len(model.counts)), np.nan)
         base_of = np.log10((c + 1) / (model.tokens + model.types + 1))
         seen = np.log10((model.tokens + model.types) / (model.tokens + model.types + 1)) if model.tokens else 0.0
@@ -248,14 +250,14 @@ def _scored(sent):
         for b in batches:
             ids, row_of = b.column("id").to_pylist(), b.column("row").to_pylist()
             for at, texts in _chunks(b.column("body").to_pylist()):
-                kind, target, rows = reader.read(texts)
+                where, kind, target, rows = reader.read(texts)
                 logp = np.empty(len(kind))
-                for s in range(0, len(kind), _SCORED):
-                    aim = target[:, s : s + _SCORED]
-                    x = _log_softmax(model.weights, rows[:, :, s : s + _SCORED].reshape(len(rows), -1))
-                    logp[s : s + _SCORED] = x[np.arange(len(x)), aim.ravel()].reshape(aim.shape).sum(0, dtype="f8") / np.log(10)
+                for s in range(0, len(kind), _SLICE // 2):
+                    aim = target[:, s : s + _SLICE // 2]
+                    x = _log_softmax(model.weights, rows[:, :, s : s + _SLICE // 2].reshape(len(rows), -1))
+                    logp[s : s + _SLICE // 2] = x[np.arange(len(x)), aim.ravel()].reshape(aim.shape).sum(0, dtype="f8") / np.log(10)
                 logp += seen - share[kind]
-                where = np.fromiter(map(place.get, chain.from_iterable(texts), repeat(-1)), "i8", len(kind))
+                where -= 1
                 frequent = where >= 0
                 text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
                 n = np.bincount(text, minlength=len(texts))
