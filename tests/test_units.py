@@ -220,3 +220,15 @@ def test_stream_batches_can_be_replayed(spark, tmp_path):
     first = key()
     run(later.repartition(5), 1)
     assert key() == first and len(first) == len(set(first))
+
+
+def test_volume_by_periods(spark):
+    times = [datetime(2024, 1, 1, 5, 0, 1), datetime(2024, 1, 1, 5, 0, 2), datetime(2024, 1, 1, 7), datetime(2024, 2, 3)]
+    snaps = spark.createDataFrame([("f", t, 1000 * k) for k, t in enumerate(times, 1)], "feed string, snapshot_ts timestamp, length long")
+    sizes = lambda by: sorted((r.snapshots, r.bytes, r.kb) for r in profile.snapshot_volume(snaps, by).collect())
+    assert sizes("second") == [(1, 1000, 0), (1, 2000, 1), (1, 3000, 2), (1, 4000, 3)]
+    assert sizes("hour") == [(1, 3000, 2), (1, 4000, 3), (2, 3000, 2)]
+    assert sizes("month") == [(1, 4000, 3), (3, 6000, 5)]
+    assert profile.snapshot_volume(snaps).columns[:2] == ["feed", "day"]
+    with pytest.raises(ValueError):
+        profile.snapshot_volume(snaps, "fortnight")

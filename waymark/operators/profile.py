@@ -6,9 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def snapshot_volume(snapshots: DataFrame) -> DataFrame:
-    """Per feed and day: snapshots, bytes, kb, mb, last_modified."""
-    total = snapshots.groupBy("feed", F.to_date("snapshot_ts").alias("day")).agg(F.count("*").alias("snapshots"), F.sum("length").alias("bytes"), F.max("snapshot_ts").alias("last_modified"))
+def snapshot_volume(snapshots: DataFrame, by: str = "day") -> DataFrame:
+    """Per feed and period: snapshots, bytes, kb, mb, last_modified. The column of the period's start is named by it.
+
+    A second holds one snapshot of a feed at most, so by "second" gives the size of each payload.
+    """
+    if by not in ("second", "minute", "hour", "day", "week", "month", "quarter", "year"):
+        raise ValueError(f"no period: {by}")
+    start = F.date_trunc(by, "snapshot_ts")
+    start = start if by in ("second", "minute", "hour") else start.cast("date")
+    total = snapshots.groupBy("feed", start.alias(by)).agg(F.count("*").alias("snapshots"), F.sum("length").alias("bytes"), F.max("snapshot_ts").alias("last_modified"))
     return total.withColumns({"kb": F.expr("bytes div 1024"), "mb": F.expr("bytes div 1048576")})
 
 
