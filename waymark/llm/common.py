@@ -35,6 +35,22 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of each job made inside go when it ends, for operators of many jobs whose results are all in the shared folder.
+
+    Else they stay until the driver happens to collect its garbage. Within a job they stay, for executors that get lost.
+    Don't run a DataFrame made inside twice; make the one that is returned outside.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def lean(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """f, after whose last batch the worker gives memory back: workers are kept, and hold on to the most they ever used."""
 
@@ -129,11 +145,13 @@ class Tables:
         self.folders.append((df.sparkSession, folder))
         return written(df, folder)
 
-    def drop(self) -> None:
-        for spark, folder in self.folders:
+    def drop(self, *only: DataFrame) -> None:
+        """Delete these tables, or all."""
+        gone = {f.rpartition("/")[2] for df in only for f in {x.rpartition("/")[0] for x in df.inputFiles()}}
+        for spark, folder in [f for f in self.folders if not only or f[1].rpartition("/")[2] in gone]:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        self.folders = []
+            self.folders.remove((spark, folder))
 
 
 def written(df: DataFrame, folder: str | None = None) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import Tables, keyed_once, lean, pinned, zipped
+from waymark.llm.common import Tables, keyed_once, lean, pinned, shuffles_dropped, zipped
 from waymark.llm.components import components
 from waymark.llm.prints import WordHashes
 
@@ -412,6 +412,13 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     components apart, which component_id doesn't where ids repeat or are null. An empty table gives no rows; other columns
     of docs are not read.
     """
+    with shuffles_dropped(docs.sparkSession):
+        joined, names = _joined(docs, doc_id, text, words, num, den)
+    return joined.join(names, "root").select("row", F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "root")
+
+
+def _joined(docs: DataFrame, doc_id: str, text: str, words: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(row, id, n, root) of each row, and the component_id of each root."""
     spark = docs.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     tables = Tables()
@@ -442,9 +449,11 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     member = member.join(node_of, "row").select("pivot", "at", F.col("node").alias("other")).join(node_of.select(F.col("row").alias("pivot"), F.col("node").alias("region")), "pivot").filter("other <> region")
     # A region's pivot is a member of its own; its first shingle may be the common one.
     regions = tables.written(member.select("region", F.col("other").alias("node"), "at").unionByName(member.select("region", F.col("region").alias("node"), F.lit(0).cast("long").alias("at")).distinct()).groupBy("region", "node").agg(F.min("at").alias("at")))
+    tables.drop(found)
     # The largest set that the places of the common shingle allow; a peer may link with sets of its own size or larger ones.
     peer = F.expr(f"({den + num} * (n - at)) div {num} - n >= n")
     placed = tables.written(regions.join(set_of, "node").select("region", "node", "n", "at", "sketch", peer.alias("peer")))
+    tables.drop(regions, nodes)
     sizes = pinned(placed.groupBy("region").agg(F.count("*").alias("size")).filter(f"size > {_CELL}"))
     members = placed.join(sizes, "region", "left").select("region", "node", "n", "at", "sketch", "peer", F.expr(f"cast(coalesce((size - 1) div {_CELL} + 1, 1) as int)").alias("cells"))
     home = F.expr("cast(abs(xxhash64(node)) % cells as int)")
@@ -473,13 +482,14 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     failed = tree.join(links, ["a", "b"], "left_anti").select("region")
     again = pinned(failed.unionByName(sizes.select("region")).distinct())
     active = pinned(placed.join(F.broadcast(again) if again.count() <= _BROADCAST else again, "region", "left_semi"))
+    tables.drop(placed)
     if not active.isEmpty():
         roots = _between(_Search(num, den, n, tables), active, asked, roots, verify)
 
     joined = pinned(of_row.join(roots, "node", "left").select("row", "id", "n", F.coalesce("root", "node").alias("root")))
     names = pinned(joined.groupBy("root").agg(F.min("id").alias("component_id")))
     tables.drop()
-    return joined.join(names, "root").select("row", F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "root")
+    return joined, names
 
 
 def _between(search: _Search, active: DataFrame, asked: DataFrame, roots: DataFrame, verify) -> DataFrame:
