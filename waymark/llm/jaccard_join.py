@@ -345,6 +345,12 @@ def _verified(words: int, num: int, den: int):
     return run
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """df, a row of numbers for each region, pinned; broadcast as long as its rows are few, else hashed."""
+    df = pinned(df)
+    return F.broadcast(df) if df.count() <= _BROADCAST else df.hint("shuffle_hash")
+
+
 class _Search:
     """Links between the components that a first pass left in the same region."""
 
@@ -357,7 +363,7 @@ class _Search:
 
     def crossing(self, active: DataFrame, best: bool) -> DataFrame:
         """Candidate pairs (a, b) of the owners and the inside of each region, block by block of owners."""
-        sizes = pinned(active.groupBy("region").agg(F.expr(f"cast((count_if(inside) - 1) div {_BLOCK} + 1 as int)").alias("cells"), F.expr(f"cast((count_if(owner) - 1) div {_BLOCK} + 1 as int)").alias("blocks")))
+        sizes = _few(active.groupBy("region").agg(F.expr(f"cast((count_if(inside) - 1) div {_BLOCK} + 1 as int)").alias("cells"), F.expr(f"cast((count_if(owner) - 1) div {_BLOCK} + 1 as int)").alias("blocks"), F.expr("bool_or(owner) and bool_or(inside)").alias("both")).filter("both").drop("both"))
         dealt = active.join(sizes, "region").withColumns({"own_cell": F.expr("cast(abs(xxhash64(node)) % cells as int)"), "own_block": F.expr("cast(abs(xxhash64(node, 1)) % blocks as int)")})
         columns = ["region", "node", "n", "at", "sketch", "root"]
         inside = dealt.filter("inside").select(*columns, F.col("own_cell").alias("cell"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), F.lit(False).alias("outside"))
@@ -480,8 +486,8 @@ def _joined(docs: DataFrame, doc_id: str, text: str, words: int, num: int, den:
     # Where a region is one cell and all edges of its forest are links, no pair that isn't ruled out joins two components;
     # so only regions with a failed edge or with several cells come again.
     failed = tree.join(links, ["a", "b"], "left_anti").select("region")
-    again = pinned(failed.unionByName(sizes.select("region")).distinct())
-    active = pinned(placed.join(F.broadcast(again) if again.count() <= _BROADCAST else again, "region", "left_semi"))
+    again = failed.unionByName(sizes.select("region")).distinct()
+    active = pinned(placed.join(_few(again), "region", "left_semi"))
     tables.drop(placed)
     if not active.isEmpty():
         roots = _between(_Search(num, den, n, tables), active, asked, roots, verify)
@@ -520,13 +526,16 @@ def _divided(search: _Search, active: DataFrame, roots: DataFrame) -> tuple[Data
     """Regions to be searched for links between their components, and pairs with pivots that are to be tested."""
     labelled = pinned(active.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     counts = labelled.groupBy("region", "root").agg(F.count("*").alias("size"))
-    main = pinned(counts.groupBy("region").agg(F.max(F.struct("size", F.col("root"))).alias("m"), F.count("*").alias("kinds")).filter("kinds > 1").select("region", F.col("m.root").alias("main")))
+    main = _few(counts.groupBy("region").agg(F.max(F.struct("size", F.col("root"))).alias("m"), F.count("*").alias("kinds")).filter("kinds > 1").select("region", F.col("m.root").alias("main")))
     apart = labelled.join(main, "region").withColumn("apart", F.col("root") != F.col("main")).drop("main")
     # Outsiders that are peers against all, and those that are fringe against the peers.
     now = apart.select("*", F.expr("apart and peer").alias("owner"), F.lit(True).alias("inside")).unionByName(apart.filter("apart or peer").withColumn("region", F.xxhash64("region", F.lit("fringe"))).select("*", F.expr("apart and not peer").alias("owner"), F.col("peer").alias("inside"))).drop("apart", "peer")
     # Regions with many of both go by bands of size, then by Voronoi regions.
-    many = pinned(now.groupBy("region").agg(F.count_if("owner").alias("k"), F.count_if("inside").alias("size")).filter(f"k > {_BLOCK} and size > {_BLOCK}").select("region"))
-    leaves, pairs = now.join(many, "region", "left_anti"), []
+    # Most regions have owners in one of their two parts only; a part without owners, or without others, has no pair.
+    both = pinned(now.groupBy("region").agg(F.count_if("owner").alias("k"), F.count_if("inside").alias("size")).filter("k > 0 and size > 0"))
+    is_many = f"k > {_BLOCK} and size > {_BLOCK}"
+    many = pinned(both.filter(is_many).select("region"))
+    leaves, pairs = now.join(_few(both.filter(f"not ({is_many})").select("region")), "region", "left_semi"), []
     if not many.isEmpty():
         rest = pinned(search.banded(now.join(many, "region", "left_semi")))
         for level in range(_LEVELS):
