@@ -128,6 +128,7 @@ def test_multikey_order():
 @pytest.mark.parametrize("source,text", [
     ("<p>Hi <b>you</b><p>Two<br>lines", "Hi you\n\nTwo\nlines"),
     ("<ul><li>a<li>b<ol start=3><li>c<li>d</ol></ul>", "- a\n- b\n\n  3. c\n  4. d"),
+    ("<ol start=3><li>a<li value=7>b<li>c<li value=x>d</ol><ul><li value=4>e</ul>", "3. a\n7. b\n8. c\n9. d\n\n- e"),
     ("<table><tr><th>Name<th>Val<tr><td>long name<td>1</table>", "Name      | Val\nlong name | 1"),
     ("<title>x</title><script>if (a</b) </script>a<style>b</style> &amp; c<!-- d -->", "a & c"),
     ("<div style='color:red; display: none'>no</div><div hidden>no</div><p>yes", "yes"),

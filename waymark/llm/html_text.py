@@ -294,6 +294,8 @@ def _list(node: Node) -> Generator:
     for kid in [*node.kids, None]:
         if isinstance(kid, Node) and kid.tag == "li":
             if visible(kid):
+                value = kid.attrs.get("value", "")
+                number = int(value) if re.fullmatch(r"-?[0-9]{1,9}", value) else number
                 mark = f"{number}. " if node.tag == "ol" else "- "
                 number += 1
                 lines = yield _render(kid)
