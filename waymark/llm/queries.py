@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import exact_dedup, html_text, jaccard_join, maxent_lm, media, packing, sentencepiece_bpe, suffix_dedup, toxicity, warc
+from waymark.llm import chat, exact_dedup, html_text, jaccard_join, maxent_lm, media, packing, sentencepiece_bpe, spelling, suffix_dedup, toxicity, warc, whitening
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,8 +61,26 @@ def op10_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one, -7, whose texts hold marks of templates."""
+    said = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    every = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    formatted = chat.format_chats(every, RANKS, public_tokenizers.PATTERN)
+    return chat.read_back(formatted, RANKS, public_tokenizers.PATTERN, in_order=True).drop("n_tokens", "loss_tokens")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece, op3_suffix_dedup, op4_html_extraction, op5_packing, op6_toxicity, op7_warc, op8_lm_scoring, op9_jaccard_join, op10_media_columns)
+    f.__name__: f for f in (op1_exact_dedup, op2_sentencepiece, op3_suffix_dedup, op4_html_extraction, op5_packing, op6_toxicity, op7_warc, op8_lm_scoring, op9_jaccard_join, op10_media_columns, op11_spelling_variants, op12_embedding_whitening, op13_chat_formatting)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
