@@ -6,7 +6,7 @@ import pytest
 from waymark.plans.queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
-TABLES = "customer orders lineitem events".split()
+TABLES = "customer orders lineitem events supplier".split()
 
 
 @pytest.fixture(scope="module")

@@ -13,7 +13,10 @@ _INTEGER = rf"\A{_WHITE}[+-]?[0-9]+{_WHITE}\z"
 
 def _stripped(text: Column) -> Column:
     return F.regexp_replace(text, rf"\A{_WHITE}|{_WHITE}\z", "")
-_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
+
+
+#: Fixed value: the letters of geohashes, in order.
+ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
 
 def parse_coordinates(text: Column) -> Column:
@@ -50,5 +53,5 @@ def geohash(lat: Column, lon: Column, length: int = 11) -> Column:
         value, n = (x, n_lon) if k % 2 == 0 else (y, n_lat)
         return F.shiftright(value, n - 1 - k // 2).bitwiseAND(F.lit(1))
 
-    letters = [F.substring(F.lit(_ALPHABET), sum((bit(5 * c + j) * (16 >> j) for j in range(5)), F.lit(1)).cast("int"), F.lit(1)) for c in range(length)]
+    letters = [F.substring(F.lit(ALPHABET), sum((bit(5 * c + j) * (16 >> j) for j in range(5)), F.lit(1)).cast("int"), F.lit(1)) for c in range(length)]
     return F.when(lat.between(-90, 90) & lon.between(-180, 180), F.concat(*letters))

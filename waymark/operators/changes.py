@@ -24,6 +24,15 @@ def diff_pair(old: DataFrame, new: DataFrame) -> DataFrame:
     return new.join(o, (F.col("feed") == F.col("_f")) & (F.col("source_id") == F.col("_s")) & F.col("xml").eqNullSafe(F.col("_x")), "left_anti")
 
 
+def content_hash(xml: Column | str = "xml") -> Column:
+    """What tells texts apart in change detection; null of null."""
+    return F.unhex(F.sha2(xml, 256))
+
+
+def _hashed(records: DataFrame) -> DataFrame:
+    return records if "content_hash" in records.columns else records.withColumn("content_hash", content_hash())
+
+
 def _numbered(snapshots: DataFrame, bad: DataFrame | None, on_bad: str) -> DataFrame:
     """feed, snapshot_name, seq, after_bad."""
     names = snapshots.select("feed", "snapshot_name").distinct()
@@ -45,45 +54,51 @@ def change_events(records: DataFrame, snapshots: DataFrame | None = None, bad: D
     A snapshot after a bad one emits nothing ("skip") or is held against the last good one ("last_good"). An id that is
     away for a snapshot is emitted again when it returns.
 
-    method "window" sorts each source's history: one shuffle, right for many sources. "join" pairs neighbours on
+    Records that have a content_hash are told apart by it and need no xml; see ``sources.records.fetched`` for getting the
+    xml of changed ones alone. method "window" sorts each source's history: one shuffle, right for many sources. "join" pairs neighbours on
     (feed, source_id, seq), so that a few sources with a very long history spread over all tasks.
     """
     if on_bad_predecessor not in ("skip", "last_good") or method not in ("window", "join"):
         raise ValueError("on_bad_predecessor is skip or last_good; method is window or join")
     seq = _numbered(records if snapshots is None else snapshots, bad, on_bad_predecessor)
-    rows = records.join(seq, ["feed", "snapshot_name"]).withColumn("_hash", F.sha2("xml", 256))
+    rows = _hashed(records).join(seq, ["feed", "snapshot_name"])
+    extra = [] if "content_hash" in records.columns else ["content_hash"]
     if bad is not None:
         rows = rows.join(bad.select("feed", "snapshot_name").distinct(), ["feed", "snapshot_name"], "left_anti")
     if method == "window":
+        # Partitions of a given number: what follows, conversion above all, costs by the row and not by the byte.
+        rows = rows.repartition(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")), "feed", "source_id")
         w = Window.partitionBy("feed", "source_id").orderBy("seq")
-        found = rows.withColumns({"_prev_seq": F.lag("seq").over(w), "_prev_hash": F.lag("_hash").over(w)})
-        changed = F.col("_prev_seq").isNull() | (F.col("_prev_seq") != F.col("seq") - 1) | ~F.col("_prev_hash").eqNullSafe(F.col("_hash"))
-        return found.filter(changed & ~F.col("after_bad")).drop("_prev_seq", "_prev_hash", "_hash", "after_bad")
-    before = rows.select("feed", "source_id", (F.col("seq") + 1).alias("seq"), F.col("_hash").alias("_prev_hash"), F.lit(True).alias("_had"))
+        found = rows.withColumns({"_prev_seq": F.lag("seq").over(w), "_prev_hash": F.lag("content_hash").over(w)})
+        changed = F.col("_prev_seq").isNull() | (F.col("_prev_seq") != F.col("seq") - 1) | ~F.col("_prev_hash").eqNullSafe(F.col("content_hash"))
+        return found.filter(changed & ~F.col("after_bad")).drop("_prev_seq", "_prev_hash", "after_bad", *extra)
+    before = rows.select("feed", "source_id", (F.col("seq") + 1).alias("seq"), F.col("content_hash").alias("_prev_hash"), F.lit(True).alias("_had"))
     found = rows.join(before, ["feed", "source_id", "seq"], "left")
-    return found.filter((F.col("_had").isNull() | ~F.col("_prev_hash").eqNullSafe(F.col("_hash"))) & ~F.col("after_bad")).drop("_had", "_prev_hash", "_hash", "after_bad")
+    return found.filter((F.col("_had").isNull() | ~F.col("_prev_hash").eqNullSafe(F.col("content_hash"))) & ~F.col("after_bad")).drop("_had", "_prev_hash", "after_bad", *extra)
 
 
 def as_events(changes: DataFrame, time: Column | None = None) -> DataFrame:
-    """Events with row_key, event_date and length."""
+    """Events with row_key, event_date and length; a length that is there stays."""
     t = F.col("publication_time") if time is None else time
-    return changes.withColumns({"row_key": row_key(t), "event_date": F.to_date(t), "length": F.octet_length("xml").cast("bigint")})
+    length = F.col("length") if "length" in changes.columns else F.octet_length("xml").cast("bigint")
+    return changes.withColumns({"row_key": row_key(t), "event_date": F.to_date(t), "length": length})
 
 
 def extract_increment(records: DataFrame, carry: DataFrame, snapshots: DataFrame, bad: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(events, new carry, new markers) of the next snapshots.
 
-    carry: feed, snapshot_name, source_id, xml, broken: the last snapshot of each feed so far; a broken or empty one is a
-    row with null source_id. snapshots names the new ones.
+    carry: feed, snapshot_name, source_id, content_hash, broken: the last snapshot of each feed so far, without its texts; a
+    broken or empty one is a row with null source_id. One with xml instead of hashes is taken too. snapshots names the new ones.
     """
     marks = carry.select("feed", "snapshot_name").distinct()
     all_names = marks.unionByName(snapshots.select("feed", "snapshot_name")).distinct()
-    columns = ["feed", "snapshot_name", "source_id", "xml"]
-    held = carry.filter("source_id is not null").select(*columns, F.lit(True).alias("_held"))
-    rows = held.unionByName(records.withColumn("_held", F.lit(False)), allowMissingColumns=True)
+    columns = ["feed", "snapshot_name", "source_id", "content_hash"]
+    extra = [] if "content_hash" in records.columns else ["content_hash"]
+    held = _hashed(carry).filter("source_id is not null").select(*columns, F.lit(True).alias("_held"))
+    rows = held.unionByName(_hashed(records).withColumn("_held", F.lit(False)), allowMissingColumns=True)
     broken = carry.filter("broken").select("feed", "snapshot_name").distinct()
     every_bad = broken if bad is None else broken.unionByName(bad.select("feed", "snapshot_name")).distinct()
-    events = change_events(rows, all_names, every_bad).filter(~F.col("_held")).drop("_held", "seq")
+    events = change_events(rows, all_names, every_bad).filter(~F.col("_held")).drop("_held", "seq", *extra)
     last = all_names.groupBy("feed").agg(F.max("snapshot_name").alias("snapshot_name"))
     kept = rows.select(*columns).join(last, ["feed", "snapshot_name"], "left_semi")
     state = last.join(every_bad.withColumn("broken", F.lit(True)), ["feed", "snapshot_name"], "left").withColumn("broken", F.coalesce("broken", F.lit(False)))

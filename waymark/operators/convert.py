@@ -209,20 +209,36 @@ def map_document(text: Column, rename: Callable[[str], str], remove: Callable[[s
 
 
 def flatten_properties(docs: DataFrame, doc_id: str = "doc_id", text: str = "json") -> DataFrame:
-    """doc_id, position, path, name, kind, value of each property in order of the tree, containers included, arrays not searched."""
+    """doc_id, position, path, name, kind, value of each property in order of the tree, containers included, arrays not searched.
+
+    Null documents, and those that aren't JSON or are nested too deep for its parser, give no rows.
+    """
 
     def kind(v) -> str:
         return {dict: "object", list: "array", str: "string", bool: "bool", int: "int", float: "double"}.get(type(v), "null")
 
-    def walk(v, path: str) -> Iterator[tuple[str, str, str, str]]:
-        for k, x in v.items() if isinstance(v, dict) else ():
+    def walk(whole) -> Iterator[tuple[str, str, str, str]]:
+        todo = [("", iter(whole.items() if isinstance(whole, dict) else ()))]
+        while todo:
+            path, rest = todo[-1]
+            if (item := next(rest, None)) is None:
+                todo.pop()
+                continue
+            k, x = item
             here = f"{path}.{k}" if path else k
             yield here, k, kind(x), _dumped(x)
-            yield from walk(x, here)
+            if isinstance(x, dict):
+                todo.append((here, iter(x.items())))
+
+    def properties(t: str) -> list[tuple[str, str, str, str]]:
+        try:
+            return list(walk(json.loads(t)))
+        except (ValueError, RecursionError):
+            return []
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            out = [(i, n, *row) for i, t in zip(f["d"], f["t"], strict=True) if t is not None for n, row in enumerate(walk(json.loads(t), ""))]
+            out = [(i, n, *row) for i, t in zip(f["d"], f["t"], strict=True) if t is not None for n, row in enumerate(properties(t))]
             yield pd.DataFrame(out, columns=["doc_id", "position", "path", "name", "kind", "value"])
 
     return docs.select(F.col(doc_id).cast("string").alias("d"), F.col(text).alias("t")).mapInPandas(run, "doc_id string, position int, path string, name string, kind string, value string")

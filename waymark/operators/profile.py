@@ -43,10 +43,15 @@ def estimate_volume(events: DataFrame, skip: int = 50, sample: int = 50) -> Data
     return scaled.withColumn("mean_bytes", F.expr("case when est_events > 0 then est_bytes div est_events end"))
 
 
-def day_volume(events: DataFrame, date: str) -> DataFrame:
-    """Per feed: sources, events and bytes (count times a source's newest size) of a day, and mean_kb."""
+def day_volume(events: DataFrame, date: str, feeds: DataFrame | None = None) -> DataFrame:
+    """Per feed: sources, events and bytes (count times a source's newest size) of a day, and mean_kb.
+
+    Only the day is read, so a feed without an event on it has a row, of zeros and a null mean, only where feeds lists it.
+    """
     day = events.filter(F.col("event_date") == F.lit(date).cast("date"))
     total = _per_source(day).groupBy("feed").agg(F.count("*").alias("sources"), F.sum("n").alias("events"), F.sum(F.col("n") * F.col("first_length")).alias("bytes"))
+    if feeds is not None:
+        total = feeds.select("feed").distinct().join(total, "feed", "full").na.fill(0, ["sources", "events", "bytes"])
     return total.withColumn("mean_kb", F.expr("case when events > 0 then bytes div events div 1024 end"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymark.operators import convert
+from waymark.sources import files
 
 PARTITIONS = ["feed", "event_date"]
 DOCUMENT = ["feed", "doc_id"]
@@ -53,8 +54,11 @@ def upsert_documents(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def upsert_into(spark: SparkSession, root: str, staging: str, incoming: DataFrame) -> None:
-    """Upsert into a partitioned store: only dates that incoming touches are read, staged and replaced."""
+    """Upsert into a partitioned store, which need not exist: only dates that incoming touches are read, staged and replaced."""
     new = _dated(keep_last(incoming), "event_time")
+    if not any(n.startswith("feed=") for n in files.names(root)):
+        _write(new, root, ["source_id", "doc_id"], "append")
+        return
     touched = new.select(*PARTITIONS).distinct()
     old = spark.read.parquet(root).join(touched, PARTITIONS, "left_semi")
     upsert_documents(old, new).write.mode("overwrite").parquet(staging)

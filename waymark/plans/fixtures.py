@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from waymark.operators.changes import as_events, change_events, upsert_events
 from waymark.sources.records import dedupe_records
+from waymark.sources.registry import DEFAULT_FEEDS, FEEDS
 from waymark.sources.shared import scratch
 
 WEATHER = ("siteMeasurements", "measurementSiteReference")
+#: Types of the events table, and the feeds that stand for them.
+TYPES = dict(zip(("click", "error", "purchase", "signup", "view"), sorted(DEFAULT_FEEDS), strict=True))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,8 +53,13 @@ def snapshots(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFra
 
 
 def landed(spark: SparkSession, sf_dir: str, layout: str) -> str:
-    """The snapshots as files of a landing folder, with a marker file beside them."""
-    root = scratch(spark)
+    """The snapshots as files of a landing folder."""
+    return land(snapshots(spark, sf_dir).select("feed", "snapshot_name", "content"), layout)
+
+
+def land(snaps: DataFrame, layout: str) -> str:
+    """Snapshots (feed, snapshot_name, content) as files of a landing folder, with a marker file beside them."""
+    root = scratch(snaps.sparkSession)
     plain = root.removeprefix("file://").removeprefix("file:")
 
     def write(frames):
@@ -65,10 +73,34 @@ def landed(spark: SparkSession, sf_dir: str, layout: str) -> str:
                         out.write(data)
             yield pd.DataFrame({"n": [len(f)]})
 
-    snapshots(spark, sf_dir).select("feed", "snapshot_name", "content").mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    snaps.mapInPandas(write, "n long").agg(F.sum("n")).collect()
     return root
 
 
+def feed_of(event_type):
+    """The feed that stands for a type of events: both in order of name."""
+    return F.element_at(F.create_map(*[F.lit(x) for pair in TYPES.items() for x in pair]), event_type)
+
+
+def feed_files(spark: SparkSession, sf_dir: str, layout: str = "blob") -> str:
+    """A landing folder of five feeds, each in its own elements; of the feed of clicks every seventh day is cut short."""
+    r = raw_records(spark, sf_dir).withColumn("feed", feed_of(F.col("feed")))
+    body = r.withColumn("xml", feed_record()).groupBy("feed", "snapshot_name", "publication_time").agg(F.concat_ws("", F.sort_array(F.collect_list(F.struct("ordinal", F.col("xml").alias("x")))).getField("x")).alias("body"))
+    whole = F.concat(F.lit("<m><publicationTime>"), F.date_format("publication_time", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("</publicationTime>"), "body", F.lit("</m>"))
+    broken = (F.col("feed") == TYPES["click"]) & (F.dayofmonth("publication_time") % 7 == 0)
+    return land(body.select("feed", "snapshot_name", F.when(broken, F.concat(whole, F.lit("<"))).otherwise(whole).cast("binary").alias("content")), layout)
+
+
+def feed_record():
+    """A record of a feed in its own elements, from source_id and xml."""
+    made = F.lit(None).cast("string")
+    for feed, (record, ident) in FEEDS.items():
+        inner = F.concat(F.lit("<v>"), "xml", F.lit(f"</v></{record}>"))
+        own = F.concat(F.lit(f'<{record} id="'), "source_id", F.lit('">'), inner) if record == ident else F.concat(F.lit(f'<{record}><{ident} id="'), "source_id", F.lit('"/>'), inner)
+        made = F.when(F.col("feed") == feed, own).otherwise(made)
+    return made
+
+
 def situations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A situation event per order, with a record per line."""
     li = table(spark, sf_dir, "lineitem")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import keys, values
-from waymark.operators import changes, convert, geo, profile, select, sinks
+from waymark.operators import changes, convert, geo, profile, select, sinks, typed
 from waymark.plans import fixtures as fx
+from waymark.plans import jobs
 from waymark.plans.jobs import snapshots_to_events
 from waymark.sources import records as rec
 from waymark.sources import registry
@@ -51,9 +52,15 @@ def _stamp(c: str = "publication_time"):
 # Sources
 
 
-@query(f"SELECT * FROM (VALUES {_FEEDS}) v(feed, record_element, id_element), (SELECT count(*) AS events FROM rec)")
+_MAPPED = "CASE event_type " + " ".join(f"WHEN '{t}' THEN '{f}'" for t, f in fx.TYPES.items()) + " END"
+
+
+@query(f"SELECT v.feed, record_element, id_element, count(*) AS events, count(DISTINCT user_id) AS sources FROM (VALUES {_FEEDS}) v(feed, record_element, id_element) JOIN events e ON {_MAPPED} = v.feed GROUP BY ALL", base=False)
 def s1_feed_registry(spark, sf):
-    return registry.feed_registry(spark).join(F.broadcast(fx.raw_records(spark, sf).agg(F.count("*").alias("events"))))
+    """The elements of each registered feed that the table has events of, with what it has."""
+    rows = fx.raw_records(spark, sf).withColumn("feed", fx.feed_of(F.col("feed")))
+    found = rows.groupBy("feed").agg(F.count("*").alias("events"), F.countDistinct("source_id").alias("sources"))
+    return registry.feed_registry(spark).join(found, "feed").select("feed", "record_element", "id_element", "events", "sources")
 
 
 def _read(spark, sf, layout):
@@ -188,6 +195,40 @@ def d6_extract_increment(spark, sf):
     return first.select(*_EV).unionByName(second.select(*_EV))
 
 
+_TYPE = "CASE feed " + " ".join(f"WHEN '{t}' THEN '{f}'" for t, f in fx.TYPES.items()) + " END"
+_RECORD = "CASE feed " + " ".join(
+    f"WHEN '{t}' THEN '<{r} id=\"' || source_id || '\"><v>' || xml || '</v></{r}>'" if r == i else f"WHEN '{t}' THEN '<{r}><{i} id=\"' || source_id || '\"/><v>' || xml || '</v></{r}>'"
+    for t, f in fx.TYPES.items() for r, i in [registry.FEEDS[f]]) + " END"
+#: Events of the job's feeds: of clicks every seventh day can't be read, and the day after it gives none.
+_JOB = """SELECT feed, source_id, snapshot_name, xml, t FROM (SELECT o.*, n.seq, lag(n.seq) OVER w AS ps, lag(xml) OVER w AS px FROM one o JOIN names n USING (feed, snapshot_name)
+  WHERE NOT (feed = 'click' AND day(o.t) % 7 = 0) WINDOW w AS (PARTITION BY o.feed, source_id ORDER BY n.seq)) x WHERE (ps IS NULL OR ps <> seq - 1 OR px <> xml) AND NOT (feed = 'click' AND day(t) % 7 = 1 AND seq > 1)"""
+
+
+def _extracted(spark, sf, runs: int, n: int) -> str:
+    landing, root = fx.feed_files(spark, sf), fx.scratch(spark)
+    for _ in range(runs):
+        for done in jobs.extract_next(spark, landing, root, n, compact_after=2):
+            if done.error:
+                raise done.error
+    return root
+
+
+@query(f"SELECT {_TYPE} AS feed, source_id, snapshot_name, {_RECORD} AS xml FROM ({_JOB})")
+def d6_extract_job(spark, sf):
+    """Three runs of the job, of fifteen snapshots for each feed; the second compacts and the last finds nothing new."""
+    return jobs.read_log(spark, _extracted(spark, sf, 3, 15)).select(*_EV)
+
+
+@query(f"""SELECT {_TYPE} AS feed, last_extracted, events, ids, rejected FROM
+  (SELECT feed, max(snapshot_name) FILTER (seq <= 20) AS last_extracted, count(*) FILTER (feed = 'click' AND day(t) % 7 = 0 AND seq <= 20) AS rejected FROM names GROUP BY feed)
+  JOIN (SELECT feed, count(*) AS events, count(DISTINCT source_id) AS ids FROM ({_JOB}) e JOIN (SELECT feed, snapshot_name, seq FROM names) USING (feed, snapshot_name) WHERE seq <= 20 GROUP BY feed) USING (feed)""")
+def d6_markers_and_ids(spark, sf):
+    """After two runs of ten snapshots: marker, events, known sources and rejected snapshots of each feed."""
+    root = _extracted(spark, sf, 2, 10)
+    per = lambda name: jobs.read_log(spark, root, name).groupBy("feed").agg(F.count("*").alias({"source_ids": "ids"}.get(name, name)))
+    return jobs.markers(spark, root).join(per("events"), "feed").join(per("source_ids"), "feed").join(per("rejected"), "feed", "left").withColumn("rejected", F.coalesce("rejected", F.lit(0).cast("bigint")))
+
+
 @query("SELECT feed, source_id, row_key, max(snapshot_name) AS snapshot_name FROM (SELECT feed, source_id, snapshot_name, row_key FROM ev WHERE day(t) <= 20 UNION ALL SELECT feed, source_id, snapshot_name || 'x', row_key FROM ev WHERE day(t) > 15) GROUP BY ALL")
 def d7_upsert_events(spark, sf):
     e = fx.events(spark, sf)
@@ -483,6 +524,37 @@ def w6_geo_index(spark, sf):
     return geo.geo_index(fx.site_documents(spark, sf)).select("feed", "doc_id", "lat", "lon", "geohash")
 
 
+_SPOTS = """p AS (SELECT c_custkey, c_custkey % 170 - 85 AS a, c_custkey % 350 - 175 AS b, 1 AS n FROM customer WHERE c_custkey % 3 = 0
+    UNION ALL SELECT c_custkey, c_custkey % 160 - 80, c_custkey % 340 - 170, c_custkey % 3 FROM customer WHERE c_custkey % 3 > 0),
+  q AS (SELECT 'D' || c_custkey AS doc_id, CAST(CAST(a AS VARCHAR) || '.5' AS DOUBLE) AS lat, CAST(CAST(b AS VARCHAR) || '.25' AS DOUBLE) AS lon, unnest(range(n)) AS copy FROM p)"""
+_PLACES = [("north", 84.0, 20.0), ("line", -10.0, 179.5), ("oslo", 59.91, 10.75)]
+_FAR = "2 * 6371008.8 * asin(least(sqrt(pow(sin(radians(lat - x.y) / 2), 2) + cos(radians(x.y)) * cos(radians(lat)) * pow(sin(radians(lon - x.x) / 2), 2)), 1.0))"
+
+
+@query(f"""WITH {_SPOTS} SELECT place, doc_id, CAST(round({_FAR}) AS BIGINT) AS metres FROM q, (VALUES {', '.join(map(str, _PLACES))}) x(place, y, x) WHERE {_FAR} <= 1500000""", base=False)
+def w6_search_radius(spark, sf):
+    """Points near one place after another: by the pole, over 180 degrees, and inland."""
+    points = geo.geo_index(fx.site_documents(spark, sf))
+    found = [geo.within_radius(points, lat, lon, 1.5e6).select(F.lit(name).alias("place"), "doc_id", F.round("distance").cast("bigint").alias("metres")) for name, lat, lon in _PLACES]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query(f"""WITH {_SPOTS} SELECT 'S' || s_suppkey AS place_id, doc_id, copy FROM q, (SELECT s_suppkey, (s_suppkey * 7) % 179 - 89 AS y, (s_suppkey * 13) % 359 - 179 AS x FROM supplier) x WHERE {_FAR} <= 300000""", base=False)
+def w6_near_places(spark, sf):
+    """Points near each of many places, by one join."""
+    points = geo.geo_index(fx.site_documents(spark, sf))
+    k = F.col("s_suppkey")
+    places = fx.table(spark, sf, "supplier").select(F.concat(F.lit("S"), k.cast("string")).alias("place_id"), ((k * 7) % 179 - 89).alias("lat"), ((k * 13) % 359 - 179).alias("lon"))
+    near = geo.near_places(points, places, 300e3)
+    copy = F.row_number().over(Window.partitionBy("place_id", "doc_id").orderBy("path")) - 1
+    return near.select("place_id", "doc_id", copy.cast("bigint").alias("copy"))
+
+
+@query(f"""WITH {_SPOTS} SELECT doc_id, lat, lon FROM q WHERE lat BETWEEN -30 AND 40 AND (lon >= 150 OR lon <= -160)""", base=False)
+def w6_search_box(spark, sf):
+    return geo.within_box(geo.geo_index(fx.site_documents(spark, sf)), -30, 150, 40, -160).select("doc_id", "lat", "lon")
+
+
 @query(_DOCS.replace("FROM ev", "FROM ev WHERE feed = 'view'"))
 def w7_index_documents(spark, sf):
     root = fx.scratch(spark)
@@ -505,6 +577,22 @@ def w8_create_index_table(spark, sf):
     return got.agg(F.lit("lat").alias("field"), F.avg("measurementSiteLocation.pointByCoordinates.pointCoordinates.lat").alias("mean"), F.count("*").alias("n")).select("field", "mean", "n")
 
 
+@query("""SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 1.0 * o_custkey WHEN o_orderkey % 3 = 1 THEN o_custkey + 0.5 END AS DOUBLE) AS number,
+  CASE o_orderkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN CAST(o_custkey AS VARCHAR) WHEN 2 THEN 'word' ELSE '{"a":1}' END AS mixed, CASE WHEN o_orderkey % 5 = 0 THEN o_custkey END AS rare, 1 AS version FROM orders""", base=False)
+def w8_typed_view(spark, sf):
+    """Documents whose fields differ in type from one to the next, through the recorded type of their feed."""
+    o, k, c = fx.table(spark, sf, "orders"), F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    number = F.when(k % 3 == 0, F.concat(F.lit('"number":'), c, F.lit(","))).when(k % 3 == 1, F.concat(F.lit('"number":'), c, F.lit(".5,"))).otherwise("")
+    mixed = F.when(k % 4 == 0, F.lit("true")).when(k % 4 == 1, c).when(k % 4 == 2, F.lit('"word"')).otherwise(F.lit('{"a":1}'))
+    rare = F.when(k % 5 == 0, F.concat(F.lit(',"deep":{"rare":'), c, F.lit("}"))).otherwise("")
+    docs = o.select(F.lit("gettraveltimedata").alias("feed"), k.cast("string").alias("doc_id"), F.concat(F.lit("{"), number, F.lit('"mixed":'), mixed, rare, F.lit("}")).alias("json"))
+    root = fx.scratch(spark)
+    for _ in range(2):  # the second time nothing is new
+        typed.record_types(spark, root, docs)
+    view = typed.typed_view(docs, "gettraveltimedata", typed.known_types(spark, root)["gettraveltimedata"])
+    return view.select(F.col("doc_id").cast("bigint").alias("o_orderkey"), "doc.number", "doc.mixed", F.col("doc.deep.rare").alias("rare"), F.lit(1).alias("version"))
+
+
 @query("SELECT CAST(row_number() OVER (ORDER BY row_key DESC) AS INTEGER) AS n, xml FROM ev WHERE feed = 'view' AND source_id = '7'")
 def w9_export_source(spark, sf):
     root = fx.scratch(spark)
@@ -548,6 +636,15 @@ def a4_day_volume(spark, sf):
     return profile.day_volume(fx.events(spark, sf), "2024-01-08")
 
 
+@query(f"""SELECT f.feed, count(e.source_id) AS sources, CAST(coalesce(sum(e.n), 0) AS BIGINT) AS events, CAST(coalesce(sum(e.n * e.f), 0) AS BIGINT) AS bytes, CAST(sum(e.n * e.f) // sum(e.n) // 1024 AS BIGINT) AS mean_kb
+  FROM (SELECT DISTINCT feed FROM rec) f LEFT JOIN ({_FIRST} WHERE day(t) = 8 AND feed <> 'click' GROUP BY feed, source_id) e USING (feed) GROUP BY f.feed""")
+def a4_quiet_feeds(spark, sf):
+    """A feed without events on the day has a row of zeros."""
+    raw = fx.raw_records(spark, sf)
+    events = fx.events(spark, sf).filter("feed <> 'click' or event_date <> date'2024-01-08'")
+    return profile.day_volume(events, "2024-01-08", raw.select("feed"))
+
+
 @query("SELECT source_id, count(*) AS events, count(DISTINCT feed) AS feeds FROM ev GROUP BY source_id")
 def a5_group_sources(spark, sf):
     return profile.group_sources(fx.events(spark, sf))
@@ -642,3 +739,25 @@ def t5_stream_documents(spark, sf):
     events.write.parquet(root)
     feeds.stream_documents(spark.readStream.schema(events.schema).parquet(root), out, f"{out}-log").awaitTermination()
     return feeds.read_documents(spark, out).select("feed", "doc_id", "json")
+
+
+_SECOND = "TIMESTAMP '2015-01-01 00:00:00' + to_seconds(o_custkey * 1000)"
+
+
+@query(f"""SELECT 'C' || o_custkey || '_' || strftime({_SECOND}, '%Y-%m-%dT%H:%M:%S') AS doc_id, max(o_orderkey % 1000000) AS version, count(*) AS versions FROM orders GROUP BY o_custkey""", base=False)
+def t5_late_versions(spark, sf):
+    """Versions of one second come in three batches, newest first; the store is compacted in between, and a batch comes twice."""
+    root, o = fx.scratch(spark), fx.table(spark, sf, "orders")
+    k, c = F.col("o_orderkey") % 1000000, F.col("o_custkey")
+    time = F.timestamp_micros((F.lit(1420070400) + c * 1000) * 1000000 + k)
+    # The newest version of each document is in the first batch.
+    newest = F.max(k).over(Window.partitionBy("o_custkey")) == k
+    part = F.when(newest, 0).otherwise(1 + F.col("o_orderkey") % 2)
+    xml = F.concat(F.lit("<r><version>"), k.cast("string"), F.lit("</version></r>"))
+    events = o.select(F.lit("getmeasuredweatherdata").alias("feed"), F.concat(F.lit("C"), c.cast("string")).alias("source_id"), time.alias("publication_time"), keys.row_key(time).alias("row_key"), xml.alias("xml"), part.alias("part"))
+    run = feeds.index_batch(root, "orders", compact_after=2)
+    for number in (0, 1, 1, 2):
+        run(events.filter(F.col("part") == number).drop("part"), number)
+    sizes = o.groupBy(F.concat(F.lit("C"), c.cast("string")).alias("source_id")).agg(F.count("*").alias("versions"))
+    docs = feeds.read_documents(spark, root).select("doc_id", "source_id", F.get_json_object("json", "$.version").cast("bigint").alias("version"))
+    return docs.join(sizes, "source_id").select("doc_id", "version", "versions")

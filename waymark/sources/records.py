@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 from xml.parsers import expat
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import parquet
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from waymark.sources import files
 
 SCHEMA = "feed string, snapshot_name string, ordinal int, source_id string, xml string, published string, error string"
 _BATCH = 8 << 20  # bytes of snapshots whose records go on together
@@ -125,6 +132,49 @@ def explode_records(snapshots: DataFrame, match_local: bool = False, first_only:
     return rows.select("feed", "snapshot_name", time.alias("publication_time"), "ordinal", "source_id", "xml", F.when(bad, "bad publication time").otherwise(F.col("error")).alias("error"))
 
 
+_PLACE = ["_file", "_row"]
+
+
+def located(records: DataFrame, folder: str) -> DataFrame:
+    """Records written to a folder and read back without xml, but with content_hash, length and where each one lies.
+
+    What is shuffled from here on is as wide for long records as for short ones; ``fetched`` gets the xml of those that stay.
+    """
+    schema = records.schema
+    records.withColumns({"content_hash": F.unhex(F.sha2("xml", 256)), "length": F.octet_length("xml").cast("bigint")}).write.mode("overwrite").parquet(folder)
+    narrow = [f for f in schema.fieldNames() if f != "xml"]
+    rows = records.sparkSession.read.parquet(folder)
+    return rows.select(*narrow, "content_hash", "length", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def fetched(rows: DataFrame) -> DataFrame:
+    """rows of ``located`` records with their xml in place of content_hash and place.
+
+    They are dealt by file, in order of place, and each task reads only the row groups that hold its rows, one at a time.
+    """
+    columns = [c for c in rows.columns if c not in (*_PLACE, "content_hash")]
+    order = [*columns, *_PLACE]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path = source = group = texts = None
+        ends: list[int] = []
+        for b in batches:
+            found: list[str | None] = []
+            for at, row in zip(b.column("_file").to_pylist(), b.column("_row").to_pylist(), strict=True):
+                if at != path:
+                    fs, name = files.place(at.replace("s3a://", "s3://", 1))
+                    path, source, group = at, parquet.ParquetFile(name, filesystem=fs), None
+                    ends = list(itertools.accumulate(source.metadata.row_group(k).num_rows for k in range(source.num_row_groups)))
+                now = bisect.bisect_right(ends, row)
+                if now != group:
+                    group, texts = now, source.read_row_group(now, columns=["xml"]).column("xml")
+                found.append(texts[row - (ends[now] - len(texts))].as_py())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(found, pa.string())], names=[*columns, "xml"])
+
+    schema = StructType([*(rows.schema[c] for c in columns), StructField("xml", StringType())])
+    return rows.select(*order).repartition("_file").sortWithinPartitions(*_PLACE).mapInArrow(run, schema)
+
+
 def dedupe_records(records: DataFrame) -> DataFrame:
     """The first record of each id in a snapshot."""
     w = Window.partitionBy("feed", "snapshot_name", "source_id").orderBy("ordinal")

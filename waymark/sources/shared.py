@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint folder, or in a local one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="waymark-")
+    """A new folder in the shared checkpoint folder; a local one where none is set and all tasks run on this machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="waymark-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.keys import snapshot_path
+from waymark.sources import files
 from waymark.sources.registry import known_feed
 
-#: Before this name nothing is extracted.
-FLOOR = "2014/12/01/000000"
+#: Up to these names, by layout, nothing is extracted.
+FLOORS = {"blob": "2014/12/01/000000", "file": "20141201-000000"}
 _PATHS = {"blob": r"/([^/]+)/(\d{4}/\d{2}/\d{2}/\d{6})$", "file": r"/([^/]+)/(\d{8}-\d{6})\.xml$"}
 _TIMES = {"blob": "yyyy/MM/dd/HHmmss", "file": "yyyyMMdd-HHmmss"}
 
@@ -29,9 +33,13 @@ def read_snapshots(spark: SparkSession, root: str, layout: str = "blob") -> Data
     return shape(files.load(root), layout)
 
 
-def pending_snapshots(snapshots: DataFrame, markers: DataFrame, max_per_feed: int = 10, floor: str = FLOOR) -> DataFrame:
-    """The next snapshots of each feed, strictly after its marker (feed, last_extracted), in order of name."""
-    after = F.coalesce("last_extracted", F.lit(floor))
+def pending_snapshots(snapshots: DataFrame, markers: DataFrame, max_per_feed: int = 10, floor: str | None = None) -> DataFrame:
+    """The next snapshots of each feed, strictly after its marker (feed, last_extracted), in order of name.
+
+    A feed without a marker starts after the floor, by default that of the layout each name is in.
+    """
+    own = F.when(F.col("snapshot_name").contains("/"), FLOORS["blob"]).otherwise(FLOORS["file"])
+    after = F.coalesce("last_extracted", F.lit(floor) if floor else own)
     rows = snapshots.join(markers.select("feed", "last_extracted"), "feed", "left").filter(F.col("snapshot_name") > after)
     # Names alone are ranked; a payload goes through no window.
     names = rows.select("feed", "snapshot_name").distinct()
@@ -40,6 +48,42 @@ def pending_snapshots(snapshots: DataFrame, markers: DataFrame, max_per_feed: in
     return snapshots.join(chosen, ["feed", "snapshot_name"], "left_semi")
 
 
+def next_names(landing: str, feed: str, after: str | None, n: int, layout: str = "blob") -> list[tuple[str, str]]:
+    """(name, path) of the first n snapshots of a feed strictly after a name, or after the floor, in order of name.
+
+    Of the blob layout only the folders of days from that name on are listed, up to the one that has the n-th.
+    """
+    after = after or FLOORS[layout]
+    known = known_feed(feed)
+    found: list[tuple[str, str]] = []
+    for folder in (f"{landing.rstrip('/')}/{d}" for d in files.names(landing) if d.lower() == known):
+        own: list[tuple[str, str]] = []
+        if layout == "file":
+            own = [(x[:-4], f"{folder}/{x}") for x in files.names(folder) if re.fullmatch(r"\d{8}-\d{6}\.xml", x) and x[:-4] > after]
+        else:
+            for day in _days(folder, after):
+                own += [(f"{day}/{x}", f"{folder}/{day}/{x}") for x in files.names(f"{folder}/{day}") if re.fullmatch(r"\d{6}", x) and f"{day}/{x}" > after]
+                if len(own) >= n:
+                    break
+        found += own
+    return sorted(found)[:n]
+
+
+def _days(folder: str, after: str) -> Iterator[str]:
+    """yyyy/MM/dd of the folders of days that can hold names after one, in order."""
+    level = lambda at, width: [x for x in files.names(f"{folder}/{at}") if re.fullmatch(r"\d{%d}" % width, x)]
+    for y in level("", 4):
+        if y >= after[:4]:
+            for m in level(y, 2):
+                if f"{y}/{m}" >= after[:7]:
+                    yield from (f"{y}/{m}/{d}" for d in level(f"{y}/{m}", 2) if f"{y}/{m}/{d}" >= after[:10])
+
+
+def read_chosen(spark: SparkSession, paths: list[str], layout: str = "blob") -> DataFrame:
+    """``read_snapshots`` of these files alone."""
+    return shape(spark.read.format("binaryFile").load(paths), layout)
+
+
 def land_snapshots(existing: DataFrame, incoming: DataFrame, markers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(new snapshots, new markers). The first payload of a feed and second wins, in the batch and against existing ones.
 
