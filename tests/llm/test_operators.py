@@ -235,12 +235,12 @@ def test_pipeline_stages_take_odd_rows(spark):
 
     rows = [(1, "a b c " * 60, 5, "r"), (2, "A b c " * 60, 5, "r"), (None, None, None, None), (None, "", None, None), (3, "x " + "a long passage that repeats " * 9, 1, "q"), (4, "y " + "a long passage that repeats " * 9 + "z", 1, "q")]
     df = spark.createDataFrame(rows, "doc_id long, text string, row_number int, kept_text string")
-    left = {"toxicity": 6, "exact_dedup": 4, "jaccard_join": 4, "suffix_dedup": 6}
+    left = {"toxicity": 6, "exact_dedup": 4, "jaccard_join": 5, "suffix_dedup": 6}
     for name, stage in cp.STAGES:
         got = stage(spark, df, DATA)
         if name in left:
-            # the two long passages differ by less than the threshold allows, so that one of them goes with near copies
-            assert got.columns == df.columns and (got.count() == left[name] or name == "jaccard_join"), name
+            # the two long passages have 5 shingles of 8 in common, too few for near copies
+            assert got.columns == df.columns and got.count() == left[name], name
         assert stage(spark, df.filter("false"), DATA).isEmpty(), name
 
 
@@ -465,3 +465,27 @@ def test_media_rows_name_their_images(odd):
             f.seek(r.offset)
             image = f.read(r.length)
         assert hashlib.sha256(image).hexdigest() == r.digest == r.media_sha256 and media.png_header(image)[:2] == (r.width, r.height)
+
+
+def test_words_that_polynomials_confuse_are_told_apart(spark):
+    """A Thue-Morse word and its complement have equal polynomials modulo 2**64 whatever the base."""
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    fill = [f"w{k}" for k in range(4)]
+    rows = [(1, word), (2, other), (3, " ".join([*fill, word, *fill, other])), (4, word.upper())]
+    got = jaccard_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("row").collect()
+    assert [(r.doc_id, r.n_shingles, r.component_id) for r in got] == brute_groups(rows) == [(1, 1, 1), (2, 1, 2), (3, 6, 3), (4, 1, 1)]
+
+
+def test_features_of_very_long_words():
+    from waymark.llm import prints
+
+    long_word = b"Ab" * prints.PART
+    seen = {}
+    for k, body_ in enumerate((long_word, long_word.lower(), long_word + b" toxic", b"x" + long_word, b"toxic")):
+        seen[k] = {int(f) for _, found in toxicity.Features()([body_]) for f in found}
+    assert len(seen[0]) == 4 and seen[0] == seen[1] and seen[2] == seen[0] | seen[4] and not seen[3] & seen[0]
+    short = {int(f) for _, found in toxicity.Features()([b"ababababab"]) for f in found}
+    assert len(short & seen[0]) == 3  # their openings are the same

@@ -9,6 +9,7 @@ import numpy as np
 import xxhash
 
 PART = 1 << 18  # bytes hashed at a time
+SHORT = 64  # bytes of a word up to which its hash is a polynomial
 _WHITE = b" \t\n\x0b\x0c\r"
 
 
@@ -40,7 +41,11 @@ class Fingerprints:
 
 
 class WordHashes:
-    """64-bit hashes of the words of texts, a buffer of texts at a time; A-Z hash like a-z. Nothing is kept between buffers."""
+    """64-bit hashes of the words of texts, a buffer of texts at a time; A-Z hash like a-z. Nothing is kept between buffers.
+
+    Words of up to 64 bytes hash by polynomials, all of a buffer at once. Polynomials modulo 2**64 have pairs of words, of
+    some hundred bytes and more, that are equal under every base, so longer words, which are rare, have xxh3 each.
+    """
 
     def __init__(self, white: bytes = _WHITE):
         self.prints = Fingerprints(2 * PART + 2)
@@ -56,8 +61,8 @@ class WordHashes:
             if len(held[0]) > PART:  # one word has a hash of its own kind
                 found = [np.array([xxhash.xxh3_64_intdigest(held[0].lower())], "u8")]
             else:
-                sums, start, end, text = self.spots(held)
-                found = np.split(self.prints.of(sums, start, end), np.searchsorted(text, np.arange(1, len(held))))
+                data, sums, start, end, text = self.spots(held)
+                found = np.split(self.words(data, sums, start, end), np.searchsorted(text, np.arange(1, len(held))))
             for k, h in zip(index, found, strict=True):
                 if k != now:
                     yield np.concatenate(parts)
@@ -66,6 +71,12 @@ class WordHashes:
         if parts:
             yield np.concatenate(parts)
 
+    def words(self, data: np.ndarray, sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        out = self.prints.of(sums, start, end)
+        for k in np.flatnonzero(end - start > SHORT):
+            out[k] = xxhash.xxh3_64_intdigest(data[start[k] : end[k]].tobytes().lower())
+        return out
+
     def groups(self, bodies: Iterable[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
         """(number of its text, piece) of all texts, by buffers. Longer texts are cut where a word ends; a longer word comes alone."""
         index: list[int] = []
@@ -93,10 +104,10 @@ class WordHashes:
             at = end + 1
 
     def spots(self, held: list[bytes]) -> tuple[np.ndarray, ...]:
-        """(prefix sums, first and last byte, place in held) of the words of some texts."""
+        """(bytes, prefix sums, first and last byte, place in held) of the words of some texts."""
         data = np.frombuffer(b" ".join([b"", *held, b""]), "u1")
         word = ~self.white[data]
         edge = np.flatnonzero(word[1:] != word[:-1]) + 1
         start, end = edge[::2], edge[1::2]
         ends = np.cumsum(np.fromiter(map(len, held), "i8", len(held)) + 1)
-        return self.prints.sums(data), start, end, np.searchsorted(ends, start, side="left")
+        return data, self.prints.sums(data), start, end, np.searchsorted(ends, start, side="left")

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,18 +41,24 @@ class Features:
         self.hashes = WordHashes(_NO_WORD)
 
     def __call__(self, bodies: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(number of the text, feature), a buffer of texts at a time; a word beyond the buffer counts as none."""
+        """(number of the text, feature), a buffer of texts at a time; a word beyond the buffer, which comes alone, is hashed whole."""
         for index, held in self.hashes.groups(bodies):
             if len(held[0]) > PART:
+                word = held[0].lower()
+                yield np.array(index * 4), np.array([xxhash.xxh3_64_intdigest(word) ^ 1, *(self._opening(word[:n]) for n in _OPENINGS)], "u8")
                 continue
-            sums, start, end, text = self.hashes.spots(held)
-            found, whose = [self.hashes.prints.of(sums, start, end) ^ np.uint64(1)], [text]
+            data, sums, start, end, text = self.hashes.spots(held)
+            found, whose = [self.hashes.words(data, sums, start, end) ^ np.uint64(1)], [text]
             for n in _OPENINGS:
                 long = end - start >= n
                 found.append(self.hashes.prints.of(sums, start[long], start[long] + n))
                 whose.append(text[long])
             yield np.array(index)[np.concatenate(whose)], np.concatenate(found)
 
+    def _opening(self, start: bytes) -> int:
+        sums = self.hashes.prints.sums(np.frombuffer(start, "u1"))
+        return int(self.hashes.prints.of(sums, np.array([0]), np.array([len(start)]))[0])
+
 
 class Matcher:
     """Of the features of texts those in a sorted array."""
