@@ -290,3 +290,55 @@ def test_upsert_creates_its_store(spark, tmp_path):
     for rows, expect in (([("f", "a", "s", day, "2", "old"), ("f", "a", "s", day, "1", "new")], [("a", "new")]), ([("f", "b", "s", day, "1", "b")], [("a", "new"), ("b", "b")])):
         sinks.upsert_into(spark, root, str(tmp_path / "stage"), spark.createDataFrame(rows, schema))
         assert sorted((r.doc_id, r.json) for r in sinks.get_documents(spark, root, "F").collect()) == expect
+
+
+# Repair
+
+HISTORY = {
+    "2015/02/01/000000": snapshot("2015-02-01T00:00:00Z", [("a", 1), ("b", 1), ("c", 1)]),
+    "2015/02/01/000500": snapshot("2015-02-01T00:05:00Z", [("a", 2), ("b", 1)]),
+    "2015/02/01/001000": "<m><broken",
+    "2015/02/01/001500": snapshot("2015-02-01T00:15:00Z", [("a", 2), ("b", 2), ("c", 1)]),
+    "2015/02/01/002000": snapshot("2015-02-01T00:15:00Z", [("a", 3), ("b", 2), ("d", 1)]),
+    "2015/02/02/000000": snapshot("2015-02-02T00:00:00Z", [("a", 3), ("b", 3)]),
+    "2015/02/02/000500": snapshot("2015-02-02T00:05:00Z", [("a", 3), ("b", 2), ("c", 1)]),
+}
+
+
+def repaired(spark, tmp_path, first, mended=()):
+    """A log of some snapshots, after the others landed and it was repaired; and what one run over all of them gives."""
+    from waymark.plans import repair
+
+    landing, root = tmp_path / "in", str(tmp_path / "log")
+    for name, text in first.items():
+        land(landing, WEATHER, name, text)
+    while jobs.extract_feed(spark, str(landing), root, WEATHER, 20).snapshots:
+        pass
+    for name, text in HISTORY.items():
+        land(landing, WEATHER, name, text)
+    done = repair.repair_feed(spark, str(landing), root, WEATHER, mended=mended)
+    expected, bad = whole(spark, landing)
+    assert log(spark, root) == expected
+    assert len(log(spark, root, "rejected")) == bad
+    assert {i for _, i in log(spark, root, "source_ids")} >= {e[0] for e in expected}
+    assert repair.repair_feed(spark, str(landing), root, WEATHER) == repair.Repaired(0, 0, 0)
+    # The next snapshot is held against what the repair carried over.
+    land(landing, WEATHER, "2015/02/03/000000", snapshot("2015-02-03T00:00:00Z", [("a", 3), ("b", 9), ("c", 1)]))
+    jobs.extract_feed(spark, str(landing), root, WEATHER)
+    assert log(spark, root) == whole(spark, landing)[0]
+    return done
+
+
+@pytest.mark.parametrize("late", [0, 3, 5])
+def test_a_late_snapshot_is_worked_in(spark, tmp_path, late):
+    name = list(HISTORY)[late]
+    done = repaired(spark, tmp_path, {n: t for n, t in HISTORY.items() if n != name})
+    assert done.snapshots == 1
+
+
+def test_several_late_and_mended_snapshots(spark, tmp_path):
+    names = list(HISTORY)
+    first = {n: t for n, t in HISTORY.items() if n not in (names[1], names[2], names[4])}
+    first[names[3]], first[names[6]] = "<m><was broken", snapshot("2015-02-02T00:05:00Z", [("a", 0)])
+    done = repaired(spark, tmp_path, first, (names[3], names[6]))
+    assert done.snapshots == 5 and done.added and done.withdrawn

@@ -57,9 +57,9 @@ def landed(spark: SparkSession, sf_dir: str, layout: str) -> str:
     return land(snapshots(spark, sf_dir).select("feed", "snapshot_name", "content"), layout)
 
 
-def land(snaps: DataFrame, layout: str) -> str:
+def land(snaps: DataFrame, layout: str, root: str | None = None) -> str:
     """Snapshots (feed, snapshot_name, content) as files of a landing folder, with a marker file beside them."""
-    root = scratch(snaps.sparkSession)
+    root = root or scratch(snaps.sparkSession)
     plain = root.removeprefix("file://").removeprefix("file:")
 
     def write(frames):
@@ -82,13 +82,16 @@ def feed_of(event_type):
     return F.element_at(F.create_map(*[F.lit(x) for pair in TYPES.items() for x in pair]), event_type)
 
 
-def feed_files(spark: SparkSession, sf_dir: str, layout: str = "blob") -> str:
-    """A landing folder of five feeds, each in its own elements; of the feed of clicks every seventh day is cut short."""
-    r = raw_records(spark, sf_dir).withColumn("feed", feed_of(F.col("feed")))
+def feed_files(spark: SparkSession, sf_dir: str, days: str = "true", root: str | None = None, layout: str = "blob") -> str:
+    """A landing folder of five feeds, each in its own elements; of the feed of clicks every seventh day is cut short.
+
+    days chooses some, by a condition on publication_time; root is a folder that has others already.
+    """
+    r = raw_records(spark, sf_dir).filter(days).withColumn("feed", feed_of(F.col("feed")))
     body = r.withColumn("xml", feed_record()).groupBy("feed", "snapshot_name", "publication_time").agg(F.concat_ws("", F.sort_array(F.collect_list(F.struct("ordinal", F.col("xml").alias("x")))).getField("x")).alias("body"))
     whole = F.concat(F.lit("<m><publicationTime>"), F.date_format("publication_time", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("</publicationTime>"), "body", F.lit("</m>"))
     broken = (F.col("feed") == TYPES["click"]) & (F.dayofmonth("publication_time") % 7 == 0)
-    return land(body.select("feed", "snapshot_name", F.when(broken, F.concat(whole, F.lit("<"))).otherwise(whole).cast("binary").alias("content")), layout)
+    return land(body.select("feed", "snapshot_name", F.when(broken, F.concat(whole, F.lit("<"))).otherwise(whole).cast("binary").alias("content")), layout, root)
 
 
 def feed_record():

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waymark.operators import changes, convert, sinks
 from waymark.operators.store import Keyed, Store
@@ -16,13 +17,16 @@ from waymark.sources.shared import scratch
 from waymark.sources.snapshots import next_names, read_chosen, read_snapshots
 
 _CARRY = "feed string, snapshot_name string, source_id string, content_hash binary, broken boolean"
-#: Tables of a feed's change log. An event's day is that of its row key.
+#: Tables of a feed's change log. An event's day is that of its row key; of one key the row of the latest commit counts, which
+#: is that of the latest snapshot, or a repair's. Withdrawn events, and errors that are null since a snapshot was mended, don't.
 TABLES = {
-    "events": Keyed("feed string, source_id string, snapshot_name string, publication_time timestamp, ordinal int, xml string, row_key string, event_date date, length bigint", ("feed", "source_id", "row_key"), ("snapshot_name desc",), "event_date"),
+    "events": Keyed("feed string, source_id string, snapshot_name string, publication_time timestamp, ordinal int, xml string, row_key string, event_date date, length bigint, withdrawn boolean", ("feed", "source_id", "row_key"), (), "event_date"),
     "source_ids": Keyed("feed string, source_id string", ("feed", "source_id")),
+    "snapshots": Keyed("feed string, snapshot_name string, publication_time timestamp", ("feed", "snapshot_name")),
     "rejected": Keyed("feed string, snapshot_name string, error string", ("feed", "snapshot_name")),
     "carry": Keyed(_CARRY, ("feed", "snapshot_name", "source_id")),
 }
+_LIVE = {"events": "not withdrawn", "rejected": "error is not null"}
 
 
 def snapshots_to_events(snapshots: DataFrame, on_bad_predecessor: str = "skip", method: str = "window") -> tuple[DataFrame, DataFrame]:
@@ -69,7 +73,8 @@ def extract_feed(spark: SparkSession, landing: str, root: str, feed: str, n: int
 
     The snapshot before the first of them was carried over by the last run. A snapshot that can't be read is noted and
     passed, as is the pair after it. Where a run stops before its commit the marker stays, and the next run does the same
-    work; after it, nothing is done twice. Of one source and time the event of the later snapshot stays.
+    work; after it, nothing is done twice. Of one source and time the event of the later snapshot stays. Snapshots that land
+    behind the marker are left to ``repair.repair_feed``.
     """
     store = feed_store(spark, root, feed)
     change = store.change()
@@ -81,11 +86,12 @@ def extract_feed(spark: SparkSession, landing: str, root: str, feed: str, n: int
     names = spark.createDataFrame([(known_feed(feed), name) for name, _ in chosen], "feed string, snapshot_name string")
     events, carry, _ = changes.extract_increment(good, store.read("carry", state=change.state), names, bad)
     events = change.stored(fetched(changes.upsert_events(changes.as_events(events))))
-    change.append("events", events)
+    change.append("events", events.withColumn("withdrawn", F.lit(False)))
     change.append("source_ids", changes.source_ids(events))
+    change.append("snapshots", taken(names, good))
     change.append("rejected", bad)
     change.replace("carry", carry)
-    for table in ("events", "source_ids", "rejected"):
+    for table in ("events", "source_ids", "snapshots", "rejected"):
         if len(change.state["tables"].get(table, {"deltas": []})["deltas"]) >= compact_after:
             change.compact(table)
     change.values["last_extracted"] = chosen[-1][0]
@@ -94,6 +100,12 @@ def extract_feed(spark: SparkSession, landing: str, root: str, feed: str, n: int
     return Extracted(known_feed(feed), len(chosen), chosen[-1][0])
 
 
+def taken(names: DataFrame, good: DataFrame) -> DataFrame:
+    """feed, snapshot_name and publication_time of snapshots; null of those that are empty or can't be read."""
+    times = good.groupBy("feed", "snapshot_name").agg(F.min("publication_time").alias("publication_time"))
+    return names.join(times, ["feed", "snapshot_name"], "left")
+
+
 def extract_next(spark: SparkSession, landing: str, root: str, n: int = 10, feeds: tuple[str, ...] = DEFAULT_FEEDS, layout: str = "blob", compact_after: int = 20) -> list[Extracted]:
     """One run of the incremental extract job: ``extract_feed`` of all feeds, side by side. One that fails leaves the others alone."""
 
@@ -121,7 +133,7 @@ def read_log(spark: SparkSession, root: str, table: str = "events", feeds: tuple
     rows = logs[0]
     for more in logs[1:]:
         rows = rows.unionByName(more)
-    return rows
+    return rows.filter(_LIVE.get(table, "true")).drop("withdrawn")
 
 
 def markers(spark: SparkSession, root: str, feeds: tuple[str, ...] = DEFAULT_FEEDS) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from waymark.functions import keys, values
 from waymark.operators import changes, convert, geo, profile, select, sinks, typed
 from waymark.plans import fixtures as fx
-from waymark.plans import jobs
+from waymark.plans import jobs, repair
 from waymark.plans.jobs import snapshots_to_events
 from waymark.sources import records as rec
 from waymark.sources import registry
@@ -229,6 +229,17 @@ def d6_markers_and_ids(spark, sf):
     return jobs.markers(spark, root).join(per("events"), "feed").join(per("source_ids"), "feed").join(per("rejected"), "feed", "left").withColumn("rejected", F.coalesce("rejected", F.lit(0).cast("bigint")))
 
 
+@query(f"SELECT {_TYPE} AS feed, source_id, snapshot_name, {_RECORD} AS xml FROM ({_JOB})")
+def d5_repair_late_snapshots(spark, sf):
+    """The job on a landing folder without every fifth day; then these land, and each feed's log is repaired."""
+    landing, root = fx.feed_files(spark, sf, "day(publication_time) % 5 <> 0 or day(publication_time) = 30"), fx.scratch(spark)
+    jobs.extract_next(spark, landing, root, 100)
+    fx.feed_files(spark, sf, "day(publication_time) % 5 = 0", landing)
+    for feed in registry.DEFAULT_FEEDS:
+        repair.repair_feed(spark, landing, root, feed)
+    return jobs.read_log(spark, root).select(*_EV)
+
+
 @query("SELECT feed, source_id, row_key, max(snapshot_name) AS snapshot_name FROM (SELECT feed, source_id, snapshot_name, row_key FROM ev WHERE day(t) <= 20 UNION ALL SELECT feed, source_id, snapshot_name || 'x', row_key FROM ev WHERE day(t) > 15) GROUP BY ALL")
 def d7_upsert_events(spark, sf):
     e = fx.events(spark, sf)
