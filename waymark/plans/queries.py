@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from waymark.functions import keys, values
-from waymark.operators import changes, convert, geo, profile, select, sinks, typed
+from waymark.operators import changes, convert, geo, layout, profile, select, sinks, typed
 from waymark.plans import fixtures as fx
 from waymark.plans import jobs, repair
 from waymark.plans.jobs import snapshots_to_events
@@ -486,6 +486,27 @@ def w1_write_events(spark, sf):
     return spark.read.parquet(root).select("feed", "source_id", "row_key", F.col("event_date").cast("string").alias("event_date"))
 
 
+@query(f"SELECT feed, source_id, snapshot_name, row_key FROM ev WHERE feed = 'view' AND CAST(source_id AS INTEGER) % 97 = 3 AND {_RANGE}")
+def w1_scan_by_source(spark, sf):
+    """Some sources of a feed in a range of days, from a store by source that was written and then compacted with later events."""
+    e = fx.events(spark, sf).withColumn("feed", fx.feed_of(F.col("feed")))
+    early = F.dayofmonth("publication_time") <= 8
+    store = layout.write_by_source(e.filter(early), layout.fresh_name(), fx.scratch(spark), 16)
+    store = layout.compact_by_source(store, e.filter(~early), layout.fresh_name(), fx.scratch(spark), 16)
+    ids = changes.source_ids(e).filter("cast(source_id as int) % 97 = 3")
+    found = layout.scan_by_source(store, ids, fx.TYPES["view"], "2024-01-05", "2024-01-09")
+    return found.select(F.lit("view").alias("feed"), "source_id", "snapshot_name", "row_key")
+
+
+@query("SELECT e.feed, e.source_id, e.row_key, n.first FROM ev e JOIN (SELECT feed, source_id, min(snapshot_name) AS first FROM ev GROUP BY ALL) n USING (feed, source_id)")
+def w1_join_by_source(spark, sf):
+    """Each event with its source's first snapshot: two stores by source, joined without a shuffle."""
+    e = fx.events(spark, sf)
+    first = e.groupBy("feed", "source_id").agg(F.min("snapshot_name").alias("first"))
+    a, b = (layout.write_by_source(df, layout.fresh_name(), fx.scratch(spark), 16) for df in (e, first))
+    return layout.join_by_source(a, b).select("feed", "source_id", "row_key", "first")
+
+
 @query(_DOCS)
 def w2_write_documents(spark, sf):
     root = fx.scratch(spark)
