@@ -158,9 +158,11 @@ def test_feeds_fail_alone_and_restart_at_the_floor(spark, landing, tmp_path):
     assert again.snapshots == 2 and jobs.read_log(spark, root, feeds=("getsituation",)).count() == 2
 
 
-def test_history_build(spark, landing, tmp_path):
+@pytest.mark.parametrize("whole_bytes", [1 << 26, 3000])
+def test_history_build(spark, landing, tmp_path, whole_bytes):
+    """Once with files read whole, and once with most of them cut into ranges."""
     root = tmp_path / "history"
-    jobs.build_history(spark, str(landing), str(root))
+    jobs.build_history(spark, str(landing), str(root), whole=whole_bytes)
     events, bad = whole(spark, landing)
     read = lambda name: spark.read.parquet(f"{root}/{name}")
     assert sorted(tuple(map(str, r)) for r in read("events").select("source_id", "snapshot_name", "row_key", "xml").collect()) == events

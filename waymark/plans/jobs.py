@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from waymark.operators import changes, convert, sinks
 from waymark.operators.store import Keyed, Store
-from waymark.sources.records import explode_records, fetched, located, split_valid
+from waymark.sources.ranges import RANGE, explode_ranges
+from waymark.sources.records import dedupe_records, explode_records, fetched, located, split_valid
 from waymark.sources.registry import DEFAULT_FEEDS, known_feed, with_elements
 from waymark.sources.shared import scratch
-from waymark.sources.snapshots import next_names, read_chosen, read_snapshots
+from waymark.sources.snapshots import list_snapshots, next_names, read_chosen, read_snapshots
 
 _CARRY = "feed string, snapshot_name string, source_id string, content_hash binary, broken boolean"
 #: Tables of a feed's change log. An event's day is that of its row key; of one key the row of the latest commit counts, which
@@ -34,14 +35,30 @@ def snapshots_to_events(snapshots: DataFrame, on_bad_predecessor: str = "skip",
 
     Each snapshot is parsed once. Change detection moves hashes and places; the xml of changed records alone is read again.
     """
-    good, bad = split_valid(located(explode_records(snapshots, first_only=True), scratch(snapshots.sparkSession)))
+    return records_to_events(explode_records(snapshots, first_only=True), snapshots, on_bad_predecessor, method)
+
+
+def records_to_events(records: DataFrame, snapshots: DataFrame, on_bad_predecessor: str = "skip", method: str = "window") -> tuple[DataFrame, DataFrame]:
+    """The same of records, and rejects, of snapshots that are listed."""
+    good, bad = split_valid(located(records, scratch(records.sparkSession)))
     found = changes.change_events(good, snapshots, bad, on_bad_predecessor, method)
     return fetched(changes.upsert_events(changes.as_events(found))), bad
 
 
-def build_history(spark: SparkSession, landing: str, root: str, layout: str = "blob", tz: str = "UTC") -> None:
+def landed_records(spark: SparkSession, landing: str, layout: str = "blob", whole: int = RANGE) -> tuple[DataFrame, DataFrame]:
+    """(first records of each id, listed snapshots) of known feeds. Files of more bytes than whole are cut into ranges."""
+    listed = with_elements(list_snapshots(spark, landing, layout)).filter("record_element is not null")
+    small = with_elements(read_snapshots(spark, landing, layout).filter(F.col("length") <= whole)).filter("record_element is not null")
+    found = explode_records(small, first_only=True)
+    large = listed.filter(F.col("length") > whole)
+    if not large.isEmpty():
+        found = found.unionByName(dedupe_records(explode_ranges(large, range_bytes=whole)))
+    return found, listed
+
+
+def build_history(spark: SparkSession, landing: str, root: str, layout: str = "blob", tz: str = "UTC", whole: int = RANGE) -> None:
     """Landing folder to stores of events, documents, geometries and source ids."""
-    events, bad = snapshots_to_events(with_elements(read_snapshots(spark, landing, layout)).filter("record_element is not null"))
+    events, bad = records_to_events(*landed_records(spark, landing, layout, whole))
     sinks.write_events(events, f"{root}/events", "overwrite")
     bad.write.mode("overwrite").parquet(f"{root}/rejected")
     stored = spark.read.parquet(f"{root}/events")

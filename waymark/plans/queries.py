@@ -12,8 +12,8 @@ from waymark.operators import changes, convert, geo, layout, profile, select, si
 from waymark.plans import fixtures as fx
 from waymark.plans import jobs, repair
 from waymark.plans.jobs import snapshots_to_events
+from waymark.sources import ranges, registry
 from waymark.sources import records as rec
-from waymark.sources import registry
 from waymark.sources import snapshots as snap
 from waymark.streaming import feeds
 
@@ -101,6 +101,13 @@ def s6_explode_records(spark, sf):
     return rec.explode_records(fx.snapshots(spark, sf)).select("feed", "snapshot_name", _stamp().alias("published"), "ordinal", "source_id", "xml")
 
 
+@query(f"SELECT feed, snapshot_name, strftime(t, '%Y-%m-%d %H:%M:%S') AS published, CAST(row_number() OVER (PARTITION BY feed, snapshot_name ORDER BY ordinal) - 1 AS INTEGER) AS ordinal, source_id, {_XML} AS xml FROM rec")
+def s6_explode_ranges(spark, sf):
+    """Records of files that are read in ranges."""
+    listed = snap.list_snapshots(spark, fx.landed(spark, sf, "blob")).withColumns({"record_element": F.lit(fx.WEATHER[0]), "id_element": F.lit(fx.WEATHER[1])})
+    return ranges.explode_ranges(listed, range_bytes=1 << 14).select("feed", "snapshot_name", _stamp().alias("published"), "ordinal", "source_id", "xml")
+
+
 @query("SELECT feed, snapshot_name, source_id FROM rec")
 def s7_record_ids(spark, sf):
     got = rec.explode_records(fx.snapshots(spark, sf))

@@ -25,6 +25,12 @@ def shape(files: DataFrame, layout: str = "blob") -> DataFrame:
     return rows.filter(F.col("snapshot_ts").isNotNull())
 
 
+def list_snapshots(spark: SparkSession, root: str, layout: str = "blob") -> DataFrame:
+    """feed, snapshot_name, snapshot_ts, length, path of a landing folder; no content is read."""
+    files_ = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return shape(files_.withColumn("content", F.col("path")), layout).select("feed", "snapshot_name", "snapshot_ts", "length", F.col("content").alias("path"))
+
+
 def read_snapshots(spark: SparkSession, root: str, layout: str = "blob") -> DataFrame:
     """feed, snapshot_name, snapshot_ts, content (bytes), length, modificationTime of a landing folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
