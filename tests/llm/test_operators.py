@@ -489,3 +489,71 @@ def test_features_of_very_long_words():
     assert len(seen[0]) == 4 and seen[0] == seen[1] and seen[2] == seen[0] | seen[4] and not seen[3] & seen[0]
     short = {int(f) for _, found in toxicity.Features()([b"ababababab"]) for f in found}
     assert len(short & seen[0]) == 3  # their openings are the same
+
+
+@pytest.mark.parametrize("source", ["<div>" * 8000 + "</q>" * 8000, "<ul><li>" * 8000 + "x", "<q><table><td>" + "<div>" * 8000 + "</q>" * 8000, "<p>" + "<b>" * 8000 + "<div>" * 8000, "<table><tr>" + "<td colspan=1000>a" * 300])
+def test_html_takes_time_in_proportion(source):
+    import time
+
+    began = time.process_time()
+    html_text.render(source)
+    assert time.process_time() - began < 2
+
+
+@pytest.mark.parametrize("source,text", [
+    ("<table><tr><td rowspan=2>A<td>B<tr><td>C<tr><td>D<td>E</table>", "A | B\n  | C\nD | E"),
+    ("<table><tr><td rowspan=2 colspan=2>A<td>B<tr><td>C</table>", "A |  | B\n  |  | C"),
+    ("<ol reversed><li>a<li>b<li>c</ol>", "3. a\n2. b\n1. c"), ("<ol reversed start=10><li>a<li value=4>b<li>c</ol>", "10. a\n4. b\n3. c"),
+    ("<ol><li>a<p>b<ul><li>c<li>d</ul></ol>", "1. a\n\n   b\n\n   - c\n   - d"),
+    ("<blockquote>a<ul><li>b<blockquote>c<p>d</blockquote></ul></blockquote>", "  a\n\n  - b\n\n      c\n\n      d"),
+    ("<b>a<table><td></b>b</table>c", "a\n\nb\n\nc"), ("<table><tr><td>a</table></tr>b", "a\n\nb"),
+])
+def test_html_tables_and_lists(source, text):
+    assert html_text.render(source) == text
+
+
+class _Words:
+    """Words that show, by the standard library's parser and a stack of hidden elements: no tree, no layout."""
+
+    def __init__(self, source):
+        from html.parser import HTMLParser
+
+        self.words, self.hidden = [], []
+        me = self
+
+        class P(HTMLParser):
+            def handle_starttag(self, tag, attrs):
+                a = dict(attrs)
+                gone = tag in html_text.HIDDEN or "hidden" in a or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a.get("style") or "")
+                if tag in html_text.VOID:
+                    if not me.hidden and not gone:
+                        me.add(a.get("alt") if tag == "img" else a.get("value") if tag == "input" and (a.get("type") or "text").lower() not in html_text.NO_VALUE else "")
+                elif me.hidden or gone:
+                    me.hidden.append(tag)
+
+            def handle_endtag(self, tag):
+                if tag in me.hidden:
+                    del me.hidden[len(me.hidden) - 1 - me.hidden[::-1].index(tag) :]
+
+            def handle_data(self, data):
+                if not me.hidden:
+                    me.add(data)
+
+        p = P(convert_charrefs=True)
+        p.feed(source)
+        p.close()
+
+    def add(self, text):
+        self.words += re.findall(r"\w+", text or "")
+
+
+def test_html_words_of_all_given_pages():
+    """Letters of all words that show, in order, against a reader without tree and layout; marks of lists aside."""
+    import pyarrow.parquet as pq
+
+    pages = [p for p in pq.read_table("/root/testdata/sf0.01/pages.parquet")["html"].to_pylist() if p]
+    same = 0
+    for source in pages:
+        text = re.sub(r"(?m)^[ |]*(?:(?:- |\d+\. )+)", "", html_text.render(source))
+        same += "".join(re.findall(r"\w+", text)) == "".join(_Words(source).words)
+    assert same == len(pages) > 200

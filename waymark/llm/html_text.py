@@ -7,6 +7,7 @@ stays too; where a page holds a formula twice (as MathML and drawn by style shee
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Generator, Iterator
@@ -28,6 +29,7 @@ HEAD_ONLY = frozenset("base link meta title style script".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr".split())
 BLOCK = SPACED | frozenset("address article aside body caption center dd details dialog dir div dt fieldset figcaption footer form header hgroup html legend li main menu nav option search section summary tbody td tfoot th thead tr".split())
 SCOPE = frozenset("table td th caption html template".split())
+TABLED = frozenset("table tr tbody thead tfoot".split())
 # What a start tag closes, and where the search for it stops.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -57,17 +59,60 @@ class Node:
         self.tag, self.attrs, self.kids = tag, attrs, []
 
 
+class _Open:
+    """The open elements, and where those of each tag are, so that no tag's search goes through all of them."""
+
+    def __init__(self, nodes: list[Node]):
+        self.nodes: list[Node] = []
+        self.places: dict[str, list[int]] = {}
+        self.reset(nodes)
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, at: int) -> None:
+        while len(self.nodes) > at:
+            self.places[self.nodes.pop().tag].pop()
+
+    def reset(self, nodes: list[Node]) -> None:
+        self.cut(0)
+        for n in nodes:
+            self.push(n)
+
+    def last(self, tags) -> int:
+        """Place of the innermost open element of some tags, or 0."""
+        return max((found[-1] for tag in tags if (found := self.places.get(tag))), default=0)
+
+    def end(self, name: str) -> None:
+        """An end tag closes the innermost open element of its name, if no scope lies between; tags of tables pass scopes."""
+        at = self.last((name,))
+        if at and (name in TABLED or at >= self.last(SCOPE)):
+            self.cut(at)
+
+    def close(self, tags, stops) -> None:
+        """Close the outermost open element of tags above the nearest stop."""
+        floor = self.last(stops)
+        above = [found[k] for tag in tags if (found := self.places.get(tag)) and (k := bisect.bisect_right(found, floor)) < len(found)]
+        if above:
+            self.cut(min(above))
+
+
 def parse(source: str) -> Node:
     """The tree of a page; its root is html with head and body as the tags imply them."""
     root, body = Node("html", {}), Node("body", {})
     head = Node("head", {})
     root.kids += [head, body]
-    stack = [root, head]
-    at, size = 0, len(source)
+    open_ = _Open([root, head])
+    stack = open_.nodes
+    at, size, drawings = 0, len(source), ("svg", "math")
+
+    def in_head() -> bool:
+        return len(stack) > 1 and stack[1] is head
 
     def enter_body() -> None:
-        if stack[-1] is root or head in stack:
-            stack[:] = [root, body]
+        if stack[-1] is root or in_head():
+            open_.reset([root, body])
 
     while at < size:
         m = _TOKEN.match(source, at)
@@ -76,7 +121,7 @@ def parse(source: str) -> Node:
         if name is None:
             if token.startswith("<") and len(token) > 1:
                 continue
-            if token.strip() or (len(stack) > 1 and head not in stack):
+            if token.strip() or (len(stack) > 1 and not in_head()):
                 enter_body()
                 stack[-1].kids.append(html.unescape(token) if "&" in token else token)
             continue
@@ -86,24 +131,17 @@ def parse(source: str) -> Node:
                 enter_body()
                 stack[-1].kids.append(Node("br", {}))
             elif name == "head":
-                stack[:] = [root]
+                open_.reset([root])
             elif name not in ("html", "body"):
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == name:
-                        del stack[k:]
-                        break
-                    if stack[k] is body or (stack[k].tag in SCOPE and name not in ("table", "tr", "tbody", "thead", "tfoot")):
-                        break
-                else:
-                    pass
+                open_.end(name)
                 if len(stack) == 1:
-                    stack.append(head)
+                    open_.push(head)
             continue
         rest = m[2] or ""
         attrs = {a[1].lower(): html.unescape(a[2] or a[3] or a[4] or "") for a in _ATTR.finditer(rest)} if rest.strip("/ \t\r\n\f") else {}
         if name in ("html", "head"):
             if name == "head" and stack[-1] is root:
-                stack.append(head)
+                open_.push(head)
             continue
         if name == "body":
             body.attrs.update(attrs)
@@ -113,20 +151,20 @@ def parse(source: str) -> Node:
             enter_body()
         parent = stack[-1]
         if name in CLOSES_P:
-            _close(stack, {"p"}, SCOPE | {"button"})
+            open_.close({"p"}, SCOPE | {"button"})
         if name in CLOSES:
-            _close(stack, *CLOSES[name])
+            open_.close(*CLOSES[name])
         parent = stack[-1]
         if name == "tr" and parent.tag == "table" or name in ("td", "th") and parent.tag in ("table", "tbody", "thead", "tfoot"):
             for implied in ("tbody", "tr"):
                 if implied != name and not (implied == "tbody" and parent.tag != "table"):
                     made = Node(implied, {})
                     parent.kids.append(made)
-                    stack.append(made)
+                    open_.push(made)
                     parent = made
         node = Node(name, attrs)
         stack[-1].kids.append(node)
-        if name in VOID or token.endswith("/>") and (name in ("svg", "math", "path") or any(k.tag in ("svg", "math") for k in stack)):
+        if name in VOID or token.endswith("/>") and (name in ("svg", "math", "path") or open_.last(drawings)):
             continue
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(source, at)
@@ -134,22 +172,10 @@ def parse(source: str) -> Node:
             node.kids.append(html.unescape(text) if name in ("title", "textarea") else text)
             at = (source.find(">", end.end()) + 1 or size) if end else size
             continue
-        stack.append(node)
+        open_.push(node)
     return root
 
 
-def _close(stack: list[Node], tags: set[str], stops) -> None:
-    """Close the outermost open element of tags above the nearest stop."""
-    found = None
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag in tags:
-            found = k
-        elif stack[k].tag in stops:
-            break
-    if found is not None:
-        del stack[found:]
-
-
 def visible(node: Node) -> bool:
     a = node.attrs
     if node.tag in HIDDEN:
@@ -188,11 +214,40 @@ def _run(walk: Generator) -> list[str]:
     return got
 
 
+class _Sub:
+    """Lines further in: the first one behind a mark, the others as much to the right."""
+
+    __slots__ = ("mark", "lines")
+
+    def __init__(self, mark: str, lines: list):
+        self.mark, self.lines = mark, lines
+
+
+def flat(lines: list) -> list[str]:
+    """Lines and those further in, each with all that stands before it; a line is built once, however deep it is."""
+    out: list[str] = []
+    open_ = [(iter(lines), "", 0)]  # what is left, what stands before its first line, how far in the others are
+    while open_:
+        rest, first, depth = open_[-1]
+        item = next(rest, None)
+        if item is None:
+            open_.pop()
+            continue
+        if item != "":
+            open_[-1] = (rest, None, depth)
+        before = " " * depth if first is None else first
+        if isinstance(item, _Sub):
+            open_.append((iter(item.lines), before + item.mark, depth + len(item.mark)))
+        else:
+            out.append(before + item if item else "")
+    return out
+
+
 class _Lines:
     """Lines under construction: runs of inline text, block ends and blank lines."""
 
     def __init__(self) -> None:
-        self.lines: list[str] = []
+        self.lines: list = []
         self.now: list[str] = []
         self.gap = False
 
@@ -206,7 +261,7 @@ class _Lines:
         if line:
             self.put([line])
 
-    def put(self, lines: list[str]) -> None:
+    def put(self, lines: list) -> None:
         if self.gap and self.lines:
             self.lines.append("")
         self.gap = False
@@ -265,7 +320,7 @@ def _render(root: Node) -> Generator:
 
 def _indented(node: Node, by: str) -> Generator:
     lines = yield _render(node)
-    return [by + x if x else x for x in lines]
+    return [_Sub(by, lines)] if lines else []
 
 
 def _pre(node: Node) -> list[str]:
@@ -287,9 +342,10 @@ def _pre(node: Node) -> list[str]:
 
 
 def _list(node: Node) -> Generator:
-    out: list[str] = []
-    start = node.attrs.get("start", "1")
-    number = int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1
+    out: list = []
+    back = node.tag == "ol" and "reversed" in node.attrs
+    start, step = node.attrs.get("start", ""), -1 if back else 1
+    number = int(start) if re.fullmatch(r"-?\d{1,9}", start) else sum(isinstance(k, Node) and k.tag == "li" for k in node.kids) if back else 1
     loose = Node("li", {})
     for kid in [*node.kids, None]:
         if isinstance(kid, Node) and kid.tag == "li":
@@ -297,9 +353,10 @@ def _list(node: Node) -> Generator:
                 value = kid.attrs.get("value", "")
                 number = int(value) if re.fullmatch(r"-?[0-9]{1,9}", value) else number
                 mark = f"{number}. " if node.tag == "ol" else "- "
-                number += 1
+                number += step
                 lines = yield _render(kid)
-                out += [(mark if k == 0 else " " * len(mark)) + x if x else x for k, x in enumerate(lines)]
+                if lines:
+                    out.append(_Sub(mark, lines))
         elif kid is not None and (isinstance(kid, Node) or kid.strip()):
             loose.kids = [kid]
             out += yield _indented(loose, "  ")
@@ -309,7 +366,8 @@ def _list(node: Node) -> Generator:
 def _table(node: Node) -> Generator:
     """Caption, then rows with cells padded to the width of their column; a cell of many lines takes many lines."""
     rows: list[list[list[str]]] = []
-    before: list[str] = []
+    before: list = []
+    below: dict[int, int] = {}  # columns that cells of earlier rows reach into, and for how many rows
     todo: list = [node]
     while todo:
         k = todo.pop()
@@ -320,15 +378,20 @@ def _table(node: Node) -> Generator:
             continue
         elif k.tag == "tr":
             cells: list[list[str]] = []
+            reach: dict[int, int] = {}
             for c in k.kids:
+                while below.get(len(cells), 0):
+                    cells.append([])
                 if isinstance(c, str):
                     if c.strip():
                         cells.append([_SPACES.sub(" ", c).strip()])
                 elif visible(c):
-                    lines = yield _render(c if c.tag in ("td", "th") else _wrap(c))
-                    cells.append(lines)
-                    span = c.attrs.get("colspan", "1")
-                    cells += [[]] * (min(int(span), 100) - 1 if span.isdigit() and len(span) < 6 else 0)
+                    lines = flat((yield _render(c if c.tag in ("td", "th") else _wrap(c))))
+                    across, down = _span(c, "colspan", 1000), _span(c, "rowspan", 65534)
+                    if down > 1:
+                        reach.update(dict.fromkeys(range(len(cells), len(cells) + across), down - 1))
+                    cells += [lines] + [[]] * (across - 1)
+            below = {x: n - 1 for x, n in below.items() if n > 1} | reach
             if any(cells):
                 rows.append(cells)
         elif k is node or k.tag in ("tbody", "thead", "tfoot"):
@@ -336,7 +399,10 @@ def _table(node: Node) -> Generator:
         elif k.tag not in ("col", "colgroup"):
             before += yield _render(_wrap(k))
     n = max((len(r) for r in rows), default=0)
-    width = [max((len(x) for r in rows if k < len(r) for x in r[k]), default=0) for k in range(n)]
+    width = [0] * n
+    for r in rows:
+        for k, c in enumerate(r):
+            width[k] = max(width[k], max(map(len, c), default=0))
     lines = list(before)
     for r in rows:
         for i in range(max(len(c) for c in r)):
@@ -344,6 +410,12 @@ def _table(node: Node) -> Generator:
     return lines
 
 
+def _span(cell: Node, name: str, most: int) -> int:
+    """How many columns or rows a cell takes, as the standard reads and bounds it."""
+    m = re.match(r"[ \t\n\r\f]*([0-9]{1,9})", cell.attrs.get(name, ""))
+    return min(max(int(m[1]), 1), most) if m else 1
+
+
 def _wrap(kid: Node) -> Node:
     made = Node("div", {})
     made.kids.append(kid)
@@ -354,7 +426,7 @@ def render(source: str) -> str:
     """Visible text of a page."""
     root = parse(source)
     body = root.kids[1]
-    return "\n".join(_run(_render(body))) if visible(body) else ""
+    return "\n".join(flat(_run(_render(body)))) if visible(body) else ""
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", source: str = "html") -> DataFrame:
