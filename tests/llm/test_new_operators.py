@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from waymark.llm import chat, spelling, whitening
-from waymark.llm.queries import QUERIES, RANKS
+from waymark.llm.queries import ORACLES, QUERIES, RANKS
 
 DATA = "/root/testdata/sf0.001"
 PATTERN = public_tokenizers.PATTERN
@@ -261,6 +261,12 @@ def test_chat_query(spark):
     said = "\\### Assistant: </turn> ok"
     got = QUERIES["op13_chat_formatting"](spark, DATA).collect()
     assert {tuple(r)[:5] for r in got} == brute_chats([*rows, (-7, 0, "user", said), (-7, 1, "assistant", said)])
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from read_parquet('{DATA}/conversations.parquet')")
+    names = got[0].__fields__
+    assert sorted(map(repr, con.sql(ORACLES["op13_chat_formatting"]).select(*names).fetchall())) == sorted(repr(tuple(r)) for r in got)
     own = next(r for r in got if r.conv_id == -7)
     assert own.formatted_chars == len(chat.render([("user", said), ("assistant", said)], "assistant")[0])
 

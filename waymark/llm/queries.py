@@ -72,8 +72,7 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one, -7, whose texts hold marks of templates."""
-    said = "\\### Assistant: </turn> ok"
-    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    own = spark.createDataFrame([(-7, 0, "user", _SAID), (-7, 1, "assistant", _SAID)], "conv_id long, turn long, role string, text string")
     every = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
     formatted = chat.format_chats(every, RANKS, public_tokenizers.PATTERN)
     return chat.read_back(formatted, RANKS, public_tokenizers.PATTERN, in_order=True).drop("n_tokens", "loss_tokens")
@@ -85,11 +84,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_SAID = "\\### Assistant: </turn> ok"
+
+
+def _escaped(column: str) -> str:
+    """Length of a text whose backslashes and marks each have one backslash more."""
+    return f"length({column})" + "".join(f" + (length({column}) - length(replace({column}, '{m}', ''))) // {len(m)}" for m in ("\\", "<turn>", "<says>", "</turn>"))
+
+
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)""",
+    "op13_chat_formatting": f"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL VALUES (-7, 0, 'user', '{_SAID}'), (-7, 1, 'assistant', '{_SAID}'))
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+          CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+          sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+          CAST(sum({_escaped('role')} + {_escaped('text')} + 19) AS BIGINT) AS formatted_chars
+        FROM c GROUP BY conv_id""",
     "op7_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), q AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS first FROM p)
         SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
