@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df by keys in as many partitions as are set: what is made from the groups costs more than their bytes tell."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A record per event: feed = type, snapshot = day, source = user, content = value in twenties."""
     e = table(spark, sf_dir, "events").withColumn("t", F.date_trunc("day", F.col("ts").cast("timestamp")))
@@ -45,7 +50,7 @@ def snapshots(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFra
     """XML snapshots of the records in the weather feed's form; every seventh day is cut short if asked for."""
     r = raw_records(spark, sf_dir)
     xml = F.concat(F.lit('<siteMeasurements><measurementSiteReference id="'), "source_id", F.lit('" version="1"/><v>'), "xml", F.lit("</v></siteMeasurements>"))
-    body = r.groupBy("feed", "snapshot_name", "publication_time").agg(F.concat_ws("", F.sort_array(F.collect_list(F.struct("ordinal", xml.alias("x")))).getField("x")).alias("body"))
+    body = dealt(r, "feed", "snapshot_name").groupBy("feed", "snapshot_name", "publication_time").agg(F.concat_ws("", F.sort_array(F.collect_list(F.struct("ordinal", xml.alias("x")))).getField("x")).alias("body"))
     whole = F.concat(F.lit("<d2LogicalModel><payloadPublication><publicationTime>"), F.date_format("publication_time", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("</publicationTime>"), "body", F.lit("</payloadPublication></d2LogicalModel>"))
     if broken:
         whole = F.when(F.dayofmonth("publication_time") % 7 == 0, F.concat(whole, F.lit("<"))).otherwise(whole)
@@ -108,7 +113,7 @@ def situations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A situation event per order, with a record per line."""
     li = table(spark, sf_dir, "lineitem")
     record = F.concat(F.lit('<situationRecord id="r'), F.col("l_linenumber").cast("string"), F.lit('"><quantity>'), F.col("l_quantity").cast("bigint").cast("string"), F.lit("</quantity></situationRecord>"))
-    body = li.groupBy("l_orderkey").agg(F.concat_ws("", F.sort_array(F.collect_list(F.struct("l_linenumber", "l_quantity", record.alias("x")))).getField("x")).alias("body"))
+    body = dealt(li, "l_orderkey").groupBy("l_orderkey").agg(F.concat_ws("", F.sort_array(F.collect_list(F.struct("l_linenumber", "l_quantity", record.alias("x")))).getField("x")).alias("body"))
     xml = F.concat(F.lit('<n:situation xmlns:n="urn:x" id="S'), F.col("l_orderkey").cast("string"), F.lit('" version="1"><overallSeverity>low</overallSeverity>'), "body", F.lit("</n:situation>"))
     return body.select(F.lit("getsituation").alias("feed"), F.concat(F.lit("S"), F.col("l_orderkey").cast("string")).alias("source_id"), F.timestamp_seconds(F.lit(1420073999) + F.col("l_orderkey") % 1000).alias("publication_time"), xml.alias("xml"))
 
