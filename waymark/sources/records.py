@@ -6,6 +6,7 @@ import bisect
 import itertools
 import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 from xml.parsers import expat
 
 import pandas as pd
@@ -162,7 +163,7 @@ def fetched(rows: DataFrame) -> DataFrame:
             found: list[str | None] = []
             for at, row in zip(b.column("_file").to_pylist(), b.column("_row").to_pylist(), strict=True):
                 if at != path:
-                    fs, name = files.place(at.replace("s3a://", "s3://", 1))
+                    fs, name = files.place(unquote(at).replace("s3a://", "s3://", 1))  # Spark gives it encoded as in a URL
                     path, source, group = at, parquet.ParquetFile(name, filesystem=fs), None
                     ends = list(itertools.accumulate(source.metadata.row_group(k).num_rows for k in range(source.num_row_groups)))
                 now = bisect.bisect_right(ends, row)
