@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymark.sources.shared import scratch, stored
+from waymark.sources.shared import scratch
 
 
 def events_for_feed(rows: DataFrame, feed: str) -> DataFrame:
@@ -63,8 +63,11 @@ def with_position(df: DataFrame, order: list[str], name: str = "position") -> Da
     local = "_" + name
     while local in df.columns:
         local = "_" + local
-    # Partition number and place within it, written once: another range sort might cut elsewhere.
-    placed = stored(df.drop(name).orderBy(*order).withColumn(local, F.monotonically_increasing_id()), scratch(df.sparkSession))
+    # Partition number and place within it, checkpointed: another range sort might cut elsewhere.
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch(df.sparkSession))
+    placed = df.drop(name).orderBy(*order).withColumn(local, F.monotonically_increasing_id()).checkpoint()
     part = F.shiftright(local, 33)
     counts = placed.groupBy(part.alias("p")).agg(F.count("*").alias("n"))  # a row for each partition
     before = counts.select(F.col("p").alias("_p"), (F.sum("n").over(Window.orderBy("p")) - F.col("n")).alias("_before"))

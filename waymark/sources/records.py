@@ -173,7 +173,9 @@ def fetched(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(found, pa.string())], names=[*columns, "xml"])
 
     schema = StructType([*(rows.schema[c] for c in columns), StructField("xml", StringType())])
-    return rows.select(*order).repartition("_file").sortWithinPartitions(*_PLACE).mapInArrow(run, schema)
+    # As many partitions as are set: what comes next, such as conversion, costs by the row.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select(*order).repartition(parts, "_file").sortWithinPartitions(*_PLACE).mapInArrow(run, schema)
 
 
 def dedupe_records(records: DataFrame) -> DataFrame:
