@@ -83,3 +83,59 @@ def test_encodings(spark, tmp_path):
     body = "<m><publicationTime>2015-01-01T00:00:00Z</publicationTime><s id='ø'>æ</s></m>"
     latin = ("<?xml version='1.0' encoding='iso-8859-1'?>" + body).encode("latin-1")
     assert check(spark, tmp_path, [latin, b"\xef\xbb\xbf" + body.encode(), body.encode("latin-1")], (9, 500))
+
+
+def test_work_in_proportion_to_the_file(tmp_path, monkeypatch):
+    """Short ranges neither read on far behind their ends, nor open the file or give an outside for each record."""
+    body = "".join(f'<s id="{k}"><v>{k}</v></s>' for k in range(60_000)).encode()
+    path = tmp_path / "x"
+    path.write_bytes(HEAD.encode() + body + b"</m>")
+    read, opened = [], []
+    at = ranges._File.__init__
+
+    class Counted:
+        def __init__(self, f):
+            self.f = f
+
+        def size(self):
+            return self.f.size()
+
+        def read_at(self, n, offset):
+            read.append(n)
+            return self.f.read_at(n, offset)
+
+    def counting(self, name):
+        at(self, name)
+        opened.append(name)
+        self.f = Counted(self.f)
+
+    monkeypatch.setattr(ranges._File, "__init__", counting)
+    found, when, wrong = pieces(str(path), 1 << 14)
+    assert (len(found), when, wrong) == (60_000, "2015-01-01T00:00:00Z", None)
+    assert sum(read) < 5 * len(body) and len(opened) < 5
+
+
+def test_records_in_no_root(tmp_path):
+    """However many records on end are left out of what is parsed whole, two of them can't be a document."""
+    for n in (2, 3, 40):
+        (tmp_path / "x").write_bytes(b'<s id="1"/>' * n)
+        for size in (5, 30, 1 << 20):
+            assert pieces(str(tmp_path / "x"), size)[2].startswith("malformed")
+
+
+def test_ranges_are_dealt_by_partitions_set(spark, tmp_path):
+    """Rows of ranges are small, so that partitions sized by bytes would be one."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    (tmp_path / "x").write_bytes((HEAD + '<s id="1"/>' * 2000 + "</m>").encode())
+    df = spark.createDataFrame([("f", "x", "s", "s", str(tmp_path / "x"), os.path.getsize(tmp_path / "x"))], "feed string, snapshot_name string, record_element string, id_element string, path string, length long")
+    folders = []
+    made, ranges.scratch = ranges.scratch, lambda s: folders.append(made(s)) or folders[-1]
+    try:
+        assert ranges.explode_ranges(df, range_bytes=500).count() == 2000
+    finally:
+        ranges.scratch = made
+    written = spark.read.parquet(folders[1]).select(F.input_file_name().alias("file")).distinct().count()
+    assert written == int(spark.conf.get("spark.sql.shuffle.partitions"))

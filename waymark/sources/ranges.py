@@ -9,8 +9,9 @@ lies outside of records; that outside, a fraction of the file, is parsed whole f
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from xml.parsers import expat
 
 import pandas as pd
@@ -24,6 +25,8 @@ from waymark.sources.shared import scratch, stored
 
 RANGE = 64 << 20
 _CHUNK = 1 << 20
+_NEAR = 1 << 12  # bytes that are first looked through for a ``<``
+_VOID = b"<_/>"
 _TEXT, _COMMENT, _CDATA, _PI = range(4)
 _CLOSERS = {_COMMENT: b"-->", _CDATA: b"]]>", _PI: b"?>"}
 _MARKUP = re.compile(rb"<(?:(!--)|(!\[CDATA\[)|(\?)|(!)|(/?)([^\s/>!?\"'<]+)([^\"'<>]*(?:\"[^\"<]*\"[^\"'<>]*|'[^'<]*'[^\"'<>]*)*)>)")
@@ -72,11 +75,12 @@ class _File:
 
     def tag_from(self, at: int) -> int:
         """Where the first ``<`` at or behind a place is, or the end of the file."""
+        step = min(_NEAR, _CHUNK)
         while at < self.size:
-            found = self.f.read_at(min(_CHUNK, self.size - at), at).find(b"<")
+            found = self.f.read_at(min(step, self.size - at), at).find(b"<")
             if found >= 0:
                 return at + found
-            at += _CHUNK
+            at, step = at + step, min(2 * step, _CHUNK)
         return self.size
 
     def bytes(self, begin: int, end: int) -> bytes:
@@ -90,6 +94,14 @@ class _File:
         return name
 
 
+def _opened(paths: Iterable[str]) -> Iterator[_File]:
+    """The file of each path; one that comes again and again is opened once."""
+    for path, same in itertools.groupby(paths):
+        file = _File(path)
+        for _ in same:
+            yield file
+
+
 def _bounds(file: _File, at: int, size: int) -> tuple[int, int]:
     """The range of a file whose nominal start is at: it begins with the file or with a ``<``."""
     return (0 if at == 0 else file.tag_from(at)), file.tag_from(at + size)
@@ -106,8 +118,8 @@ def _effects(size: int, match_local: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
-            for path, at, record in zip(f["path"], f["at"], f["record_element"], strict=True):
-                file, ours = _File(path), _is(record, match_local)
+            for path, at, record, file in zip(f["path"], f["at"], f["record_element"], _opened(f["path"]), strict=True):
+                ours = _is(record, match_local)
                 data = file.bytes(*_bounds(file, at, size))
                 for state in (_TEXT, *_CLOSERS):
                     tags, depth = _Tags(state), 0
@@ -138,38 +150,48 @@ _PIECES = "path string, at bigint, k int, source_id string, xml string, outside
 
 
 def _parts(size: int, match_local: bool):
-    """Records that begin in each range, and one row with what it has outside of records; a void element stands for each."""
+    """Records that begin in each range, and one row with what it has outside of records; a void element stands for each.
+
+    Two such elements stand for more on end: neither time nor well-formedness tells how many there are.
+    """
 
-    def one(path: str, at: int, record: str, ident: str, state: int, depth: int) -> Iterator[tuple]:
+    def one(file: _File, path: str, at: int, record: str, ident: str, state: int, depth: int) -> Iterator[tuple]:
         outside, ours = [], _is(record, match_local)
+        around = "b" if record.startswith("a") else "a"  # no start of a record's name
         try:
             if state == _FAILED:
                 raise _Malformed("malformed: a tag is cut or a document type declared")
-            file = _File(path)
             code = file.encoding()
             begin, end = _bounds(file, at, size)
             data, tags, clear, start, k = file.bytes(begin, end), _Tags(state), 0, None, 0
             held: list[bytes] = []  # of a record that goes on behind the range
+            ended: list[bytes] = []  # records that are parsed together
+            waiting, more = 0, min(_NEAR, _CHUNK)
 
-            def record_of(text: bytes) -> tuple:
-                found = _Extractor(text.decode(code), record, ident, match_local)
+            def parsed() -> Iterator[tuple]:
+                found = _Extractor(f"<{around}>{''.join(x.decode(code) for x in ended)}</{around}>", record, ident, match_local)
                 found.run()
-                return found.records[0]
+                for n, (i, x) in enumerate(found.records, k - len(ended)):
+                    yield path, at, n, i, x, None, None
 
             while True:
                 for left, right, name, step in tags.of(data):
                     if not ours(name):
                         continue
                     if depth == 0 and step >= 0:
-                        outside += [data[clear:left], b"<_/>"]
+                        if left > clear or outside[-2:] != [_VOID, _VOID]:
+                            outside += [data[clear:left], _VOID] if left > clear else [_VOID]
                         start = left
                     depth += step
                     if depth < 0:
                         raise _Malformed("malformed: a record ends that didn't begin")
                     if depth == 0:
                         if start is not None:
-                            yield (path, at, k, *record_of(b"".join([*held, data[start:right]])), None, None)
-                            k += 1
+                            ended.append(b"".join([*held, data[start:right]]))
+                            k, waiting = k + 1, waiting + len(ended[-1])
+                            if waiting > _CHUNK:
+                                yield from parsed()
+                                ended, waiting = [], 0
                         clear, start, last = right, None, bool(held)
                         held = []
                         if last:
@@ -177,7 +199,7 @@ def _parts(size: int, match_local: bool):
                 else:
                     if start is not None and end < file.size:
                         held.append(data[start:])
-                        begin, end = end, file.tag_from(end + _CHUNK)
+                        begin, end, more = end, file.tag_from(end + more), min(2 * more, _CHUNK)
                         data, start = file.bytes(begin, end), 0
                         continue
                     if start is not None:
@@ -185,6 +207,7 @@ def _parts(size: int, match_local: bool):
                     if depth == 0:
                         outside.append(data[clear:])
                 break
+            yield from parsed()
         except (expat.ExpatError, ValueError, LookupError) as e:
             yield path, at, None, None, None, None, str(e) if str(e).startswith("malformed") else f"malformed: {e}"
             return
@@ -193,15 +216,15 @@ def _parts(size: int, match_local: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [c.split()[0] for c in _PIECES.split(", ")]
         for f in frames:
-            for r in f.itertuples(index=False):
-                out, held = [], 0
-                for row in one(r.path, r.at, r.record_element, r.id_element, r.state, r.depth):
+            out, held = [], 0
+            for r, file in zip(f.itertuples(index=False), _opened(f["path"]), strict=True):
+                for row in one(file, r.path, r.at, r.record_element, r.id_element, r.state, r.depth):
                     out.append(row)
-                    held += len(row[4] or "")
+                    held += len(row[4] or "") + len(row[5] or b"")
                     if held > _CHUNK:
                         yield pd.DataFrame(out, columns=columns).astype({"k": "Int32"})
                         out, held = [], 0
-                yield pd.DataFrame(out, columns=columns).astype({"k": "Int32"})
+            yield pd.DataFrame(out, columns=columns).astype({"k": "Int32"})
 
     return run
 
@@ -224,12 +247,15 @@ def explode_ranges(files: DataFrame, match_local: bool = False, range_bytes: int
     No task holds more of a file than a range, a record, and the file's part outside of records.
     """
     spark = files.sparkSession
+    # As many partitions as are set: a range's row is small, but what is read for it isn't.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lambda df: df.repartition(parts, "path", "at").sortWithinPartitions("path", "at")
     known = files.filter("record_element is not null")
     cut = known.select("path", "record_element", "id_element", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(range_bytes).cast("bigint"))).alias("at"))
-    cut = stored(cut.repartition("path", "at"), scratch(spark))
-    effects = cut.select("path", "at", "record_element").repartition("path", "at").mapInPandas(_effects(range_bytes, match_local), "path string, at bigint, state int, after int, opened int")
+    cut = stored(cut, scratch(spark))
+    effects = dealt(cut.select("path", "at", "record_element")).mapInPandas(_effects(range_bytes, match_local), "path string, at bigint, state int, after int, opened int")
     starts = effects.groupBy("path").applyInPandas(_composed, "path string, at bigint, state int, depth int")
-    pieces = stored(cut.join(starts, ["path", "at"]).repartition("path", "at").select("path", "at", "record_element", "id_element", "state", "depth").mapInPandas(_parts(range_bytes, match_local), _PIECES), scratch(spark))
+    pieces = stored(dealt(cut.join(starts, ["path", "at"]).select("path", "at", "record_element", "id_element", "state", "depth")).mapInPandas(_parts(range_bytes, match_local), _PIECES), scratch(spark))
     whole = pieces.filter("k is null").groupBy("path").applyInPandas(_outsides, "path string, published string, error string")
     found = pieces.filter("k is not null")
     before = Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
@@ -239,7 +265,9 @@ def explode_ranges(files: DataFrame, match_local: bool = False, range_bytes: int
     error = F.coalesce("error", F.when(F.col("nameless"), "a record has no id"), F.when(time.isNull() & F.col("nameless").isNotNull(), "bad publication time"))
     state = stored(whole.join(nameless, "path", "left").select("path", time.alias("publication_time"), error.alias("error")), scratch(spark))
     named = files.select("feed", "snapshot_name", "path")
-    good = found.join(places.select("path", "at", "first"), ["path", "at"]).join(state.filter("error is null").drop("error"), "path").join(named, "path")
+    # What each range's records need is joined by range, so that their text is shuffled once, and by more than its file.
+    sound = places.select("path", "at", "first").join(state.filter("error is null").drop("error"), "path").join(named, "path")
+    good = found.join(sound, ["path", "at"])
     columns = ["feed", "snapshot_name", "publication_time", "ordinal", "source_id", "xml", "error"]
     rows = good.select("feed", "snapshot_name", "publication_time", (F.col("first") + F.col("k")).alias("ordinal"), "source_id", "xml", F.lit(None).cast("string").alias("error"))
     failed = state.filter("error is not null").join(named, "path").select("feed", "snapshot_name", "error")
