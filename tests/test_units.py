@@ -1,9 +1,11 @@
 """Edge cases on small tables made by hand."""
 
 import os
+import tracemalloc
 import uuid
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,3 +234,21 @@ def test_volume_by_periods(spark):
     assert profile.snapshot_volume(snaps).columns[:2] == ["feed", "day"]
     with pytest.raises(ValueError):
         profile.snapshot_volume(snaps, "fortnight")
+
+
+def test_large_snapshots_are_held_once(spark):
+    """A snapshot's records are held as places in its text, and large snapshots reach the parser one by one."""
+    body = "<m><publicationTime>2015-01-01T00:00:00Z</publicationTime>" + "".join(f'<s id="{k}"><v>{"y" * 200}</v></s>' for k in range(20_000)) + "</m>"
+    content = body.encode()
+    tracemalloc.start()
+    published, found, error = records.extract(content, "s", "s")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert error is None and len(found) == 20_000 and found[7] == ("7", f'<s id="7"><v>{"y" * 200}</v></s>')
+    assert peak < 2.3 * len(content)
+    text = F.array_join(F.collect_list("x"), "")
+    rows = spark.range(90_000).selectExpr("id % 3 as s", "concat('<s id=\"', id, '\">', repeat('y', 300), '</s>') as x").groupBy("s").agg(text.alias("t")).coalesce(1)
+    snaps = rows.selectExpr("'f' as feed", "cast(s as string) as snapshot_name", "cast(concat('<m><publicationTime>2015-01-01T00:00:00Z</publicationTime>', t, '</m>') as binary) as content", "'s' as record_element", "'s' as id_element")
+    assert records.explode_records(snaps).filter("error is null").count() == 90_000
+    sizes = snaps.select("content").mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+    assert sorted(r.n for r in sizes) == [1, 1, 1]

@@ -5,11 +5,11 @@ from __future__ import annotations
 import bisect
 import itertools
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 from urllib.parse import unquote
 from xml.parsers import expat
 
-import pandas as pd
 import pyarrow as pa
 from pyarrow import parquet
 from pyspark.sql import DataFrame, Window
@@ -17,18 +17,51 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from waymark.sources import files
+from waymark.sources.shared import small_batches
 
 SCHEMA = "feed string, snapshot_name string, ordinal int, source_id string, xml string, published string, error string"
-_BATCH = 8 << 20  # bytes of snapshots whose records go on together
+_TYPES = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string()]
+_BATCH = 1 << 20  # bytes of records that go on together
+_GROUP = 8 << 20  # bytes of a row group that is read again for some of its records
 _DECLARED = re.compile(rb"<\?xml[^>]*?encoding\s*=\s*[\"']([A-Za-z0-9._-]+)[\"']")
 
 
-def decoded(content: bytes | str) -> str:
+def decoded(content: bytes | memoryview | str) -> str:
     """Text of a snapshot, by its declared encoding or UTF-8."""
     if isinstance(content, str):
         return content
-    m = _DECLARED.match(content[:200].lstrip(b"\xef\xbb\xbf"))
-    return bytes(content).decode(m[1].decode() if m else "utf-8-sig")
+    m = _DECLARED.match(bytes(content[:200]).lstrip(b"\xef\xbb\xbf"))
+    return str(content, m[1].decode() if m else "utf-8-sig")
+
+
+class _Records(Sequence):
+    """(id, xml) of each record, held as places in the snapshot's text."""
+
+    def __init__(self, data: bytes):
+        self.data, self.ids = data, []
+        self.starts, self.ends = array("q"), array("q")
+
+    def add(self, ident: str | None, start: int, end: int) -> None:
+        self.ids.append(ident)
+        self.starts.append(start)
+        self.ends.append(end)
+
+    def xml(self, k: int) -> bytes:
+        return self.data[self.starts[k] : self.ends[k]]
+
+    def first_of_each(self) -> Iterable[int]:
+        """Places of the first record of each id."""
+        seen: set[str | None] = set()
+        return array("q", (k for k, i in enumerate(self.ids) if not (i in seen or seen.add(i))))
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    def __getitem__(self, k: int) -> tuple[str | None, str]:
+        return self.ids[k], self.xml(k).decode()
+
+    def __eq__(self, other: object) -> bool:
+        return list(self) == list(other) if isinstance(other, Sequence) else NotImplemented
 
 
 class _Extractor:
@@ -37,7 +70,7 @@ class _Extractor:
     def __init__(self, text: str, record: str, ident: str, match_local: bool):
         self.data = re.sub(r"^\s*<\?xml.*?\?>", "", text, count=1, flags=re.S).encode()
         self.record, self.ident, self.local = record, ident, match_local
-        self.records: list[tuple[str | None, str]] = []
+        self.records = _Records(self.data)
         self.published: str | None = None
         self.depth, self.record_depth, self.start, self.id, self.id_done, self.text_depth = 0, 0, 0, None, False, 0
         p = self.parser = expat.ParserCreate("utf-8")
@@ -71,7 +104,7 @@ class _Extractor:
             # A self-closing tag has ended here already; its parent, no record, has another name.
             if self.data.startswith(b"</" + name.encode(), end):
                 end = self.data.index(b">", end) + 1
-            self.records.append((self.id, self.data[self.start : end].decode()))
+            self.records.add(self.id, self.start, end)
             self.record_depth = 0
         if self.text_depth == self.depth:
             self.text_depth = 0
@@ -81,8 +114,8 @@ class _Extractor:
         self.parser.Parse(self.data, True)
 
 
-def extract(content: bytes | str, record: str, ident: str, match_local: bool = False) -> tuple[str | None, list[tuple[str, str]], str | None]:
-    """(publication time, [(id, xml)], error) of one snapshot."""
+def extract(content: bytes | memoryview | str, record: str, ident: str, match_local: bool = False) -> tuple[str | None, Sequence[tuple[str, str]], str | None]:
+    """(publication time, [(id, xml)], error) of one snapshot; the records are cut out of its text as they are asked for."""
     try:
         found = _Extractor(decoded(content), record, ident, match_local)
         found.run()
@@ -90,44 +123,46 @@ def extract(content: bytes | str, record: str, ident: str, match_local: bool = F
         return None, [], f"malformed: {e}"
     if found.published is None:
         return None, [], "no publication time"
-    if any(i is None for i, _ in found.records):
+    if None in found.records.ids:
         return None, [], "a record has no id"
     return found.published.strip(), found.records, None
 
 
-def _first_of_each(records: list[tuple[str, str]]) -> list[tuple[int, str, str]]:
-    """(ordinal, id, xml) of the first record of each id."""
-    seen: dict[str, tuple[int, str, str]] = {}
-    for k, (i, x) in enumerate(records):
-        seen.setdefault(i, (k, i, x))
-    return list(seen.values())
-
-
 def explode_records(snapshots: DataFrame, match_local: bool = False, first_only: bool = False) -> DataFrame:
     """feed, snapshot_name, publication_time, ordinal, source_id, xml, error.
 
     snapshots: feed, snapshot_name, content, record_element, id_element. One row per record, or with first_only per
     different id; a snapshot that can't be used gives one row with an error, an empty one none. Wide rows: nothing is
-    shuffled.
+    shuffled. A task holds the text of one snapshot at a time, and of its records some at a time.
     """
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
 
-    def frame(out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(out, columns=["feed", "snapshot_name", "ordinal", "source_id", "xml", "published", "error"]).astype({"ordinal": "Int32"})
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out, held = [], 0
-            for feed, name, content, record, ident in zip(f["feed"], f["snapshot_name"], f["content"], f["record_element"], f["id_element"], strict=True):
-                published, records, error = extract(content, record, ident, match_local) if isinstance(record, str) and content is not None else (None, [], "unknown feed or no content")
-                kept = _first_of_each(records) if first_only else [(k, i, x) for k, (i, x) in enumerate(records)]
-                out += [(feed, name, None, None, None, None, error)] if error else [(feed, name, k, i, x, published, None) for k, i, x in kept]
-                held += len(content or "")
-                if held > _BATCH:
-                    yield frame(out)
-                    out, held = [], 0
-            yield frame(out)
-
-    rows = snapshots.select("feed", "snapshot_name", "content", "record_element", "id_element").mapInPandas(run, SCHEMA)
+    def batch(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
+        for b in batches:
+            for feed, name, content, record, ident in zip(*(b.column(c) for c in ("feed", "snapshot_name", "content", "record_element", "id_element")), strict=True):
+                feed, name, published, found, error = feed.as_py(), name.as_py(), None, [], "unknown feed or no content"
+                if record.is_valid and content.is_valid:
+                    text = content.as_py() if isinstance(content, pa.StringScalar | pa.LargeStringScalar) else memoryview(content.as_buffer())
+                    published, found, error = extract(text, record.as_py(), ident.as_py(), match_local)
+                if error:
+                    out.append((feed, name, None, None, None, None, error))
+                    continue
+                for k in found.first_of_each() if first_only else range(len(found)):
+                    out.append((feed, name, k, found.ids[k], found.xml(k), published, None))
+                    held += len(out[-1][4])
+                    if held > _BATCH:
+                        yield batch(out)
+                        out, held = [], 0
+            if out:  # before the next batch comes
+                yield batch(out)
+                out, held = [], 0
+
+    small_batches(snapshots.sparkSession)
+    rows = snapshots.select("feed", "snapshot_name", "content", "record_element", "id_element").mapInArrow(run, SCHEMA)
     time = F.try_to_timestamp("published")
     bad = F.col("error").isNull() & time.isNull()
     return rows.select("feed", "snapshot_name", time.alias("publication_time"), "ordinal", "source_id", "xml", F.when(bad, "bad publication time").otherwise(F.col("error")).alias("error"))
@@ -142,7 +177,7 @@ def located(records: DataFrame, folder: str) -> DataFrame:
     What is shuffled from here on is as wide for long records as for short ones; ``fetched`` gets the xml of those that stay.
     """
     schema = records.schema
-    records.withColumns({"content_hash": F.unhex(F.sha2("xml", 256)), "length": F.octet_length("xml").cast("bigint")}).write.mode("overwrite").parquet(folder)
+    records.withColumns({"content_hash": F.unhex(F.sha2("xml", 256)), "length": F.octet_length("xml").cast("bigint")}).write.mode("overwrite").option("parquet.block.size", _GROUP).parquet(folder)
     narrow = [f for f in schema.fieldNames() if f != "xml"]
     rows = records.sparkSession.read.parquet(folder)
     return rows.select(*narrow, "content_hash", "length", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
