@@ -173,3 +173,14 @@ def test_types_are_versioned(spark, tmp_path):
 def test_types_of_edges():
     assert isinstance(typed.type_of(1 << 63), DoubleType) and isinstance(typed.type_of(-(1 << 63)), LongType)
     assert typed.usable(typed.type_of({"a": {}, "b": [None], "c": []})) == StructType.fromDDL("a string, b array<string>, c array<string>") and isinstance(typed.widened(typed.type_of([1]), typed.type_of(1)), StringType)
+
+
+def test_equal_positions_are_compared_once(spark):
+    """Distances are reckoned for pairs of positions, before places and points that share them are joined with these."""
+    points = spark.range(600).selectExpr("id as k", "cast(id % 2 as double) as lat", "0.5d as lon").withColumn("geohash", geohash(F.col("lat"), F.col("lon"), 11))
+    places = spark.range(500).selectExpr("cast(id as string) as place_id", "cast(id % 5 as double) as lat", "0.5d as lon")
+    near = geo.near_places(points, places, 1000.0)
+    assert near.count() == 600 * 200 // 2
+    assert {(r.lat, r.place_lat) for r in near.select("lat", "place_lat").distinct().collect()} == {(0.0, 0.0), (1.0, 1.0)}
+    lines = near._jdf.queryExecution().optimizedPlan().toString().lower().split("\n")
+    assert min(k for k, x in enumerate(lines) if "asin" in x) > min(k for k, x in enumerate(lines) if "join inner" in x and "geohash" in x)

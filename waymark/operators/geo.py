@@ -123,18 +123,22 @@ def near_places(points: DataFrame, places: DataFrame, metres: float, most: int =
     """place_id, place_lat, place_lon, distance and the columns of points of all that are at most so far from a place.
 
     places: place_id, lat, lon. Each place gives the cells of its cover, each point its cell at the lengths in use (eight at
-    most): an equi-join on cells, then exact distances. Null places and places outside the globe have none.
+    most): an equi-join on cells, then exact distances. Null places and places outside the globe have none. Positions are
+    compared once, however many places or points share them, and the pairs found are then joined with these.
     """
 
     def covers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [(i, lat, lon, len(c), c) for i, lat, lon in f.itertuples(index=False) for c in cover(boxes(lat, lon, metres), most)]
-            yield pd.DataFrame(rows, columns=["place_id", "place_lat", "place_lon", "size", "cell"])
+            rows = [(lat, lon, len(c), c) for lat, lon in f.itertuples(index=False) for c in cover(boxes(lat, lon, metres), most)]
+            yield pd.DataFrame(rows, columns=["place_lat", "place_lon", "size", "cell"])
 
-    sound = places.filter(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)).select(F.col("place_id").cast("string"), F.col("lat").cast("double"), F.col("lon").cast("double"))
-    cells = sound.mapInPandas(covers, "place_id string, place_lat double, place_lon double, size int, cell string")
-    sized = points.withColumn("size", F.explode(F.sequence(F.lit(1), F.lit(_FINEST)))).withColumn("cell", F.expr("substring(geohash, 1, size)"))
+    sound = places.filter(F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)).select(F.col("place_id").cast("string"), F.col("lat").cast("double").alias("place_lat"), F.col("lon").cast("double").alias("place_lon"))
+    cells = sound.select("place_lat", "place_lon").distinct().mapInPandas(covers, "place_lat double, place_lon double, size int, cell string")
+    spots = points.select("lat", "lon", "geohash").distinct()
+    sized = spots.withColumn("size", F.explode(F.sequence(F.lit(1), F.lit(_FINEST)))).withColumn("cell", F.expr("substring(geohash, 1, size)"))
     used = cells.select("size").distinct()  # eight rows at most
-    joined = sized.join(F.broadcast(used), "size", "left_semi").join(cells, ["size", "cell"]).drop("size", "cell")
+    met = sized.join(F.broadcast(used), "size", "left_semi").join(cells, ["size", "cell"]).drop("size", "cell")
     far = distance(F.col("place_lat"), F.col("place_lon"), F.col("lat"), F.col("lon"))
-    return joined.withColumn("distance", far).filter(F.col("distance") <= metres)
+    near = met.withColumn("distance", far).filter(F.col("distance") <= metres)
+    # Places first: rows of the result are made by the last join and not shuffled any more.
+    return points.join(near.join(sound, ["place_lat", "place_lon"]), ["lat", "lon", "geohash"]).select("place_id", "place_lat", "place_lon", *points.columns, "distance")

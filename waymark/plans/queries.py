@@ -581,12 +581,11 @@ def w6_search_radius(spark, sf):
 @query(f"""WITH {_SPOTS} SELECT 'S' || s_suppkey AS place_id, doc_id, copy FROM q, (SELECT s_suppkey, (s_suppkey * 7) % 179 - 89 AS y, (s_suppkey * 13) % 359 - 179 AS x FROM supplier) x WHERE {_FAR} <= 300000""", base=False)
 def w6_near_places(spark, sf):
     """Points near each of many places, by one join."""
-    points = geo.geo_index(fx.site_documents(spark, sf))
+    copy = F.row_number().over(Window.partitionBy("feed", "doc_id").orderBy("path")) - 1
+    points = geo.geo_index(fx.site_documents(spark, sf)).withColumn("copy", copy.cast("bigint"))
     k = F.col("s_suppkey")
     places = fx.table(spark, sf, "supplier").select(F.concat(F.lit("S"), k.cast("string")).alias("place_id"), ((k * 7) % 179 - 89).alias("lat"), ((k * 13) % 359 - 179).alias("lon"))
-    near = geo.near_places(points, places, 300e3)
-    copy = F.row_number().over(Window.partitionBy("place_id", "doc_id").orderBy("path")) - 1
-    return near.select("place_id", "doc_id", copy.cast("bigint").alias("copy"))
+    return geo.near_places(points, places, 300e3).select("place_id", "doc_id", "copy")
 
 
 @query(f"""WITH {_SPOTS} SELECT doc_id, lat, lon FROM q WHERE lat BETWEEN -30 AND 40 AND (lon >= 150 OR lon <= -160)""", base=False)
