@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from waymark.llm import exact_dedup, html_text, jaccard_join, maxent_lm, media, packing, sentencepiece_bpe, suffix_dedup, toxicity, warc
-from waymark.llm.common import new_folder
+from waymark.llm.common import keyed_once, new_folder
 from waymark.llm.queries import PIECES, WORDS
 
 DATA = "/root/testdata/sf0.001"
@@ -104,6 +105,24 @@ def test_suffix_dedup(docs, odd, empty):
     assert suffix_dedup.suffix_dedup(empty).isEmpty()
 
 
+def test_shuffles_of_suffix_dedup_go(spark, docs):
+    """Each job's shuffle files go when it ends; else they add up on disk until the driver collects its garbage."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+
+    rows = keyed_once(docs, "doc_id", "text")
+    before = files()
+    found = suffix_dedup.repeats(rows)
+    for _ in range(50):  # they go in the background
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and found.count() > 0
+
+
 def test_suffixes_of_long_texts():
     rng = np.random.default_rng(3)
     text = bytes(rng.integers(97, 123, 5000, dtype="u1"))

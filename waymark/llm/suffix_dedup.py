@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.common import keyed_once, lean, pinned, written, zipped
+from waymark.llm.common import keyed_once, lean, pinned, shuffles_dropped, written, zipped
 from waymark.llm.prints import PART, Fingerprints
 
 SPAN = 200
@@ -272,22 +272,23 @@ def repeats(rows: DataFrame, span: int = SPAN) -> DataFrame:
     """(row, lo, count): starts lo .. lo + count - 1 of strings of span bytes that also start elsewhere; rows as from ``keyed_once``."""
     spark = rows.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bodies = rows.select("row", "body")
-    # Splitters: quantiles of the suffixes of about 2,000 texts; only the balance of the buckets depends on them.
-    share = max(1, rows.count() // 2000)
-    sample = bodies.filter(F.abs(F.xxhash64("row")) % share == 0).mapInArrow(lean(_suffixes(span, None, 4)), _SUFFIX).select("token", "stretch").limit(200_000).toPandas()
-    lead = np.sort(_lead(sample["token"].to_numpy("i8").view("u8"), sample["stretch"].to_numpy("i8").view("u8")))
-    buckets = 4 * n
-    splitters = np.unique(lead[np.linspace(0, len(lead) - 1, buckets + 1).astype("i8")[1:-1]]) if len(lead) > buckets else lead[:0]
-    suffixes = bodies.mapInArrow(lean(_suffixes(span, splitters)), _SUFFIX)
-    place = F.when(F.col("bucket") >= 0, F.xxhash64("bucket")).otherwise(F.xxhash64("row"))
-    found = written(suffixes.repartition(n, place).sortWithinPartitions("bucket").mapInArrow(lean(_compare(splitters)), _FOUND))
-
-    open_ = found.filter("not known")
-    sizes = pinned(open_.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1"))
-    asked = open_.join(sizes, "token").select("row", F.struct("token", "lo", "count", F.expr(f"cast(size div {_SALT_FROM} + 1 as int)").alias("salts")).alias("q")).groupBy("row").agg(F.collect_list("q").alias("asked"))
-    strings = zipped(rows).drop("id").join(asked.hint("shuffle_hash"), "row").mapInArrow(lean(_strings(span)), "token long, salt int, row long, at binary, prints binary")
-    met = written(strings.repartition(n, "token", "salt").sortWithinPartitions("token", "salt").mapInArrow(lean(_meet), "row long, lo long, count int"))
+    with shuffles_dropped(spark):  # else those of all jobs lie on disk until the driver collects its garbage
+        bodies = rows.select("row", "body")
+        # Splitters: quantiles of the suffixes of about 2,000 texts; only the balance of the buckets depends on them.
+        share = max(1, rows.count() // 2000)
+        sample = bodies.filter(F.abs(F.xxhash64("row")) % share == 0).mapInArrow(lean(_suffixes(span, None, 4)), _SUFFIX).select("token", "stretch").limit(200_000).toPandas()
+        lead = np.sort(_lead(sample["token"].to_numpy("i8").view("u8"), sample["stretch"].to_numpy("i8").view("u8")))
+        buckets = 4 * n
+        splitters = np.unique(lead[np.linspace(0, len(lead) - 1, buckets + 1).astype("i8")[1:-1]]) if len(lead) > buckets else lead[:0]
+        suffixes = bodies.mapInArrow(lean(_suffixes(span, splitters)), _SUFFIX)
+        place = F.when(F.col("bucket") >= 0, F.xxhash64("bucket")).otherwise(F.xxhash64("row"))
+        found = written(suffixes.repartition(n, place).sortWithinPartitions("bucket").mapInArrow(lean(_compare(splitters)), _FOUND))
+
+        open_ = found.filter("not known")
+        sizes = pinned(open_.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1"))
+        asked = open_.join(sizes, "token").select("row", F.struct("token", "lo", "count", F.expr(f"cast(size div {_SALT_FROM} + 1 as int)").alias("salts")).alias("q")).groupBy("row").agg(F.collect_list("q").alias("asked"))
+        strings = zipped(rows).drop("id").join(asked.hint("shuffle_hash"), "row").mapInArrow(lean(_strings(span)), "token long, salt int, row long, at binary, prints binary")
+        met = written(strings.repartition(n, "token", "salt").sortWithinPartitions("token", "salt").mapInArrow(lean(_meet), "row long, lo long, count int"))
     return found.filter("known").select("row", "lo", "count").unionByName(met)
 
 
