@@ -204,6 +204,29 @@ def test_store_against_a_dictionary(spark, tmp_path):
     assert [r.w for r in store.read("t").collect()] == ["only"]
 
 
+def test_folders_do_not_grow_with_days(spark, tmp_path):
+    """Days of a write of many lie together; replaced and unasked ones among them aren't read, null and empty ones are kept."""
+    store, best = Store(spark, str(tmp_path / "s"), ROWS), {}
+    days = [f"{d:04d}" for d in range(1000)]
+    batches = [[(d, 1, 1, "a") for d in [*days, None, ""]], [(d, 1, 2, "b") for d in days[::3]], [(d, 1, 0, "late") for d in days[5:9]], [("0007", 1, 3, "c"), ("new", 1, 1, "c")], [(d, 2, 1, "d") for d in days[::2]]]
+    for number, batch in enumerate(batches):
+        change = store.change()
+        change.append("t", spark.createDataFrame(batch, ROWS["t"].schema))
+        best |= {(d, k): (v, w) for d, k, v, w in batch if v >= best.get((d, k), (0, ""))[0] and v}
+        if number in (1, 3):
+            change.compact("t")
+        change.commit()
+        if not number:
+            assert len(list((tmp_path / "s" / "t").glob("*/store_*"))) <= 101
+        assert {(r.day or None, r.k): (r.v, r.w) for r in store.read("t").filter("day <> '' or day is null").collect()} == {k: v for k, v in best.items() if k[0] != ""}
+        assert store.read("t").filter("day = ''").count() == 1
+    assert {(r.day, r.k, r.w) for r in store.read("t", "0005", "0008").collect()} == {(d, k, w) for (d, k), (_, w) in best.items() if d and "0005" <= d <= "0008"}
+    assert len(store.read("t", "0005", "0008").inputFiles()) == 5  # the four days compacted alone, and what the last delta has of them
+    store.compact("t")
+    store.clean(1)
+    assert store.read("t").count() == len(best)
+
+
 def test_reads_cost_the_days_asked_for(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"), ROWS)
     for number in range(4):
