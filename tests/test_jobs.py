@@ -95,6 +95,27 @@ def test_runs_of_any_length_equal_one(spark, landing, tmp_path, n):
     assert [i for _, i in log(spark, root, "source_ids")] == sorted({e[0] for e in events})
 
 
+def test_tasks_of_a_run_follow_its_records(spark, landing, tmp_path):
+    """With more partitions set, a run of few records has no more tasks: a shuffle goes by bytes, fetched texts by files."""
+    set_ = spark.conf.get("spark.sql.shuffle.partitions")
+    tasks, logs = {}, {}
+    try:
+        for parts in (10, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.sparkContext.setJobGroup(f"tasks{parts}", "")
+            root = str(tmp_path / f"log{parts}")
+            jobs.extract_feed(spark, str(landing), root, WEATHER, 4)
+            jobs.extract_feed(spark, str(landing), root, WEATHER, 6)
+            tracker = spark.sparkContext.statusTracker()
+            stages = {s for j in tracker.getJobIdsForGroup(f"tasks{parts}") for s in tracker.getJobInfo(j).stageIds}
+            tasks[parts] = sum(s.numTasks for s in map(tracker.getStageInfo, stages) if s and s.numCompletedTasks)
+            logs[parts] = log(spark, root)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", set_)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert logs[10] == logs[200] and tasks[200] < 2 * tasks[10], tasks
+
+
 class Killed(Exception):
     pass
 

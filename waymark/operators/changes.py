@@ -34,17 +34,18 @@ def _hashed(records: DataFrame) -> DataFrame:
 
 
 def _numbered(snapshots: DataFrame, bad: DataFrame | None, on_bad: str) -> DataFrame:
-    """feed, snapshot_name, seq, after_bad."""
+    """feed, snapshot_name, seq, after_bad of the snapshots that can be read."""
     names = snapshots.select("feed", "snapshot_name").distinct()
-    broken = F.lit(False)
-    if bad is not None:
-        marked = bad.select("feed", "snapshot_name", F.lit(True).alias("_bad")).distinct()
-        names = names.unionByName(marked.drop("_bad")).distinct().join(marked, ["feed", "snapshot_name"], "left")
-        broken = F.coalesce("_bad", F.lit(False))
+    if bad is None:
+        names = names.withColumn("_bad", F.lit(False))
+    else:
+        marked = bad.select("feed", "snapshot_name", F.lit(True).alias("_bad"))
+        names = names.withColumn("_bad", F.lit(False)).unionByName(marked).groupBy("feed", "snapshot_name").agg(F.max("_bad").alias("_bad"))
         if on_bad == "last_good":
-            names, broken = names.filter(~broken), F.lit(False)
+            names = names.filter("not _bad")
     w = Window.partitionBy("feed").orderBy("snapshot_name")
-    return names.select("feed", "snapshot_name", F.row_number().over(w).alias("seq"), F.coalesce(F.lag(broken).over(w), F.lit(False)).alias("after_bad"))
+    numbered = names.select("feed", "snapshot_name", "_bad", F.row_number().over(w).alias("seq"), F.coalesce(F.lag("_bad").over(w), F.lit(False)).alias("after_bad"))
+    return numbered.filter("not _bad").drop("_bad")
 
 
 def change_events(records: DataFrame, snapshots: DataFrame | None = None, bad: DataFrame | None = None, on_bad_predecessor: str = "skip", method: str = "window") -> DataFrame:
@@ -60,21 +61,24 @@ def change_events(records: DataFrame, snapshots: DataFrame | None = None, bad: D
     """
     if on_bad_predecessor not in ("skip", "last_good") or method not in ("window", "join"):
         raise ValueError("on_bad_predecessor is skip or last_good; method is window or join")
-    seq = _numbered(records if snapshots is None else snapshots, bad, on_bad_predecessor)
-    rows = _hashed(records).join(seq, ["feed", "snapshot_name"])
     extra = [] if "content_hash" in records.columns else ["content_hash"]
-    if bad is not None:
-        rows = rows.join(bad.select("feed", "snapshot_name").distinct(), ["feed", "snapshot_name"], "left_anti")
+    rows = _hashed(records).join(_numbered(records if snapshots is None else snapshots, bad, on_bad_predecessor), ["feed", "snapshot_name"])
     if method == "window":
         # Partitions of a given number: what follows, conversion above all, costs by the row and not by the byte.
         rows = rows.repartition(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")), "feed", "source_id")
-        w = Window.partitionBy("feed", "source_id").orderBy("seq")
+    return _changed(rows, method).drop(*extra)
+
+
+def _changed(rows: DataFrame, method: str = "window") -> DataFrame:
+    """Those of numbered records that are new or changed, with seq and their content_hash."""
+    if method == "window":
+        w = Window.partitionBy("source_id", "feed").orderBy("seq")  # of few feeds, sorting by source first compares least
         found = rows.withColumns({"_prev_seq": F.lag("seq").over(w), "_prev_hash": F.lag("content_hash").over(w)})
         changed = F.col("_prev_seq").isNull() | (F.col("_prev_seq") != F.col("seq") - 1) | ~F.col("_prev_hash").eqNullSafe(F.col("content_hash"))
-        return found.filter(changed & ~F.col("after_bad")).drop("_prev_seq", "_prev_hash", "after_bad", *extra)
+        return found.filter(changed & ~F.col("after_bad")).drop("_prev_seq", "_prev_hash", "after_bad")
     before = rows.select("feed", "source_id", (F.col("seq") + 1).alias("seq"), F.col("content_hash").alias("_prev_hash"), F.lit(True).alias("_had"))
     found = rows.join(before, ["feed", "source_id", "seq"], "left")
-    return found.filter((F.col("_had").isNull() | ~F.col("_prev_hash").eqNullSafe(F.col("content_hash"))) & ~F.col("after_bad")).drop("_had", "_prev_hash", "after_bad", *extra)
+    return found.filter((F.col("_had").isNull() | ~F.col("_prev_hash").eqNullSafe(F.col("content_hash"))) & ~F.col("after_bad")).drop("_had", "_prev_hash", "after_bad")
 
 
 def as_events(changes: DataFrame, time: Column | None = None) -> DataFrame:
@@ -89,6 +93,8 @@ def extract_increment(records: DataFrame, carry: DataFrame, snapshots: DataFrame
 
     carry: feed, snapshot_name, source_id, content_hash, broken: the last snapshot of each feed so far, without its texts; a
     broken or empty one is a row with null source_id. One with xml instead of hashes is taken too. snapshots names the new ones.
+    Names are few for an increment and go to the records, which are shuffled once, by source, into as many partitions as
+    their bytes need: dealt by snapshot, all records of one would meet in one task.
     """
     marks = carry.select("feed", "snapshot_name").distinct()
     all_names = marks.unionByName(snapshots.select("feed", "snapshot_name")).distinct()
@@ -98,18 +104,19 @@ def extract_increment(records: DataFrame, carry: DataFrame, snapshots: DataFrame
     rows = held.unionByName(_hashed(records).withColumn("_held", F.lit(False)), allowMissingColumns=True)
     broken = carry.filter("broken").select("feed", "snapshot_name").distinct()
     every_bad = broken if bad is None else broken.unionByName(bad.select("feed", "snapshot_name")).distinct()
-    events = change_events(rows, all_names, every_bad).filter(~F.col("_held")).drop("_held", "seq", *extra)
+    events = _changed(rows.join(F.broadcast(_numbered(all_names, every_bad, "skip")), ["feed", "snapshot_name"])).filter(~F.col("_held")).drop("_held", "seq", *extra)
     last = all_names.groupBy("feed").agg(F.max("snapshot_name").alias("snapshot_name"))
-    kept = rows.select(*columns).join(last, ["feed", "snapshot_name"], "left_semi")
     state = last.join(every_bad.withColumn("broken", F.lit(True)), ["feed", "snapshot_name"], "left").withColumn("broken", F.coalesce("broken", F.lit(False)))
-    new_carry = state.join(kept, ["feed", "snapshot_name"], "left").select(*columns, "broken")
+    kept = rows.select(*columns).join(F.broadcast(state), ["feed", "snapshot_name"]).select(*columns, "broken")
+    without = state.join(kept.select("feed", "snapshot_name").distinct(), ["feed", "snapshot_name"], "left_anti")
+    new_carry = kept.unionByName(without, allowMissingColumns=True)
     return events, new_carry, last.select("feed", F.col("snapshot_name").alias("last_extracted"))
 
 
 def upsert_events(events: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One row per (feed, source_id, row_key): of new ones the highest snapshot name, in place of an existing one."""
     key = ["feed", "source_id", "row_key"]
-    w = Window.partitionBy(*key).orderBy(F.desc("snapshot_name"))
+    w = Window.partitionBy("source_id", "feed", "row_key").orderBy(F.desc("snapshot_name"))
     new = events.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
     return new if existing is None else existing.join(new.select(*key), key, "left_anti").unionByName(new)
 

@@ -92,7 +92,7 @@ def feed_files(spark: SparkSession, sf_dir: str, days: str = "true", root: str |
 
     days chooses some, by a condition on publication_time; root is a folder that has others already.
     """
-    r = raw_records(spark, sf_dir).filter(days).withColumn("feed", feed_of(F.col("feed")))
+    r = dealt(raw_records(spark, sf_dir).filter(days).withColumn("feed", feed_of(F.col("feed"))), "feed", "snapshot_name")
     body = r.withColumn("xml", feed_record()).groupBy("feed", "snapshot_name", "publication_time").agg(F.concat_ws("", F.sort_array(F.collect_list(F.struct("ordinal", F.col("xml").alias("x")))).getField("x")).alias("body"))
     whole = F.concat(F.lit("<m><publicationTime>"), F.date_format("publication_time", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("</publicationTime>"), "body", F.lit("</m>"))
     broken = (F.col("feed") == TYPES["click"]) & (F.dayofmonth("publication_time") % 7 == 0)

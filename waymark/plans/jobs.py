@@ -5,12 +5,14 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.operators import changes, convert, sinks
 from waymark.operators.store import Keyed, Store
+from waymark.sources import files
 from waymark.sources.ranges import RANGE, explode_ranges
 from waymark.sources.records import dedupe_records, explode_records, fetched, located, split_valid
 from waymark.sources.registry import DEFAULT_FEEDS, known_feed, with_elements
@@ -99,13 +101,17 @@ def extract_feed(spark: SparkSession, landing: str, root: str, feed: str, n: int
     if not chosen:
         return Extracted(known_feed(feed), 0, change.values.get("last_extracted"))
     snaps = with_elements(read_chosen(spark, [path for _, path in chosen], layout))
-    good, bad = split_valid(located(explode_records(snaps, first_only=True), change.scratch()))
-    names = spark.createDataFrame([(known_feed(feed), name) for name, _ in chosen], "feed string, snapshot_name string")
-    events, carry, _ = changes.extract_increment(good, store.read("carry", state=change.state), names, bad)
-    events = change.stored(fetched(changes.upsert_events(changes.as_events(events))))
+    folder = change.scratch()
+    found = located(explode_records(snaps, first_only=True), folder)
+    # A row for each snapshot, so that what is asked of snapshots doesn't read all their records again.
+    seen = change.stored(found.groupBy("feed", "snapshot_name", "error").agg(F.min("publication_time").alias("publication_time")))
+    times, bad = split_valid(seen)
+    names = spark.createDataFrame(pa.table({"feed": [known_feed(feed)] * len(chosen), "snapshot_name": [name for name, _ in chosen]}))  # no Python task
+    events, carry, _ = changes.extract_increment(split_valid(found)[0], store.read("carry", state=change.state), names, bad)
+    events = change.stored(fetched(changes.upsert_events(changes.as_events(events)), sum(n.endswith(".parquet") for n in files.names(folder))))
     change.append("events", events.withColumn("withdrawn", F.lit(False)))
     change.append("source_ids", changes.source_ids(events))
-    change.append("snapshots", taken(names, good))
+    change.append("snapshots", taken(names, times))
     change.append("rejected", bad)
     change.replace("carry", carry)
     for table in ("events", "source_ids", "snapshots", "rejected"):

@@ -23,6 +23,7 @@ SCHEMA = "feed string, snapshot_name string, ordinal int, source_id string, xml
 _TYPES = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string()]
 _BATCH = 1 << 20  # bytes of records that go on together
 _GROUP = 8 << 20  # bytes of a row group that is read again for some of its records
+_PART = 1 << 16  # rows of a file that one task reads again
 _DECLARED = re.compile(rb"<\?xml[^>]*?encoding\s*=\s*[\"']([A-Za-z0-9._-]+)[\"']")
 
 
@@ -183,10 +184,12 @@ def located(records: DataFrame, folder: str) -> DataFrame:
     return rows.select(*narrow, "content_hash", "length", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
-def fetched(rows: DataFrame) -> DataFrame:
+def fetched(rows: DataFrame, held_in: int | None = None) -> DataFrame:
     """rows of ``located`` records with their xml in place of content_hash and place.
 
-    They are dealt by file, in order of place, and each task reads only the row groups that hold its rows, one at a time.
+    They are dealt by file and part of a file, in order of place, and each task reads only the row groups that hold its rows,
+    one at a time. held_in says how many files the rows lie in at most, where that is known: few files need no more tasks,
+    each of which starts Python.
     """
     columns = [c for c in rows.columns if c not in (*_PLACE, "content_hash")]
     order = [*columns, *_PLACE]
@@ -210,7 +213,9 @@ def fetched(rows: DataFrame) -> DataFrame:
     schema = StructType([*(rows.schema[c] for c in columns), StructField("xml", StringType())])
     # As many partitions as are set: what comes next, such as conversion, costs by the row.
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.select(*order).repartition(parts, "_file").sortWithinPartitions(*_PLACE).mapInArrow(run, schema)
+    if held_in is not None:
+        parts = min(parts, max(2 * held_in, 1))
+    return rows.select(*order).repartition(parts, "_file", F.floor(F.col("_row") / _PART)).sortWithinPartitions(*_PLACE).mapInArrow(run, schema)
 
 
 def dedupe_records(records: DataFrame) -> DataFrame:
